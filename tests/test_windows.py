@@ -1,0 +1,98 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+
+from tests.frames import D, rows
+from tidemark.operators import change_window, day_window, impacted_dates, load_bounds
+
+START, END = "2024-01-10 00:00:00", "2024-01-10 23:59:59"
+MOMENTS = {
+    "start": D(START),
+    "before": D("2024-01-09 23:59:59"),
+    "end": D(END),
+    "after": D("2024-01-11 00:00:00"),
+    "none": None,
+}
+
+
+@pytest.fixture(scope="module")
+def edges(spark):
+    data = [(f"{a}/{b}", MOMENTS[a], MOMENTS[b]) for a in MOMENTS for b in MOMENTS]
+    return spark.createDataFrame(data, "id string, create_dt timestamp_ntz, mdfctn_dt timestamp_ntz")
+
+
+def ids(df):
+    return {r.id for r in df.select("id").collect()}
+
+
+def test_window_is_closed_at_both_ends(edges):
+    inside = {"start", "end"}
+    both = {f"{a}/{b}" for a in inside for b in inside}
+    either = {f"{a}/{b}" for a in MOMENTS for b in MOMENTS if a in inside or b in inside}
+    assert ids(change_window(edges, START, END, "both")) == both
+    assert ids(change_window(edges, START, END, "either")) == either
+
+
+def test_text_times_are_parsed_and_bad_text_is_not_in_the_window(spark):
+    text = spark.createDataFrame(
+        [("a", "2024-01-10 12:00:00", ""), ("b", "soon", "2024-01-10"), ("c", "soon", None)],
+        "id string, create_dt string, mdfctn_dt string",
+    )
+    assert ids(change_window(text, START, END, "either")) == {"a", "b"}
+
+
+def test_unknown_mode_is_refused(edges):
+    with pytest.raises(ValueError):
+        change_window(edges, START, END, "some")
+
+
+def test_window_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).selectExpr(
+        "id", "timestamp_ntz'2024-01-10 00:00:00' as create_dt", "timestamp_ntz'2024-01-10 00:00:00' as mdfctn_dt"
+    ).write.parquet(path)
+    plan = change_window(spark.read.parquet(path), START, END, "either")._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters") :]
+    assert pushed.startswith("PushedFilters: [Or(And(GreaterThanOrEqual(create_dt,")
+
+
+def test_day_window_starts_a_second_early():
+    assert day_window(2024, 3, 1) == (datetime(2024, 2, 29, 23, 59, 59), datetime(2024, 3, 1, 23, 59, 59))
+
+
+def test_load_bounds_need_the_whole_date():
+    control = (D("2024-01-01"), D("2024-01-02"))
+    assert load_bounds(control) == control
+    assert load_bounds(control, "2024", "3", "0") == control
+    assert load_bounds(control, "2024", "3", "1") == day_window(2024, 3, 1)
+    with pytest.raises(ValueError):
+        load_bounds(control, "2024", "2", "31")
+
+
+ITEMS = "order_id bigint, create_dt timestamp_ntz, mdfctn_dt timestamp_ntz"
+ORDERS = "order_id bigint, order_date date, mdfctn_dt timestamp_ntz"
+
+
+def test_impacted_dates_take_whole_days_from_items_and_orders(spark):
+    old, night = D("2023-01-01"), D("2024-01-11 23:59:00")
+    items = spark.createDataFrame(
+        [(1, night, old), (2, old, night), (3, old, old), (4, old, old), (5, night, night), (7, night, night)], ITEMS
+    )
+    orders = spark.createDataFrame(
+        [
+            (1, D("2024-01-01").date(), old),
+            (2, D("2024-01-02").date(), old),
+            (3, D("2024-01-03").date(), night),
+            (4, D("2024-01-04").date(), old),
+            (5, None, night),
+            (6, D("2024-01-06").date(), night),
+        ],
+        ORDERS,
+    )
+    # The window ends at noon, the changes come at night: the day counts. Order 6 has no items,
+    # item 7 no order, order 5 no date.
+    found = impacted_dates(items, orders, "2024-01-11 08:00:00", "2024-01-11 12:00:00")
+    assert {str(r.order_date) for r in found.collect()} == {"2024-01-01", "2024-01-02", "2024-01-03"}
+    assert rows(impacted_dates(items, orders, "2025-01-01", "2025-01-02")) == {}

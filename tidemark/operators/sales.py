@@ -94,12 +94,17 @@ def daily_sales(items: DataFrame, orders: DataFrame, dates: DataFrame | None = N
         per_order = lines.join(header, "order_id", "inner").groupBy("order_date", "order_id", "customer_id").agg(*sums)
     else:
         per_order = lines.groupBy("order_id").agg(*sums).join(header, "order_id", "inner")
-    orders_n = F.count_distinct("order_id")
-    revenue = F.sum("net")
-    return per_order.groupBy("order_date").agg(
-        orders_n.alias("total_orders"),
+    totals = per_order.groupBy("order_date").agg(
+        F.count_distinct("order_id").alias("total_orders"),
         F.count_distinct("customer_id").alias("total_customers"),
-        F.round(revenue, 2).alias("total_revenue"),
+        F.sum("net").alias("revenue"),
         F.sum("quantity").alias("total_items_sold"),
-        F.round(revenue / orders_n, 2).alias("avg_order_value"),
+    )
+    return totals.select(
+        "order_date",
+        "total_orders",
+        "total_customers",
+        F.round("revenue", 2).alias("total_revenue"),
+        "total_items_sold",
+        F.round(F.col("revenue") / F.col("total_orders"), 2).alias("avg_order_value"),
     )
