@@ -116,7 +116,7 @@ key = st.one_of(st.none(), st.integers(0, 6))
 some_rows = st.lists(st.tuples(key, st.sampled_from(["x", "y", None]), st.integers(0, 3)), max_size=8)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(stored=some_rows, new=some_rows)
 def test_both_shapes_agree_with_brute_force(spark, stored, new):
     unique, seen = [], set()

@@ -76,6 +76,29 @@ def test_one_order_with_very_many_items_is_combined_before_the_shuffle(spark):
     assert below_join.index("partial_sum") > below_join.index("hashpartitioning(order_id")
 
 
+def test_a_third_of_all_items_in_one_order_and_one_customer(spark):
+    """Checked against plain Python sums."""
+    owner = {order: 0 if order % 3 == 0 else order % 7 for order in range(60)}
+    lines = [(0 if n % 3 == 0 else n % 60, n % 5 + 1, n % 11, n % 3) for n in range(3000)]
+    items = spark.createDataFrame(
+        [item(str(n), o, q, f"{p}.25", f"0.0{d}") for n, (o, q, p, d) in enumerate(lines)], ITEMS
+    )
+    orders = spark.createDataFrame(
+        [(o, c, date(2024, 1, 1 + o % 4), "O", OLD_T, OLD_T) for o, c in owner.items()], ORDERS
+    )
+    want = {}
+    for o, q, p, d in lines:
+        day = want.setdefault(date(2024, 1, 1 + o % 4), [set(), set(), Decimal(0), 0])
+        day[0].add(o)
+        day[1].add(owner[o])
+        day[2] += q * Decimal(f"{p}.25") - Decimal(f"0.0{d}")
+        day[3] += q
+    got = {r.order_date: r for r in daily_sales(items, orders).collect()}
+    assert {d: (len(v[0]), len(v[1]), v[2], v[3]) for d, v in want.items()} == {
+        d: (r.total_orders, r.total_customers, r.total_revenue, r.total_items_sold) for d, r in got.items()
+    }
+
+
 def test_fact_rows_follow_item_changes_and_on_request_order_changes(spark):
     items, orders = frames(spark)
     delta = fact_sales_delta(items, orders, "2024-01-31", "2024-02-02").collect()

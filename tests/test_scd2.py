@@ -81,7 +81,7 @@ def test_same_load_again_changes_nothing(spark):
 times = st.one_of(st.none(), st.sampled_from([T0, T1]))
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     stored=st.dictionaries(st.integers(0, 5), st.tuples(times, st.booleans()), max_size=6),
     new=st.dictionaries(st.integers(0, 7), times, max_size=7),

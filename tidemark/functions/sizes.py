@@ -1,12 +1,16 @@
-"""Size checks ahead of a choice between join shapes."""
+"""Size checks ahead of a choice between join shapes, by Spark's own estimates."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """Spark's estimate of the size of ``df``: for a scan, that of its files and columns."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def below_broadcast_threshold(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate of ``df`` lets it broadcast it under the session's settings."""
-    session = df.sparkSession._jsparkSession.sessionState()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= session.conf().autoBroadcastJoinThreshold()
+    """Whether that estimate lets Spark broadcast ``df`` under the session's settings."""
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    return planned_bytes(df) <= conf.autoBroadcastJoinThreshold()

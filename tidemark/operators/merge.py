@@ -2,9 +2,10 @@
 
 Two join shapes give the same rows. The choice is by size, the way Spark itself chooses:
 
-* ``lookup``: the change set is below the session's broadcast threshold. The target is probed and
-  never shuffled or sorted; only the few matched keys and the change set are.
-* ``outer``: beyond that size. One full outer join, each side shuffled once.
+* ``lookup``: the change set is below the session's broadcast threshold and a small part of the
+  target. The target is probed and never shuffled or sorted; only the few matched keys and the
+  change set are. Its keys are read twice.
+* ``outer``: otherwise. One full outer join, each side read and shuffled once.
 
 Rows with a NULL key never match and take no part in either join.
 """
@@ -19,7 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import SCD1_AUDIT, business_columns, insert_stamp, split_on_keys
-from tidemark.functions.sizes import below_broadcast_threshold
+from tidemark.functions.sizes import below_broadcast_threshold, planned_bytes
+
+# A change set this many times smaller than the target is worth probing.
+SMALL_PART = 4
 
 _NEW = "__new_"
 _IN_SOURCE = "__in_source"
@@ -47,7 +51,7 @@ def upsert(
     fresh, unkeyed_new = split_on_keys(incoming, keys)
 
     pieces = []
-    if _pick(shape, source) == "lookup":
+    if _pick(shape, target, source) == "lookup":
         pieces.append(_matched(known, fresh, keys, stamp, "left_outer"))
         pieces.append(_stamped(_absent(fresh, known, keys), target.columns, stamp))
     else:
@@ -93,13 +97,18 @@ def absent_rows(
     return _stamped(new, columns, insert_stamp(target, load_id, load_ts, eff_ts))
 
 
-def duplicate_matches(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys in ``target`` that more than one source row would update: a merge must refuse those.
+def repeated_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys with more than one source row, and how many.
 
     The count is combined before its shuffle, so a key with very many copies is no hot spot.
     """
     whole, _ = split_on_keys(source.select(*keys), keys)
-    repeated = whole.groupBy(*keys).agg(F.count("*").alias("source_rows")).where("source_rows > 1")
+    return whole.groupBy(*keys).agg(F.count("*").alias("source_rows")).where("source_rows > 1")
+
+
+def duplicate_matches(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys in ``target`` that more than one source row would update: a merge must refuse those."""
+    repeated = repeated_keys(source, keys)
     return repeated.join(matched_keys(target, repeated, keys), list(keys), "left_semi")
 
 
@@ -108,12 +117,13 @@ def matched_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     return target.select(*keys).join(source.select(*keys), list(keys), "left_semi")
 
 
-def _pick(shape: str, source: DataFrame) -> str:
+def _pick(shape: str, target: DataFrame, source: DataFrame) -> str:
     if shape not in ("auto", "lookup", "outer"):
         raise ValueError(f"shape must be 'auto', 'lookup' or 'outer', not {shape!r}")
-    if shape == "auto":
-        return "lookup" if below_broadcast_threshold(source) else "outer"
-    return shape
+    if shape != "auto":
+        return shape
+    small = below_broadcast_threshold(source) and planned_bytes(source) * SMALL_PART <= planned_bytes(target)
+    return "lookup" if small else "outer"
 
 
 def _absent(fresh: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:

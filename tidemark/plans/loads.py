@@ -22,7 +22,7 @@ from tidemark.functions.literals import ts_literal
 from tidemark.functions.surrogate import number_rows
 from tidemark.functions.typing import conform
 from tidemark.operators.counts import load_counts
-from tidemark.operators.merge import absent_rows, duplicate_matches, upsert
+from tidemark.operators.merge import absent_rows, duplicate_matches, repeated_keys, upsert
 from tidemark.operators.refresh import refresh_slices
 from tidemark.operators.sales import daily_sales, fact_sales_delta, impacted_dates
 from tidemark.operators.scd2 import open_versions, scd2_parts
@@ -193,6 +193,10 @@ class Warehouse:
         control = self.tables.read(CONTROL)
         due = (ctl.pending_landing(control) if layer == "landing" else ctl.pending(control, layer)).collect()
         keys = self._keys() if layer != "landing" else {}
+        files = {}
+        if layer == "bronze":
+            picked = ctl.pick_files(self.tables.read(FILES), control).collect()
+            files = {r.table_id: r.file_path for r in picked}
         started = self.clock()
         if due:
             opened = [(self._label(layer, row), ctl.STARTED, ctl.IN_PROGRESS, Counts()) for row in due]
@@ -201,7 +205,7 @@ class Warehouse:
         done: dict[str, Counts] = {}
         failed: dict[str, Exception] = {}
         with ThreadPoolExecutor(max_workers=parallel) as pool:
-            jobs = {pool.submit(self._load, layer, row, run, keys, source_root, day): row for row in due}
+            jobs = {pool.submit(self._load, layer, row, run, keys, files, source_root, day): row for row in due}
             for job in as_completed(jobs):
                 row = jobs[job]
                 label = self._label(layer, row)
@@ -221,12 +225,14 @@ class Warehouse:
             raise LoadError(f"unprocessed in {layer}: {left[0].table_names}")
         return done
 
-    def _load(self, layer: str, row: Row, run: Run, keys: dict, source_root: str | None, day) -> Counts:
+    def _load(
+        self, layer: str, row: Row, run: Run, keys: dict, files: dict, source_root: str | None, day: tuple | None
+    ) -> Counts:
         if layer == "landing":
             return self._land(row, run, source_root)
         name = row.target_table_name
         if layer == "bronze":
-            return self._load_bronze(row, run, keys[name])
+            return self._load_bronze(row, run, keys[name], files.get(row.table_id))
         if layer == "silver":
             return self._load_silver(row, run, keys[name])
         bounds = load_bounds((row.last_load_start_dt, row.last_load_end_dt), *(day or ()))
@@ -248,20 +254,18 @@ class Warehouse:
         found = stage(extract.where(hit | unreadable), f"extract-{name}")
         self._reject(name, found.where(unreadable & ~hit), run)
         changes = found.where(hit)
-        if not changes.isEmpty():
+        changed = changes.count()
+        if changed:
             write_snapshot(changes, snapshot_path(self.root, name, row.last_load_end_dt))
-        return Counts(source=changes.count())
+        return Counts(source=changed)
 
-    def _load_bronze(self, row: Row, run: Run, keys: Sequence[str]) -> Counts:
-        picked = ctl.pick_files(
-            self.tables.read(FILES), self.tables.read(CONTROL).where(F.col("table_id") == row.table_id)
-        ).collect()
-        if not picked or picked[0].file_path is None:
+    def _load_bronze(self, row: Row, run: Run, keys: Sequence[str], path: str | None) -> Counts:
+        if path is None:
             return Counts()
         name = f"bronze/{row.target_table_name}"
         wanted = business_columns(self.tables.read(name))
         schema = StructType([f for f in self.tables.schema(name).fields if f.name in wanted])
-        typed, rejected = conform(read_snapshot(self.spark, picked[0].file_path), schema)
+        typed, rejected = conform(read_snapshot(self.spark, path), schema)
         self._reject(row.target_table_name, rejected, run)
         return self._merge(name, stage(typed, f"delta-{row.target_table_name}"), keys, run)
 
@@ -271,10 +275,11 @@ class Warehouse:
         bronze = self.tables.read(f"bronze/{row.source_table_name}")
         changes = change_window(bronze, row.last_load_start_dt, end, self.silver_mode)
         changes = stage(changes.select(*business_columns(changes)), f"delta-{short}")
-        if changes.isEmpty():
-            return Counts()
         if kind == "upsert":
             return self._merge(name, changes, keys, run)
+        found = changes.count()
+        if not found:
+            return Counts()
 
         at, surrogate = self.clock(), SURROGATES.get(short)
         current = self.tables.read(name, {OPEN} if self.tables.layout(name) == BY_OPENNESS else None)
@@ -290,7 +295,7 @@ class Warehouse:
                 self.tables.write(name, parts.was_open.unionByName(new), replace={OPEN})
             else:
                 self.tables.write(name, parts.closed.unionByName(parts.was_open).unionByName(new))
-        return self._counts(name, run, at, changes.count())
+        return self._counts(name, run, at, found)
 
     def _merge_fact(self, name: str, bounds: tuple, run: Run, keys: Sequence[str]) -> Counts:
         items, orders = self.tables.read("silver/f_order_items"), self.tables.read("silver/f_orders")
@@ -321,7 +326,8 @@ class Warehouse:
         New rows of other slices are added to them. How many slices a table has is set by its layout,
         so their names may be collected.
         """
-        if delta.isEmpty():
+        found = delta.count()
+        if not found:
             return Counts()
         at = self.clock()
         sliced = self.tables.read_sliced(name)
@@ -330,12 +336,16 @@ class Warehouse:
         replace = {r[0] for r in hit.select(SLICE).distinct().collect()}
         state = upsert(self.tables.read(name, replace), delta, keys, run.load_id, at)
         self.tables.write(name, state, replace=replace)
-        return self._counts(name, run, at, delta.count())
+        return self._counts(name, run, at, found)
 
     def _refuse_duplicates(self, name: str, target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> None:
-        repeated = duplicate_matches(target, delta, keys).limit(5).collect()
-        if repeated:
-            raise LoadError(f"several source rows for one row of {name}, for instance {repeated}")
+        # The target's keys are read only if the change set repeats a key at all.
+        if repeated_keys(delta, keys).isEmpty():
+            return
+        ambiguous = duplicate_matches(target, delta, keys)
+        example = ambiguous.head()
+        if example is not None:
+            raise LoadError(f"several source rows for one row of {name}, for instance {example.asDict()}")
 
     def _numbered(self, name: str, rows: DataFrame, surrogate: str | None) -> DataFrame:
         if surrogate is None:
