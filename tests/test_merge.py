@@ -102,7 +102,7 @@ def test_duplicate_matches_name_only_ambiguous_updates(spark):
     assert rows(duplicate_matches(target, source, ["a"])) == Counter([(1, 2)])
 
 
-def reference(stored, new):
+def row_by_row(stored, new):
     """Brute force: what a row-by-row merge on column ``a`` leaves behind."""
     out = []
     for row in stored:
@@ -124,7 +124,7 @@ def test_both_shapes_agree_with_brute_force(spark, stored, new):
         if row[0] is None or row[0] not in seen:
             unique.append(row)
             seen.add(row[0])
-    want = reference(stored, unique)
+    want = row_by_row(stored, unique)
     for shape in SHAPES:
         assert merged(spark, stored, unique, shape=shape) == want
 

@@ -78,6 +78,18 @@ def test_of_two_writers_of_one_version_the_second_fails(spark, tables):
         tables.create("t", SCHEMA)
 
 
+def test_a_write_that_died_half_way_is_neither_seen_nor_in_the_way(spark, tables, monkeypatch):
+    tables.create("t", SCHEMA)
+    tables.write("t", frame(spark, A))
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_commit", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            tables.write("t", frame(spark, B))
+    assert rows(tables.read("t")) == Counter([A])
+    tables.write("t", frame(spark, C))
+    assert rows(Tables(spark, tables.root).read("t")) == Counter([C])
+
+
 def test_reading_a_missing_table_is_an_error(tables):
     with pytest.raises(ValueError):
         tables.read("nothing")
