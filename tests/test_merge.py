@@ -12,7 +12,7 @@ from tidemark.sources import stage
 
 COLUMNS = "a bigint, b string, v bigint"
 TARGET = COLUMNS + ", " + AUDIT
-SHAPES = ["lookup", "outer"]
+SHAPES = ["matched", "all"]
 
 
 def merged(spark, stored, new, keys=("a",), shape="auto"):
@@ -81,9 +81,9 @@ def test_auto_follows_the_broadcast_threshold(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
-        assert "FullOuter" not in plan() and "LeftOuter" in plan()
+        assert "LeftSemi" in plan()
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        assert "FullOuter" in plan()
+        assert "LeftSemi" not in plan()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
@@ -91,7 +91,7 @@ def test_auto_follows_the_broadcast_threshold(spark):
 def test_unknown_shape_is_refused(spark):
     target = spark.createDataFrame([], TARGET)
     with pytest.raises(ValueError):
-        upsert(target, target, ["a"], "L1", LOAD_AT, "nested loops")
+        upsert(target, target, ["a"], "L1", LOAD_AT, "none")
 
 
 def test_duplicate_matches_name_only_ambiguous_updates(spark):

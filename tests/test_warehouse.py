@@ -244,3 +244,17 @@ def test_an_empty_change_set_is_processed_without_a_snapshot(spark, tmp_path):
     assert {c for layer in counts.values() for c in layer.values()} == {counts["gold"]["fact_sales"].__class__()}
     assert house.tables.read(FILES).where("file_path is not null").isEmpty()
     assert house.run_layer("gold", run) == {}
+
+
+def test_copies_of_a_new_key_are_all_loaded_and_all_updated_later(spark, tmp_path):
+    house = build(spark, tmp_path, ("d_customers",))
+    t, u = "2024-01-05 10:00:00", "2024-01-06 10:00:00"
+    write_csv(tmp_path, "d_customers", [f"0,Ann,{t},{t}", f"7,Gil,{t},{t}", f"7,Gus,{t},{u}", f",Nil,{t},{t}"])
+    run_all(house, "L1", ONE[1], LAYERS[:2])
+    names = Counter(r.name for r in house.tables.read("bronze/d_customers").collect())
+    assert names == Counter(["Ann", "Gil", "Gus", "Nil"])
+    write_csv(tmp_path, "d_customers", [f"7,Guy,{t},2024-01-15 00:00:00"])
+    run_all(house, "L2", TWO[1], LAYERS[:2])
+    stored = house.tables.read("bronze/d_customers")
+    assert Counter(r.name for r in stored.collect()) == Counter(["Ann", "Guy", "Guy", "Nil"])
+    assert stored.where("dw_update_id = 'L2'").count() == 2

@@ -1,4 +1,4 @@
-"""Size checks ahead of a choice between join shapes, by Spark's own estimates."""
+"""Size checks ahead of a choice between plans, by Spark's own estimates."""
 
 from __future__ import annotations
 

@@ -1,11 +1,9 @@
 """Keyed merges into a table that has no row-level DML: the result is the table's next state.
 
-Two join shapes give the same rows. The choice is by size, the way Spark itself chooses:
-
-* ``lookup``: the change set is below the session's broadcast threshold and a small part of the
-  target. The target is probed and never shuffled or sorted; only the few matched keys and the
-  change set are. Its keys are read twice.
-* ``outer``: otherwise. One full outer join, each side read and shuffled once.
+Stored rows look up their source row (left outer join); source rows whose key is not stored are added
+(left anti join). A full outer join would do both at once, but it holds all rows of a key in memory
+and cannot be split where one key has very many stored copies; these two can, and Spark broadcasts
+the change set where it is small, so that the target is not shuffled at all.
 
 Rows with a NULL key never match and take no part in either join.
 """
@@ -19,15 +17,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import SCD1_AUDIT, business_columns, insert_stamp, split_on_keys
-from tidemark.functions.sizes import below_broadcast_threshold, planned_bytes
-
-# A change set this many times smaller than the target is worth probing.
-SMALL_PART = 4
+from tidemark.functions.columns import business_columns, insert_stamp, split_on_keys, update_columns
+from tidemark.functions.sizes import below_broadcast_threshold
 
 _NEW = "__new_"
-_IN_SOURCE = "__in_source"
-_IN_TARGET = "__in_target"
 
 
 def upsert(
@@ -36,13 +29,14 @@ def upsert(
     keys: Sequence[str],
     load_id: str,
     load_ts: datetime,
-    shape: str = "auto",
+    stored_keys: str = "auto",
 ) -> DataFrame:
     """Slowly changing dimension type 1: overwrite the matches, add the rest, keep all others.
 
     A match takes every business value of its source row, changed or not, and is restamped; its
     creation stamp stays. Columns are matched by name and cast to the target's types. Several source
     rows for one target row are an error of the input; ``duplicate_matches`` finds them.
+    ``stored_keys`` says how stored keys are reduced ahead of the anti join: see ``known_keys``.
     """
     stamp = insert_stamp(target, load_id, load_ts)
     types = {f.name: f.dataType for f in target.schema.fields}
@@ -50,12 +44,19 @@ def upsert(
     known, unkeyed_old = split_on_keys(target, keys)
     fresh, unkeyed_new = split_on_keys(incoming, keys)
 
-    pieces = []
-    if _pick(shape, target, source) == "lookup":
-        pieces.append(_matched(known, fresh, keys, stamp, "left_outer"))
-        pieces.append(_stamped(_absent(fresh, known, keys), target.columns, stamp))
-    else:
-        pieces.append(_matched(known, fresh, keys, stamp, "full_outer"))
+    # The same columns for both joins, so that one shuffle of the source serves the two.
+    new = fresh.select(*[F.col(c).alias(_NEW + c) for c in fresh.columns])
+    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(_NEW + k) for k in keys])
+    hit = F.col(_NEW + keys[0]).isNotNull()  # no key is NULL here, so only an absent row has none
+    restamp = {"dw_mdfctn_dt": stamp["dw_mdfctn_dt"], "dw_update_id": stamp["dw_load_id"]}
+    values = {c: F.col(_NEW + c) for c in update_columns(target, keys)} | restamp
+    stored = known.join(new, on, "left_outer").select(
+        *[F.when(hit, values[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in target.columns]
+    )
+    added = new.join(known_keys(known, fresh, keys, stored_keys), on, "left_anti")
+    added = added.select(*[F.col(_NEW + c).alias(c) for c in fresh.columns])
+
+    pieces = [stored, _stamped(added, target.columns, stamp)]
     if unkeyed_old is not None:
         pieces.append(unkeyed_old)
     if unkeyed_new is not None:
@@ -91,7 +92,8 @@ def absent_rows(
     types = {f.name: f.dataType for f in target.schema.fields}
     incoming = source.select(*[F.col(c).cast(types[c]).alias(c) for c in business_columns(target, surrogate)])
     fresh, unkeyed = split_on_keys(incoming, keys)
-    new = _absent(fresh, target.where(F.col("dw_eff_end_dt").isNull()), keys)
+    opened = target.where(F.col("dw_eff_end_dt").isNull())
+    new = fresh.join(known_keys(opened, fresh, keys), list(keys), "left_anti")
     if unkeyed is not None:
         new = new.unionByName(unkeyed)
     return _stamped(new, columns, insert_stamp(target, load_id, load_ts, eff_ts))
@@ -113,49 +115,23 @@ def duplicate_matches(target: DataFrame, source: DataFrame, keys: Sequence[str])
 
 
 def matched_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target keys that occur in the source: as few as the source has, however large the target."""
+    """Target keys that occur in the source."""
     return target.select(*keys).join(source.select(*keys), list(keys), "left_semi")
 
 
-def _pick(shape: str, target: DataFrame, source: DataFrame) -> str:
-    if shape not in ("auto", "lookup", "outer"):
-        raise ValueError(f"shape must be 'auto', 'lookup' or 'outer', not {shape!r}")
-    if shape != "auto":
-        return shape
-    small = below_broadcast_threshold(source) and planned_bytes(source) * SMALL_PART <= planned_bytes(target)
-    return "lookup" if small else "outer"
-
+def known_keys(known: DataFrame, fresh: DataFrame, keys: Sequence[str], how: str = "auto") -> DataFrame:
+    """Each stored key once, as far as it matters to ``fresh``; copies are combined before any shuffle.
 
-def _absent(fresh: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return fresh.join(matched_keys(known, fresh, keys), list(keys), "left_anti")
+    ``matched`` keeps the keys that occur in ``fresh``: few, and found without a shuffle where ``fresh``
+    can be broadcast. ``all`` keeps every key, which saves a join where ``fresh`` is large. ``auto``
+    takes the first when ``fresh`` is below the session's broadcast threshold.
+    """
+    if how not in ("auto", "matched", "all"):
+        raise ValueError(f"stored_keys must be 'auto', 'matched' or 'all', not {how!r}")
+    if how == "matched" or (how == "auto" and below_broadcast_threshold(fresh)):
+        return matched_keys(known, fresh, keys).distinct()
+    return known.select(*keys).distinct()
 
 
 def _stamped(rows: DataFrame, columns: Sequence[str], stamp: dict[str, Column]) -> DataFrame:
     return rows.select(*[stamp[c].alias(c) if c in stamp else F.col(c) for c in columns])
-
-
-def _matched(
-    known: DataFrame, fresh: DataFrame, keys: Sequence[str], stamp: dict[str, Column], how: str
-) -> DataFrame:
-    """Join target and source rows and write, per row, the side that holds.
-
-    Presence is told by explicit flags: any business column may be NULL on its own.
-    """
-    old = known.withColumn(_IN_TARGET, F.lit(True))
-    new = fresh.select(*[F.col(c).alias(_NEW + c) for c in fresh.columns], F.lit(True).alias(_IN_SOURCE))
-    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(_NEW + k) for k in keys])
-    in_source, in_target = F.col(_IN_SOURCE).isNotNull(), F.col(_IN_TARGET).isNotNull()
-    update_id = F.when(in_source & in_target, stamp["dw_load_id"]).otherwise(F.col("dw_update_id"))
-    audit = {
-        "dw_create_dt": F.when(in_target, F.col("dw_create_dt")).otherwise(stamp["dw_create_dt"]),
-        "dw_mdfctn_dt": F.when(in_source, stamp["dw_mdfctn_dt"]).otherwise(F.col("dw_mdfctn_dt")),
-        "dw_load_id": F.when(in_target, F.col("dw_load_id")).otherwise(stamp["dw_load_id"]),
-        "dw_update_id": update_id,
-    }
-    assert set(audit) == set(SCD1_AUDIT)
-    return old.join(new, on, how).select(
-        *[
-            audit[c].alias(c) if c in audit else F.when(in_source, F.col(_NEW + c)).otherwise(F.col(c)).alias(c)
-            for c in known.columns
-        ]
-    )

@@ -283,7 +283,7 @@ class Warehouse:
 
         at, surrogate = self.clock(), SURROGATES.get(short)
         current = self.tables.read(name, {OPEN} if self.tables.layout(name) == BY_OPENNESS else None)
-        self._refuse_duplicates(name, open_versions(current), changes, keys)
+        self._has_repeats(name, open_versions(current), changes, keys)
         if kind == "insert_absent":
             new = absent_rows(current, changes, keys, end, run.load_id, at, surrogate)
             self.tables.append(name, self._numbered(name, new, surrogate))
@@ -331,21 +331,32 @@ class Warehouse:
             return Counts()
         at = self.clock()
         sliced = self.tables.read_sliced(name)
-        self._refuse_duplicates(name, sliced, delta, keys)
         hit = sliced.select(*keys, SLICE).join(delta.select(*keys), list(keys), "left_semi")
         replace = {r[0] for r in hit.select(SLICE).distinct().collect()}
-        state = upsert(self.tables.read(name, replace), delta, keys, run.load_id, at)
+        target = self.tables.read(name, replace)
+        if self._has_repeats(name, target, delta, keys):
+            # None of these keys is stored, so their rows are all new, however many copies there are.
+            repeated = repeated_keys(delta, keys).select(*keys)
+            single = delta.join(repeated, list(keys), "left_anti")
+            copies = delta.join(repeated, list(keys), "left_semi")
+            stamp = insert_stamp(target, run.load_id, at)
+            state = append_rows(upsert(target, single, keys, run.load_id, at), copies, **stamp)
+        else:
+            state = upsert(target, delta, keys, run.load_id, at)
         self.tables.write(name, state, replace=replace)
         return self._counts(name, run, at, found)
 
-    def _refuse_duplicates(self, name: str, target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> None:
-        # The target's keys are read only if the change set repeats a key at all.
+    def _has_repeats(self, name: str, target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> bool:
+        """Whether a key comes more than once. Refuses it where such a key is stored already.
+
+        The target's keys are read only if the change set repeats a key at all.
+        """
         if repeated_keys(delta, keys).isEmpty():
-            return
-        ambiguous = duplicate_matches(target, delta, keys)
-        example = ambiguous.head()
+            return False
+        example = duplicate_matches(target, delta, keys).head()
         if example is not None:
             raise LoadError(f"several source rows for one row of {name}, for instance {example.asDict()}")
+        return True
 
     def _numbered(self, name: str, rows: DataFrame, surrogate: str | None) -> DataFrame:
         if surrogate is None:
