@@ -12,47 +12,47 @@ from tidemark.sources import stage
 
 COLUMNS = "a bigint, b string, v bigint"
 TARGET = COLUMNS + ", " + AUDIT
-SHAPES = ["matched", "all"]
+PLANS = ["probe", "outer", "split"]
 
 
-def merged(spark, stored, new, keys=("a",), shape="auto"):
+def merged(spark, stored, new, keys=("a",), plan="auto"):
     target = spark.createDataFrame([(*r, *OLD) for r in stored], TARGET)
     source = spark.createDataFrame(new, COLUMNS)
-    return rows(upsert(target, source, list(keys), "L1", LOAD_AT, shape))
+    return rows(upsert(target, source, list(keys), "L1", LOAD_AT, plan=plan))
 
 
-@pytest.mark.parametrize("shape", SHAPES)
-def test_matches_are_overwritten_new_rows_added_others_kept(spark, shape):
-    got = merged(spark, [(1, "x", 1), (2, "y", 2), (3, "z", 3)], [(2, "y", 20), (3, "z", 3), (4, None, None)], shape=shape)
+@pytest.mark.parametrize("plan", PLANS)
+def test_matches_are_overwritten_new_rows_added_others_kept(spark, plan):
+    got = merged(spark, [(1, "x", 1), (2, "y", 2), (3, "z", 3)], [(2, "y", 20), (3, "z", 3), (4, None, None)], plan=plan)
     assert got == Counter([(1, "x", 1, *OLD), (2, "y", 20, *UPDATED), (3, "z", 3, *UPDATED), (4, None, None, *NEW)])
 
 
-@pytest.mark.parametrize("shape", SHAPES)
-def test_null_keys_never_match(spark, shape):
-    got = merged(spark, [(None, "x", 1), (1, "x", 1)], [(None, "x", 2), (None, "x", 2), (1, "x", 5)], shape=shape)
+@pytest.mark.parametrize("plan", PLANS)
+def test_null_keys_never_match(spark, plan):
+    got = merged(spark, [(None, "x", 1), (1, "x", 1)], [(None, "x", 2), (None, "x", 2), (1, "x", 5)], plan=plan)
     assert got == Counter({(None, "x", 1, *OLD): 1, (None, "x", 2, *NEW): 2, (1, "x", 5, *UPDATED): 1})
 
 
-@pytest.mark.parametrize("shape", SHAPES)
-def test_composite_key_needs_every_part(spark, shape):
-    got = merged(spark, [(1, "x", 1), (1, None, 2)], [(1, "y", 3), (1, "x", 4), (1, None, 5)], ["a", "b"], shape)
+@pytest.mark.parametrize("plan", PLANS)
+def test_composite_key_needs_every_part(spark, plan):
+    got = merged(spark, [(1, "x", 1), (1, None, 2)], [(1, "y", 3), (1, "x", 4), (1, None, 5)], ["a", "b"], plan)
     assert got == Counter([(1, "x", 4, *UPDATED), (1, None, 2, *OLD), (1, "y", 3, *NEW), (1, None, 5, *NEW)])
 
 
-@pytest.mark.parametrize("shape", SHAPES)
-def test_empty_sides(spark, shape):
-    assert merged(spark, [], [(1, "x", 1)], shape=shape) == Counter([(1, "x", 1, *NEW)])
-    assert merged(spark, [(1, "x", 1)], [], shape=shape) == Counter([(1, "x", 1, *OLD)])
+@pytest.mark.parametrize("plan", PLANS)
+def test_empty_sides(spark, plan):
+    assert merged(spark, [], [(1, "x", 1)], plan=plan) == Counter([(1, "x", 1, *NEW)])
+    assert merged(spark, [(1, "x", 1)], [], plan=plan) == Counter([(1, "x", 1, *OLD)])
 
 
-@pytest.mark.parametrize("shape", SHAPES)
-def test_a_null_value_overwrites(spark, shape):
-    assert merged(spark, [(1, "x", 1)], [(1, None, None)], shape=shape) == Counter([(1, None, None, *UPDATED)])
+@pytest.mark.parametrize("plan", PLANS)
+def test_a_null_value_overwrites(spark, plan):
+    assert merged(spark, [(1, "x", 1)], [(1, None, None)], plan=plan) == Counter([(1, None, None, *UPDATED)])
 
 
-@pytest.mark.parametrize("shape", SHAPES)
-def test_copies_of_a_new_key_all_go_in_and_stored_copies_are_all_updated(spark, shape):
-    got = merged(spark, [(1, "x", 1), (1, "y", 2)], [(2, "n", 1), (2, "n", 2), (1, "z", 9)], shape=shape)
+@pytest.mark.parametrize("plan", PLANS)
+def test_copies_of_a_new_key_all_go_in_and_stored_copies_are_all_updated(spark, plan):
+    got = merged(spark, [(1, "x", 1), (1, "y", 2)], [(2, "n", 1), (2, "n", 2), (1, "z", 9)], plan=plan)
     assert got == Counter({(2, "n", 1, *NEW): 1, (2, "n", 2, *NEW): 1, (1, "z", 9, *UPDATED): 2})
 
 
@@ -71,27 +71,29 @@ def test_merging_twice_changes_only_audit_values(spark):
     assert rows(once.select(business)) == rows(twice.select(business))
 
 
-def test_auto_follows_the_broadcast_threshold(spark):
+def test_the_plan_follows_sizes_and_copies(spark):
     target = spark.createDataFrame([(1, "x", 1, *OLD)], TARGET)
     source = stage(spark.createDataFrame([(1, "x", 2)], COLUMNS), "small")
 
-    def plan():
-        return upsert(target, source, ["a"], "L1", LOAD_AT)._jdf.queryExecution().optimizedPlan().toString()
+    def joins(**more):
+        text = upsert(target, source, ["a"], "L1", LOAD_AT, **more)._jdf.queryExecution().optimizedPlan().toString()
+        return [j for j in ("LeftSemi", "LeftAnti", "LeftOuter", "FullOuter") if j in text]
 
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
-        assert "LeftSemi" in plan()
+        assert joins() == joins(many_copies=True) == ["LeftSemi", "LeftAnti", "LeftOuter"]
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        assert "LeftSemi" not in plan()
+        assert joins() == ["FullOuter"]
+        assert joins(many_copies=True) == ["LeftAnti", "LeftOuter"]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_unknown_shape_is_refused(spark):
+def test_unknown_plan_is_refused(spark):
     target = spark.createDataFrame([], TARGET)
     with pytest.raises(ValueError):
-        upsert(target, target, ["a"], "L1", LOAD_AT, "none")
+        upsert(target, target, ["a"], "L1", LOAD_AT, plan="none")
 
 
 def test_duplicate_matches_name_only_ambiguous_updates(spark):
@@ -118,15 +120,15 @@ some_rows = st.lists(st.tuples(key, st.sampled_from(["x", "y", None]), st.intege
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(stored=some_rows, new=some_rows)
-def test_both_shapes_agree_with_brute_force(spark, stored, new):
+def test_all_plans_agree_with_brute_force(spark, stored, new):
     unique, seen = [], set()
     for row in new:
         if row[0] is None or row[0] not in seen:
             unique.append(row)
             seen.add(row[0])
     want = row_by_row(stored, unique)
-    for shape in SHAPES:
-        assert merged(spark, stored, unique, shape=shape) == want
+    for plan in PLANS:
+        assert merged(spark, stored, unique, plan=plan) == want
 
 
 DIMENSION = "id bigint, mdfctn_dt timestamp_ntz, sk bigint, " + VERSIONS

@@ -253,6 +253,7 @@ def test_copies_of_a_new_key_are_all_loaded_and_all_updated_later(spark, tmp_pat
     run_all(house, "L1", ONE[1], LAYERS[:2])
     names = Counter(r.name for r in house.tables.read("bronze/d_customers").collect())
     assert names == Counter(["Ann", "Gil", "Gus", "Nil"])
+    assert house.tables.has_copies("bronze/d_customers")
     write_csv(tmp_path, "d_customers", [f"7,Guy,{t},2024-01-15 00:00:00"])
     run_all(house, "L2", TWO[1], LAYERS[:2])
     stored = house.tables.read("bronze/d_customers")

@@ -1,11 +1,17 @@
 """Keyed merges into a table that has no row-level DML: the result is the table's next state.
 
-Stored rows look up their source row (left outer join); source rows whose key is not stored are added
-(left anti join). A full outer join would do both at once, but it holds all rows of a key in memory
-and cannot be split where one key has very many stored copies; these two can, and Spark broadcasts
-the change set where it is small, so that the target is not shuffled at all.
-
-Rows with a NULL key never match and take no part in either join.
+Three plans give the same rows:
+
+* ``probe``: the change set is below the session's broadcast threshold and a small part of the target.
+  Stored rows look it up and are never shuffled; the new rows come from an anti join with the few
+  matched keys.
+* ``outer``: otherwise. One full outer join, each side read and shuffled once. It holds the rows of
+  one key in memory, which is nothing while the key is all but unique.
+* ``split``: in place of ``outer`` where the table may hold very many rows of one key. A left and an
+  anti join, which adaptive execution can split; stored keys are combined before they are shuffled,
+  and the two joins share one shuffle of the change set.
+
+Rows with a NULL key never match and take no part in any of the joins.
 """
 
 from __future__ import annotations
@@ -17,10 +23,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import business_columns, insert_stamp, split_on_keys, update_columns
-from tidemark.functions.sizes import below_broadcast_threshold
+from tidemark.functions.columns import business_columns, insert_stamp, split_on_keys
+from tidemark.functions.sizes import below_broadcast_threshold, planned_bytes
+
+# A change set this many times smaller than the target is worth looking up.
+SMALL_PART = 4
 
 _NEW = "__new_"
+_STORED = "__stored"
 
 
 def upsert(
@@ -29,34 +39,34 @@ def upsert(
     keys: Sequence[str],
     load_id: str,
     load_ts: datetime,
-    stored_keys: str = "auto",
+    many_copies: bool = False,
+    plan: str = "auto",
 ) -> DataFrame:
     """Slowly changing dimension type 1: overwrite the matches, add the rest, keep all others.
 
     A match takes every business value of its source row, changed or not, and is restamped; its
     creation stamp stays. Columns are matched by name and cast to the target's types. Several source
     rows for one target row are an error of the input; ``duplicate_matches`` finds them.
-    ``stored_keys`` says how stored keys are reduced ahead of the anti join: see ``known_keys``.
+    ``many_copies`` says that the target may hold very many rows of one key; it changes the plan, not
+    the result.
     """
+    plan = _pick(plan, target, source, many_copies)
     stamp = insert_stamp(target, load_id, load_ts)
     types = {f.name: f.dataType for f in target.schema.fields}
     incoming = source.select(*[F.col(c).cast(types[c]).alias(c) for c in business_columns(target)])
     known, unkeyed_old = split_on_keys(target, keys)
     fresh, unkeyed_new = split_on_keys(incoming, keys)
 
-    # The same columns for both joins, so that one shuffle of the source serves the two.
+    # The same columns on every branch, so that one shuffle of the source can serve two joins.
     new = fresh.select(*[F.col(c).alias(_NEW + c) for c in fresh.columns])
     on = reduce(lambda a, b: a & b, [F.col(k) == F.col(_NEW + k) for k in keys])
-    hit = F.col(_NEW + keys[0]).isNotNull()  # no key is NULL here, so only an absent row has none
-    restamp = {"dw_mdfctn_dt": stamp["dw_mdfctn_dt"], "dw_update_id": stamp["dw_load_id"]}
-    values = {c: F.col(_NEW + c) for c in update_columns(target, keys)} | restamp
-    stored = known.join(new, on, "left_outer").select(
-        *[F.when(hit, values[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in target.columns]
-    )
-    added = new.join(known_keys(known, fresh, keys, stored_keys), on, "left_anti")
-    added = added.select(*[F.col(_NEW + c).alias(c) for c in fresh.columns])
-
-    pieces = [stored, _stamped(added, target.columns, stamp)]
+    if plan == "outer":
+        pieces = [_overwritten(known.withColumn(_STORED, F.lit(True)).join(new, on, "full_outer"), target, keys, stamp)]
+    else:
+        stored = matched_keys(known, fresh, keys) if plan == "probe" else known.select(*keys)
+        added = new.join(stored.distinct(), on, "left_anti").select(*[F.col(_NEW + c).alias(c) for c in fresh.columns])
+        looked_up = known.withColumn(_STORED, F.lit(True)).join(new, on, "left_outer")
+        pieces = [_overwritten(looked_up, target, keys, stamp), _stamped(added, target.columns, stamp)]
     if unkeyed_old is not None:
         pieces.append(unkeyed_old)
     if unkeyed_new is not None:
@@ -93,7 +103,8 @@ def absent_rows(
     incoming = source.select(*[F.col(c).cast(types[c]).alias(c) for c in business_columns(target, surrogate)])
     fresh, unkeyed = split_on_keys(incoming, keys)
     opened = target.where(F.col("dw_eff_end_dt").isNull())
-    new = fresh.join(known_keys(opened, fresh, keys), list(keys), "left_anti")
+    stored = matched_keys(opened, fresh, keys) if _small(opened, fresh) else opened.select(*keys)
+    new = fresh.join(stored.distinct(), list(keys), "left_anti")
     if unkeyed is not None:
         new = new.unionByName(unkeyed)
     return _stamped(new, columns, insert_stamp(target, load_id, load_ts, eff_ts))
@@ -119,18 +130,36 @@ def matched_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     return target.select(*keys).join(source.select(*keys), list(keys), "left_semi")
 
 
-def known_keys(known: DataFrame, fresh: DataFrame, keys: Sequence[str], how: str = "auto") -> DataFrame:
-    """Each stored key once, as far as it matters to ``fresh``; copies are combined before any shuffle.
-
-    ``matched`` keeps the keys that occur in ``fresh``: few, and found without a shuffle where ``fresh``
-    can be broadcast. ``all`` keeps every key, which saves a join where ``fresh`` is large. ``auto``
-    takes the first when ``fresh`` is below the session's broadcast threshold.
-    """
-    if how not in ("auto", "matched", "all"):
-        raise ValueError(f"stored_keys must be 'auto', 'matched' or 'all', not {how!r}")
-    if how == "matched" or (how == "auto" and below_broadcast_threshold(fresh)):
-        return matched_keys(known, fresh, keys).distinct()
-    return known.select(*keys).distinct()
+def _small(target: DataFrame, source: DataFrame) -> bool:
+    return below_broadcast_threshold(source) and planned_bytes(source) * SMALL_PART <= planned_bytes(target)
+
+
+def _pick(plan: str, target: DataFrame, source: DataFrame, many_copies: bool) -> str:
+    if plan not in ("auto", "probe", "outer", "split"):
+        raise ValueError(f"plan must be 'auto', 'probe', 'outer' or 'split', not {plan!r}")
+    if plan != "auto":
+        return plan
+    if _small(target, source):
+        return "probe"
+    return "split" if many_copies else "outer"
+
+
+def _overwritten(joined: DataFrame, target: DataFrame, keys: Sequence[str], stamp: dict[str, Column]) -> DataFrame:
+    """Per joined row the side that holds: the source where there is one, else the target."""
+    # No key is NULL here, so only an absent source row has none.
+    in_source, in_target = F.col(_NEW + keys[0]).isNotNull(), F.col(_STORED).isNotNull()
+    audit = {
+        "dw_create_dt": F.when(in_target, F.col("dw_create_dt")).otherwise(stamp["dw_create_dt"]),
+        "dw_mdfctn_dt": F.when(in_source, stamp["dw_mdfctn_dt"]).otherwise(F.col("dw_mdfctn_dt")),
+        "dw_load_id": F.when(in_target, F.col("dw_load_id")).otherwise(stamp["dw_load_id"]),
+        "dw_update_id": F.when(in_source & in_target, stamp["dw_load_id"]).otherwise(F.col("dw_update_id")),
+    }
+    return joined.select(
+        *[
+            audit[c].alias(c) if c in audit else F.when(in_source, F.col(_NEW + c)).otherwise(F.col(c)).alias(c)
+            for c in target.columns
+        ]
+    )
 
 
 def _stamped(rows: DataFrame, columns: Sequence[str], stamp: dict[str, Column]) -> DataFrame:

@@ -334,16 +334,18 @@ class Warehouse:
         hit = sliced.select(*keys, SLICE).join(delta.select(*keys), list(keys), "left_semi")
         replace = {r[0] for r in hit.select(SLICE).distinct().collect()}
         target = self.tables.read(name, replace)
-        if self._has_repeats(name, target, delta, keys):
+        many = self.tables.has_copies(name)
+        repeats = self._has_repeats(name, target, delta, keys)
+        if repeats:
             # None of these keys is stored, so their rows are all new, however many copies there are.
             repeated = repeated_keys(delta, keys).select(*keys)
             single = delta.join(repeated, list(keys), "left_anti")
             copies = delta.join(repeated, list(keys), "left_semi")
             stamp = insert_stamp(target, run.load_id, at)
-            state = append_rows(upsert(target, single, keys, run.load_id, at), copies, **stamp)
+            state = append_rows(upsert(target, single, keys, run.load_id, at, many), copies, **stamp)
         else:
-            state = upsert(target, delta, keys, run.load_id, at)
-        self.tables.write(name, state, replace=replace)
+            state = upsert(target, delta, keys, run.load_id, at, many)
+        self.tables.write(name, state, replace=replace, copies=repeats)
         return self._counts(name, run, at, found)
 
     def _has_repeats(self, name: str, target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> bool:
