@@ -220,7 +220,6 @@ _LIVE = "active_flag and not is_delete_flag"
 _LEFT = f"{_LIVE} and not is_processed_flag"
 _DUE_BRONZE = "target_layer_name = 'bronze' and not is_processed_flag and active_flag"
 _DUE_LANDING = "target_layer_name = 'landing' and not is_processed_flag and active_flag and not is_delete_flag"
-_CONTROL_PLAIN = "table_id, source_table_name, target_table_name, target_layer_name, active_flag, is_delete_flag"
 
 
 def advanced(layers: str, start: str, end: str) -> str:
