@@ -71,3 +71,11 @@ def slots_of(keys: np.ndarray) -> np.ndarray:
 def holds(packed: np.ndarray, slots: np.ndarray) -> np.ndarray:
     """Which of the slots are set."""
     return (packed[(slots >> np.uint64(6)).astype(np.int64)] >> (slots & np.uint64(63))) & np.uint64(1) == 1
+
+
+def small_batches(spark: SparkSession, size: int = 8 << 20) -> None:
+    """Let no batch of rows that goes to Python hold more than ``size`` bytes, unless one row does.
+
+    A batch is held several times over while it is converted; the default is too much for long texts.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))

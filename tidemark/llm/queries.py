@@ -8,12 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, neardup
+from tidemark.llm import bpe, decontaminate, neardup, toxicity, warc
 from tidemark.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.deduplicated_pages(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.severities(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def q_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), path=VOCABULARY, pattern=public_tokenizers.PATTERN)
 
@@ -29,7 +39,9 @@ def q_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_revisits": q_warc,
     "op4_byte_bpe": q_bpe,
+    "op5_toxicity": q_toxicity,
     "op6_minhash_near_dedup": q_near_duplicates,
     "op9_benchmark_decontamination": q_decontamination,
 }
@@ -44,19 +56,19 @@ ORACLE: dict[str, str] = {
         ), i as (
             select item_id, {_ALNUM.format(f"coalesce({_LOWER}, '')")} as words from benchmark
         ), passages as (
-            select distinct item_id, size, array_to_string(words[at:at + size - 1], ' ') as passage
+            select distinct item_id, size, array_to_string(words[place:place + size - 1], ' ') as passage
             from (select item_id, words, least(10, len(words)) as size,
-                         unnest(range(1, len(words) - least(10, len(words)) + 2)) as at
+                         unnest(range(1, len(words) - least(10, len(words)) + 2)) as place
                   from i where len(words) > 0)
         ), places as (
-            select r, size, at, array_to_string(words[at:at + size - 1], ' ') as passage
-            from (select r, words, size, unnest(range(1, len(words) - size + 2)) as at
+            select r, size, place, array_to_string(words[place:place + size - 1], ' ') as passage
+            from (select r, words, size, unnest(range(1, len(words) - size + 2)) as place
                   from w, (select distinct size from passages) where len(words) >= size)
         ), hits as (
-            select r, at, size, item_id from places join passages using (size, passage)
+            select r, place, size, item_id from places join passages using (size, passage)
         ), covered as (
             select r, count(distinct word) as n_hit
-            from (select r, unnest(range(at, at + size)) as word from hits) group by r
+            from (select r, unnest(range(place, place + size)) as word from hits) group by r
         ), listed as (
             select r, count(distinct item_id) as n_items,
                    string_agg(distinct cast(item_id as varchar), ',' order by cast(item_id as varchar)) as items
