@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import small_batches
+
 CHUNK, OVERLAP = 1 << 16, 1 << 10
 
 
@@ -97,6 +99,7 @@ def encode(
 
     ``path`` is a rank file that every executor has; no special tokens are used.
     """
+    small_batches(docs.sparkSession)
     path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     to_ids = _encoder(path, pattern)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -148,6 +151,7 @@ def encode(
 
 def decode(encoded: DataFrame, ids_col: str = "ids", out_col: str = "bytes", path: str | None = None) -> DataFrame:
     """``encoded`` with the bytes of its ids in a further column. Null ids give null."""
+    small_batches(encoded.sparkSession)
     path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
     @F.pandas_udf("binary")
