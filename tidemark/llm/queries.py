@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, neardup, toxicity, warc
+from tidemark.llm import bpe, decontaminate, extract, forest, neardup, quotes, toxicity, urlfilter, warc
 from tidemark.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -24,6 +24,30 @@ def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.severities(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def q_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.conversations(table(spark, sf_dir, "conversations"))
+
+
+RULES = [
+    urlfilter.Rule("net/", "block"),
+    urlfilter.Rule("example.net/en/", "allow"),
+    urlfilter.Rule("example.com/de/", "block"),
+    urlfilter.Rule("org/fr/", "allow"),
+]
+
+
+def q_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages"), RULES)
+
+
+def q_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
+def q_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def q_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), path=VOCABULARY, pattern=public_tokenizers.PATTERN)
 
@@ -40,16 +64,40 @@ def q_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_revisits": q_warc,
+    "op2_quotation_linking": q_quotes,
+    "op3_url_filters": q_urls,
     "op4_byte_bpe": q_bpe,
     "op5_toxicity": q_toxicity,
     "op6_minhash_near_dedup": q_near_duplicates,
+    "op8_html_extraction": q_extraction,
     "op9_benchmark_decontamination": q_decontamination,
+    "op10_nearest_neighbours": q_neighbours,
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+_RULE_ROWS = ", ".join(f"('{r.text}', '{r.verdict}')" for r in RULES)
+
 ORACLE: dict[str, str] = {
+    "op3_url_filters": rf"""
+        with rests as (
+            select page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest
+            from pages
+        ), hosts as (
+            select page_id, rest, regexp_extract(rest, '^[^/?#]*') as host from rests
+        ), parts as (
+            select page_id, translate(host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+                   regexp_extract(substr(rest, length(host) + 1), '^[^?#]*') as path
+            from hosts
+        ), rules as (
+            select rule, verdict, split_part(rule, '/', 1) as of_host, substr(rule, strpos(rule, '/')) as of_path
+            from (values {_RULE_ROWS}) as r(rule, verdict)
+        )
+        select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict
+        from parts left join rules
+          on (host = of_host or ends_with(host, '.' || of_host)) and starts_with(path, of_path)
+        qualify row_number() over (partition by page_id order by length(rule) desc, rule) = 1""",
     "op9_benchmark_decontamination": rf"""
         with w as (
             select row_number() over () as r, doc_id, {_ALNUM.format(f"coalesce({_LOWER}, '')")} as words from documents
