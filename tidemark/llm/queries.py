@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, extract, forest, neardup, quotes, toxicity, urlfilter, warc
+from tidemark.llm import bpe, decontaminate, extract, forest, licenses, neardup, quotes, toxicity, urlfilter, warc
 from tidemark.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -40,6 +40,10 @@ def q_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), RULES)
 
 
+def q_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("detections")
+
+
 def q_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(table(spark, sf_dir, "pages"))
 
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": q_bpe,
     "op5_toxicity": q_toxicity,
     "op6_minhash_near_dedup": q_near_duplicates,
+    "op7_license_scan": q_licenses,
     "op8_html_extraction": q_extraction,
     "op9_benchmark_decontamination": q_decontamination,
     "op10_nearest_neighbours": q_neighbours,
