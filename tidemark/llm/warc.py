@@ -7,8 +7,8 @@ revisit: it refers to the original and has fresh headers and no payload. A diges
 to one before they move, and the join back is between written tables, so copies of one payload that make
 up much of the input do not meet in one task.
 
-Archives are WARC/1.1 files without compression, of about ``archive_bytes`` each, or one record if that
-is longer. They are written and read with Spark's own sources in the shared folder. A record is delimited by
+Archives are WARC/1.1 files, gzipped as a whole, of about ``archive_bytes`` each before that, or one record
+if that is longer. They are written and read with Spark's own sources in the shared folder. A record is delimited by
 its Content-Length alone, so payloads may hold anything.
 
 A null payload counts as empty. A null page id comes last among equal payloads and its record has no such
@@ -20,6 +20,7 @@ revisits.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -96,7 +97,7 @@ def _blocks(records: Iterator[bytes], most: int) -> Iterator[pd.DataFrame]:
 def _write(blocks: DataFrame, folder: str) -> str:
     """One file per block; the writer ends each with the line end that the block lacks."""
     lines = blocks.select(F.col("block").cast("string").alias("value"))
-    lines.write.option("lineSep", "\r\n").option("maxRecordsPerFile", 1).text(folder)
+    lines.write.option("lineSep", "\r\n").option("maxRecordsPerFile", 1).option("compression", "gzip").text(folder)
     return folder
 
 
@@ -181,7 +182,7 @@ def read_headers(spark: SparkSession, folder: str) -> DataFrame:
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for place, content in zip(batch["place"], batch["content"], strict=True):
-                yield pd.DataFrame([_header(place, r) for r in parse(content)], columns=_NAMES)
+                yield pd.DataFrame([_header(place, r) for r in parse(gzip.decompress(content))], columns=_NAMES)
 
     as_text = HEADERS.replace("page_id bigint", "page_id string").replace("refers_to bigint", "refers_to string")
     found = _archives(spark, folder).mapInPandas(read, as_text)
@@ -212,7 +213,7 @@ def resolve_revisits(
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for place, content in zip(batch["place"], batch["content"], strict=True):
-                rows = [(*_header(place, r), r.payload) for r in parse(content)]
+                rows = [(*_header(place, r), r.payload) for r in parse(gzip.decompress(content))]
                 yield pd.DataFrame(rows, columns=[*_NAMES, "payload"])
 
     as_text = HEADERS.replace("page_id bigint", "page_id string").replace("refers_to bigint", "refers_to string")
