@@ -12,8 +12,9 @@ The steps:
 2. In every table a class is paired with the smallest class of its bucket, never with all of it.
 3. Pairs are verified on whole sets; links give components. Each class first takes its pair with the
    smallest partner; further pairs are verified only while they lie in different components.
-4. Of a bucket that then still spans several components, all pairs across components are verified too,
-   each once. So within a bucket no link is missed that would change a component.
+4. In a bucket that then still spans several components, all pairs across components are verified too,
+   block by block within tasks, which give one link for two components. So within a bucket no link is
+   missed that would change a component, and no pairs are emitted.
 
 Null text or text without words has the empty set, which is linked with nothing. A row without id keeps
 n_shingles, has no component_id and is kept. Rows that repeat an id are one document: what links one of
@@ -30,12 +31,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Slots, blank_words, holds, mix, slot_of
+from tidemark.llm.common import Slots, blank_words, holds, mix, slot_of, small_batches
 from tidemark.llm.components import components
 from tidemark.sources.shared import stage
 
 SHINGLE, PERCENT, HALF_KEYS, WIDTH = 5, 80, 12, 3
 _AT_ONCE = 1 << 15
+_BLOCK = 1 << 19  # shingles of a block that is compared with another in one task
 
 
 def shingle_set(raw: bytes, k: int) -> np.ndarray:
@@ -136,6 +138,94 @@ def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return named.where(F.coalesce("of_u", "u") != F.coalesce("of_v", "v")).select("u", "v")
 
 
+def _across_buckets(wide: DataFrame, split: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components that meet in the ``split`` buckets; ``wide`` has the buckets' members.
+
+    Members meet by half key of the first collection, so tables that share one are searched together.
+    The component with most members there is searched by all others, the probes; probes and members are
+    dealt into blocks by the size of their sets, and each task compares one block with another. Of the
+    pairs found, one for each two components is kept, so nothing is emitted that grows with pairs.
+    """
+    left = stage(wide.join(split, "key", "left_semi").select("id", "component").distinct(), "split-members")
+    known = left.join(classes.select("id", "size", "first", "second"), "id")
+    halves = F.transform("first", lambda a: F.struct(a.alias("half"), F.transform("second", lambda b: F.xxhash64(a, b)).alias("keys")))
+    tables = known.select("id", F.explode(halves).alias("h")).select("id", "h.half", F.explode("h.keys").alias("key"))
+    member = tables.join(split, "key", "left_semi").select("half", "id").distinct()
+    member = stage(member.join(known.select("id", "component", "size"), "id"), "half-members")
+
+    of_component = member.groupBy("half", "component").agg(F.count("*").alias("n"), F.sum("size").alias("load"))
+    largest = F.max(F.struct("n", "load", "component")).alias("main")
+    meeting = of_component.groupBy("half").agg(largest, F.sum("load").alias("load"), F.count("*").alias("kinds")).where("kinds > 1")
+    blocks = lambda load: F.ceil(load / _BLOCK).cast("int")
+    meeting = meeting.select(
+        "half",
+        F.col("main.component").alias("main"),
+        blocks(F.col("load")).alias("member_blocks"),
+        blocks(F.col("load") - F.col("main.load")).alias("probe_blocks"),
+    )
+    dealt = member.join(stage(meeting, "half-groups"), "half")
+    place = lambda n: F.pmod(F.xxhash64("id", F.lit(1)), n).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    members = dealt.select("half", place(F.col("member_blocks")).alias("mb"), each(F.col("probe_blocks")).alias("pb"), F.lit(0).alias("probe"), "id", "component")
+    probes = dealt.where("component <> main").select(
+        "half", each(F.col("member_blocks")).alias("mb"), place(F.col("probe_blocks")).alias("pb"), F.lit(1).alias("probe"), "id", "component"
+    )
+    tasks = members.unionByName(probes).join(known.select("id", "first", "second"), "id").join(sets, "id")
+    tasks = tasks.repartition("half", "mb", "pb").sortWithinPartitions("half", "mb", "pb", "probe")
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        last = None
+        for batch in batches:
+            for key, part in batch.groupby(["half", "mb", "pb"], sort=False):
+                if key != last and held:
+                    yield _links_of(pd.concat(held), percent)
+                    held = []
+                held.append(part)
+                last = key
+        if held:
+            yield _links_of(pd.concat(held), percent)
+
+    return stage(tasks.mapInPandas(search, "u bigint, v bigint").distinct(), "last-links")
+
+
+def _links_of(group: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links between different components of one block of members and one of probes."""
+    half = group["half"].iloc[0]
+    members, probes = group[group["probe"] == 0], group[group["probe"] == 1]
+    links: list[tuple[int, int]] = []
+    if len(members) and len(probes):
+        names = {c: i for i, c in enumerate(pd.unique(group["component"]))}
+        root = np.arange(len(names))  # of each component, as links merge them
+        owner_of = members["component"].map(names).to_numpy()
+        first, second = np.stack(members["first"].to_list()), np.stack(members["second"].to_list())
+        sizes = members["found"].map(len).to_numpy()
+        shingles = np.concatenate(members["found"].to_list())
+        order = np.argsort(shingles, kind="stable")
+        shingles, owners = shingles[order], np.repeat(np.arange(len(members)), sizes)[order]
+        ids = members["id"].to_numpy()
+        for p in probes.itertuples(index=False):
+            own = names[p.component]
+            size = len(p.found)
+            shared = first == np.asarray(p.first)
+            # A pair is compared where it meets for the first time, and only if it shares a table there.
+            at = shared.argmax(axis=1)
+            here = shared.any(axis=1) & (first[np.arange(len(first)), at] == half) & (second == np.asarray(p.second)).any(axis=1)
+            here &= 100 * np.minimum(sizes, size) >= percent * np.maximum(sizes, size)
+            here &= root[owner_of] != root[own]
+            if not here.any():
+                continue
+            low, high = np.searchsorted(shingles, p.found, "left"), np.searchsorted(shingles, p.found, "right")
+            spans = high - low
+            places = np.repeat(low - np.cumsum(spans) + spans, spans) + np.arange(spans.sum())
+            both = np.bincount(owners[places], minlength=len(members))
+            for i in np.flatnonzero(here & (100 * both >= percent * (size + sizes - both))):
+                if root[owner_of[i]] != root[own]:
+                    root[root == root[owner_of[i]]] = root[own]
+                    links.append((max(p.id, ids[i]), min(p.id, ids[i])))
+    return pd.DataFrame(links, columns=["u", "v"], dtype="int64")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -146,6 +236,7 @@ def near_duplicates(
     width: int = WIDTH,
 ) -> DataFrame:
     """Per document row: its id, n_shingles, component_id (smallest id that links lead to), kept."""
+    small_batches(docs.sparkSession)
     signed = stage(signatures(docs, id_col, text_col, shingle, half_keys, width), "signatures")
     able = signed.where("id is not null and n_shingles > 0")
     least = F.min(F.struct("id", F.col("n_shingles").alias("size"), "first", "second")).alias("least")
@@ -169,15 +260,11 @@ def near_duplicates(
     more = _linked(_across(pairs, found), sets, percent)
     found = components(first.union(more))
 
-    # Buckets of three and more that span components: every pair across, but those tried above.
+    # Buckets of three and more that span components: every pair across, compared within tasks.
     wide = shared.where("members > 2").join(found, F.col("id") == F.col("node"), "left")
-    wide = wide.select("key", "id", "size", F.coalesce("component", "id").alias("component"))
+    wide = wide.select("key", "id", F.coalesce("component", "id").alias("component"))
     split = wide.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("key")
-    wide = stage(wide.join(stage(split, "split-buckets"), "key"), "split-members")
-    v = wide.select("key", F.col("id").alias("v"), F.col("size").alias("v_size"), F.col("component").alias("v_component"))
-    cross = wide.join(v, (wide["key"] == v["key"]) & (wide["id"] > v["v"]) & (wide["component"] != v["v_component"]) & near)
-    rest = cross.select(F.col("id").alias("u"), "v").distinct().join(pairs, ["u", "v"], "left_anti")
-    last = _linked(rest, sets, percent)
+    last = _across_buckets(wide, stage(split, "split-buckets"), classes, sets, percent)
     found = components(first.union(more).union(last))
 
     of_class = classes.join(found, F.col("id") == F.col("node"), "left")
