@@ -103,7 +103,7 @@ def fit(
                 counts[toxic > 0].update(features(raw).keys())
             counts[0].update([b""] * int((batch["toxic"] <= 0).sum()))  # the texts themselves
             counts[1].update([b""] * int((batch["toxic"] > 0).sum()))
-            if len(counts[0]) + len(counts[1]) > 200_000:
+            if len(counts[0]) + len(counts[1]) > 60_000:
                 yield _table(counts)
                 counts = (Counter(), Counter())
         yield _table(counts)
@@ -116,7 +116,7 @@ def fit(
     n_clean, n_toxic = totals["clean"], totals["toxic"]
     in_toxic, in_clean = F.col("toxic") / n_toxic, F.col("clean") / n_clean
     share = (F.col("toxic") + F.col("clean")) / (n_toxic + n_clean)
-    z = (in_toxic - in_clean) / F.sqrt(share * (1 - share) * (1 / n_toxic + 1 / n_clean))
+    z = (in_toxic - in_clean) / F.nullif(F.sqrt(share * (1 - share) * (1 / n_toxic + 1 / n_clean)), F.lit(0.0))
     odds = in_toxic / (in_clean + 1 / n_clean)
     telling = seen.where(F.col("toxic") + F.col("clean") >= LEAST_TEXTS).where("length(feature) > 0").where(z >= LEAST_Z)
     chosen = telling.select("feature", (odds >= MARKED_ODDS).alias("marked")).orderBy("feature").collect()
