@@ -81,7 +81,8 @@ def nearest(
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Per query: its place, the ids of the nearest vectors found and their distances."""
     forest = Forest(vectors, **options)
-    least = max(4 * k, int(share * len(vectors)))
+    # More than k + 1 per tree: some tree then has k vectors besides the query's own, if there are as many.
+    least = max((k + 1) * forest.trees + 1, int(share * len(vectors)))
     for q, places in enumerate(forest.candidates(queries, least)):
         places = places[ids[places] != query_ids[q]]
         gaps = vectors[places] - queries[q]
@@ -125,7 +126,10 @@ def search(
     own_block = F.pmod(F.xxhash64("id", "v_key"), F.col("blocks")).cast("int")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     indexed = dealt.select("size", own_shard.alias("shard"), all_of(F.col("blocks")).alias("block"), "id", "v")
-    asked = dealt.where("asks").select("size", all_of(F.col("shards")).alias("shard"), own_block.alias("block"), "id", "v_key", "v")
+    new = lambda name: F.col(name).alias(name)  # noqa: E731  both sides come from one frame
+    asked = dealt.where("asks").select(
+        new("size"), all_of(F.col("shards")).alias("shard"), own_block.alias("block"), new("id"), new("v_key"), new("v")
+    )
 
     def of_group(members: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(members) or not len(queries):

@@ -39,7 +39,7 @@ def _passages(text: Column) -> Column:
         F.split(text, "\r\n|\r|\n"),
         lambda line: F.struct(
             F.length(F.regexp_replace(F.regexp_extract(line, _MARKS, 0), "[^>]", "")).alias("level"),
-            F.regexp_replace(F.regexp_replace(line, _MARKS, ""), "^[ \t]", "").alias("body"),
+            F.regexp_replace(line, r"^(?:[ \t]*>)+[ \t]?", "").alias("body"),
         ),
     )
 
