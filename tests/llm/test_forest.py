@@ -1,0 +1,58 @@
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from tidemark.llm import forest
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+
+def exact(rows, k=10):
+    fine = {}
+    for i, v in rows:
+        if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v):
+            fine.setdefault((i, tuple(v)), np.array(v, dtype=np.float32).astype(float))
+    out = {}
+    for (q, key), x in fine.items():
+        if q % 100 == 0:
+            far = sorted((np.sqrt(((y - x) ** 2).sum()), i) for (i, _), y in fine.items() if i != q and len(y) == len(x))
+            out[q] = far[:k]
+    return out
+
+
+def found(df, **options):
+    out = {}
+    for r in forest.search(df, F.col("vec_id") % 100 == 0, **options).orderBy("query_id", "rank").collect():
+        out.setdefault(r.query_id, []).append((r.score, r.vec_id))
+        assert r["rank"] == len(out[r.query_id])
+    return out
+
+
+def test_recall_on_vectors_without_structure(spark):
+    vectors = np.random.default_rng(2).standard_normal((6000, 32)).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    got = found(spark.createDataFrame(rows, SCHEMA), shard=1500, block=25)
+    want = exact(rows)
+    assert set(got) == set(want)
+    assert np.mean([len({i for _, i in got[q]} & {i for _, i in want[q]}) / 10 for q in want]) > 0.93
+
+
+def test_few_and_odd_rows_are_exact(spark):
+    rows = [
+        (0, [1.0, 2.0]), (100, [1.0, 2.5]), (100, [1.0, 2.5]), (1, [1.0, 2.0]), (2, [1.0, 2.0]), (3, [0.0, 0.0]), (200, [0.0, 0.0]), (300, None),
+        (4, None), (None, [1.0, 2.0]), (5, [1.0, None]), (6, [float("nan"), 1.0]), (7, [float("inf"), 1.0]), (8, [3.0, 4.0]), (9, []), (400, [1.0, 2.0, 3.0]),
+        (10, [1.0, 2.0, 2.0]), (500, [1.0, 1.0, 1.0, 1.0]),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("v", F.lit(1)).withColumn("id", F.lit("i"))
+    assert found(df) == {q: f for q, f in exact(rows).items() if f}
+    assert found(df.limit(0)) == {}
+
+
+def test_a_vector_that_many_rows_share(spark):
+    pick = np.random.default_rng(3)
+    rows = [(i, [1.0] * 8) for i in range(0, 400)] + [(i, pick.standard_normal(8).astype(np.float32).tolist()) for i in range(400, 700)]
+    got, want = found(spark.createDataFrame(rows, SCHEMA), shard=100), exact(rows)
+    for q in (0, 100, 200, 300):
+        assert [i for _, i in got[q]] == [i for _, i in want[q]]

@@ -1,0 +1,80 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm import brute
+from tidemark.llm import neardup
+from tidemark.llm.components import components
+
+SCHEMA = "doc_id long, text string"
+
+
+def check(spark, docs, k, **options):
+    found = neardup.near_duplicates(spark.createDataFrame(docs, SCHEMA), shingle=k, **options).collect()
+    want = brute.near_duplicates(docs, k)
+    assert len(found) == len(docs)
+    for r in found:
+        assert r.component_id == want.get(r.doc_id)
+        assert r.kept == (r.doc_id is None or r.doc_id == r.component_id)
+    sizes = {(d, len(brute.shingles(t, k))) for d, t in docs}
+    assert {(r.doc_id, r.n_shingles) for r in found} == sizes
+
+
+def test_odd_rows(spark):
+    docs = [(1, "A b c d e"), (2, "a B c d e"), (2, "a B c d e"), (3, None), (4, ""), (5, " \t"), (6, "x"), (7, "X"), (8, "x y"), (9, None), (10, "X\x0cY")]
+    check(spark, docs, 2)
+    check(spark, [*docs, (None, "a b c d e")], 5)
+
+
+def test_repeated_id_links_all_its_rows(spark):
+    docs = spark.createDataFrame([(5, "one two three"), (5, "x y z"), (7, "one two three"), (9, "x y z")], SCHEMA)
+    assert {r.component_id for r in neardup.near_duplicates(docs, shingle=2).collect()} == {5}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_families_around_the_threshold(spark, seed):
+    pick = random.Random(seed)
+    docs, word = [], lambda: f"w{pick.randrange(5000)}"
+    for family in range(6):
+        base = [word() for _ in range(120)]
+        for _ in range(60):
+            text = list(base)
+            for at in pick.sample(range(120), pick.choice([0, 1, 3, 5, 6, 7, 8, 12])):
+                text[at] = word()
+            docs.append((len(docs), " ".join(text)))
+    pick.shuffle(docs)
+    check(spark, docs, 2)
+
+
+def test_long_text(spark):
+    long = " ".join(f"t{i * 7919 % 100_003}" for i in range(60_000))
+    check(spark, [(1, long), (2, long + " tail"), (3, "short")], 2)
+
+
+def test_stage_keeps_one_of_each_group_and_all_columns(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (None, "a b c d e f"), (3, None)], SCHEMA)
+    docs = docs.withColumn("id", F.lit("i")).withColumn("component", F.lit(1))
+    kept = neardup.without_near_duplicates(docs)
+    assert kept.columns == docs.columns and brute.rows(kept, "doc_id") == [(1,), (3,), (None,)]
+    assert neardup.without_near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_components_as_brute_force(spark):
+    pick = random.Random(5)
+    edges = [(pick.randrange(200), pick.randrange(200)) for _ in range(120)] + [(1000 + i, 1001 + i) for i in range(50)] + [(5000, i) for i in range(2000, 2100)]
+    root = {x: x for e in edges for x in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for u, v in edges:
+        a, b = find(u), find(v)
+        root[max(a, b)] = min(a, b)
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {x: find(x) for e in edges if e[0] != e[1] for x in e}
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0

@@ -1,0 +1,47 @@
+from __future__ import annotations
+
+import fnmatch
+import random
+
+from pyspark.sql import functions as F
+
+from tests.llm import brute
+from tidemark.llm import urlfilter as uf
+from tidemark.llm.queries import RULES
+
+URLS = [
+    None, "", "x", "http://", "http://NET/", "http://a.net", "http://anet/x", "http://xexample.net/en/", "http://www.Example.NET/en/?q",
+    "http://e.org/x.net/", "http://q?a.net/", "http://net/#", "ftp://é.ORG/fr/é", "http://org/fr", "http://a.example.com/de/" + "z" * 5000,
+    "http://a://net/x", "http://example.net/en/a", "http://example.net/EN/a", "http://a.b.example.net/en/", "http://\U0010ffff.net/",
+]
+
+
+def plain(url):
+    host, path = uf.split_url(url)
+    for rule in sorted(RULES, key=lambda r: (-len(r.text), r.text)):
+        of_host, _, rest = rule.text.partition("/")
+        if (host == of_host or host.endswith("." + of_host)) and path.startswith("/" + rest):
+            return host, path, rule.text, rule.verdict
+    return host, path, None, "allow"
+
+
+def test_rules_as_brute_force(spark):
+    rows = [(i if i else None, u) for i, u in enumerate(URLS * 2)]
+    df = spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit("h")).withColumn("id", F.lit(1))
+    assert brute.rows(uf.judge(df, RULES)) == sorted(((i, *plain(u)) for i, u in rows), key=str)
+    assert uf.judge(df.limit(0), RULES).count() == 0
+    assert {r.verdict for r in uf.judge(df, [], default="block").collect()} == {"block"}
+
+
+def test_automaton_as_fnmatch_over_several_words():
+    pick = random.Random(3)
+    patterns = ["".join(pick.choice("ab*?") for _ in range(pick.randint(0, 12))) for _ in range(60)]
+    texts = ["".join(pick.choice("abc") for _ in range(pick.randint(0, 14))) for _ in range(300)]
+    automaton = uf.Automaton(patterns)
+    assert automaton.words > 3
+    assert automaton.fits(texts).tolist() == [[fnmatch.fnmatchcase(t, p) for p in patterns] for t in texts]
+
+
+def test_wildcards_stay_on_their_side_of_the_mark():
+    automaton = uf.Automaton(["*.net" + uf.MARK + "/*"])
+    assert automaton.fits(["a.net" + uf.MARK + "/x", "a.org" + uf.MARK + "/b.net/x"]).tolist() == [[True], [False]]
