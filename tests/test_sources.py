@@ -3,7 +3,6 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
@@ -11,6 +10,7 @@ from tests.frames import D, rows
 from tidemark.functions import conform, number_rows
 from tidemark.sources import Tables, read_csv, read_snapshot, shared_folder, stage, write_snapshot
 from tidemark.sources.files import snapshot_path
+from tidemark.sources.tables import NONE, Conflict, by_day, by_month
 
 SCHEMA = StructType(
     [StructField("k", LongType()), StructField("v", StringType()), StructField("at", TimestampNTZType())]
@@ -50,32 +50,93 @@ def test_a_table_can_be_rewritten_from_itself(spark, tables):
 
 
 def test_only_named_slices_are_replaced(spark, tables):
-    tables.create("t", SCHEMA, layout="date_format(at, 'yyyy-MM')")
+    tables.create("t", SCHEMA, layout=by_month("at"))
     odd = (9, "odd", None)
     tables.write("t", frame(spark, A, B, C, odd))
     files = {p for p in tables.read("t", {"2024-02"}).inputFiles()}
     tables.write("t", frame(spark, (1, "new", A[2])), replace={"2024-01"})
     assert rows(tables.read("t")) == Counter([(1, "new", A[2]), C, odd])
     assert set(tables.read("t", {"2024-02"}).inputFiles()) == files
-    assert rows(tables.read("t", {"none"})) == Counter([odd])
+    assert rows(tables.read("t", {NONE})) == Counter([odd])
     # Rows of a slice that is not named come on top; a named slice without rows is gone.
     tables.write("t", frame(spark, (4, "d", C[2])), replace={"2024-01"})
     assert rows(tables.read("t")) == Counter([C, (4, "d", C[2]), odd])
-    assert {r.dw_slice for r in tables.read_sliced("t").collect()} == {"2024-02", "none"}
+    assert {r.dw_slice for r in tables.read_sliced("t").collect()} == {"2024-02", NONE}
 
 
-def test_slice_names_may_hold_any_character(spark, tables):
-    tables.create("t", SCHEMA, layout="v")
-    strange = [(1, "a/b=c %", None), (2, "x:y", None)]
-    tables.write("t", frame(spark, *strange))
-    assert rows(tables.read("t")) == Counter(strange)
-    assert rows(tables.read("t", {"x:y"})) == Counter(strange[1:])
+def test_a_layout_is_one_of_few(spark, tables):
+    for wrong in ("v", "date_format(at, 'yyyy')", "month:", "year:at"):
+        with pytest.raises(ValueError):
+            tables.create("t", SCHEMA, layout=wrong)
+
+
+def test_rows_without_a_slice_value_lie_in_a_slice_of_their_own(spark, tables):
+    text = StructType([StructField("k", LongType()), StructField("at", StringType())])
+    tables.create("t", text, layout=by_day("at"))
+    some = spark.createDataFrame([(1, None), (2, "2024-01-05")], text)
+    tables.write("t", some)
+    assert {r.dw_slice for r in tables.read_sliced("t").collect()} == {NONE, "2024-01-05"}
+    tables.write("t", some, replace={NONE, "2024-01-05"})
+    assert rows(tables.read("t")) == rows(some)
+    empty = spark.createDataFrame([("",), (None,), ("x",)], "v string").select(F.coalesce(F.nullif("v", F.lit("")), F.lit(NONE)))
+    assert sorted(r[0] for r in empty.collect()) == [NONE, NONE, "x"]
+
+
+@pytest.mark.parametrize("wrong", ["2023-12", None, ""])
+def test_slices_that_a_table_cannot_have_are_refused(spark, tables, wrong):
+    tables.create("t", SCHEMA, layout=by_month("at"))
+    tables.write("t", frame(spark, A))
+    for call in (lambda: tables.write("t", frame(spark, B), replace={wrong}), lambda: tables.read("t", {wrong})):
+        with pytest.raises(ValueError):
+            call()
+    assert rows(tables.read("t")) == Counter([A])
 
 
 def test_of_two_writers_of_one_version_the_second_fails(spark, tables):
     tables.create("t", SCHEMA)
-    with pytest.raises(Py4JJavaError):
+    with pytest.raises(Conflict):
         tables.create("t", SCHEMA)
+    other = Tables(spark, tables.root)
+    seen = tables.version("t")
+    other.write("t", frame(spark, A))
+    with pytest.raises(Conflict):
+        tables.write("t", frame(spark, B), based_on=seen)
+    assert rows(tables.read("t")) == Counter([A])
+
+
+def test_an_update_is_made_again_if_another_writer_was_first(spark, tables):
+    tables.create("t", SCHEMA)
+    other, tries = Tables(spark, tables.root), []
+
+    def change(df):
+        if not tries:
+            other.append("t", frame(spark, A))
+        tries.append(1)
+        return df.unionByName(frame(spark, B))
+
+    tables.update("t", change)
+    assert len(tries) == 2 and rows(tables.read("t")) == Counter([A, B])
+
+
+def test_many_events_lie_in_few_directories(spark, tables):
+    tables.create("t", SCHEMA)
+    for i in range(50):
+        tables.update("t", lambda df, i=i: df.unionByName(frame(spark, (i, "e", None))))
+    assert sorted(r.k for r in tables.read("t").collect()) == list(range(50))
+    assert len({p.rsplit("/", 1)[0] for p in tables.read("t").inputFiles()}) == 1
+    assert len(tables._seen) == 1
+
+
+def test_compacting_changes_files_and_no_rows(spark, tables):
+    tables.create("t", SCHEMA, layout=by_month("at"))
+    for row in (A, B, C):
+        tables.append("t", frame(spark, row))
+    folders = lambda: len({p.rsplit("/", 1)[0] for p in tables.read("t", {"2024-01"}).inputFiles()})
+    assert folders() == 2
+    kept = set(tables.read("t", {"2024-02"}).inputFiles())
+    tables.compact("t", {"2024-01"})
+    assert folders() == 1 and rows(tables.read("t")) == Counter([A, B, C])
+    assert set(tables.read("t", {"2024-02"}).inputFiles()) == kept
 
 
 def test_a_write_that_died_half_way_is_neither_seen_nor_in_the_way(spark, tables, monkeypatch):

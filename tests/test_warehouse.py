@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 from datetime import timedelta
 
 import pytest
@@ -11,8 +12,10 @@ from pyspark.sql import functions as F
 from tests.frames import AUDIT, VERSIONS, D, rows
 from tidemark.operators import daily_sales, open_versions
 from tidemark.operators.sales import fact_sales
+from tidemark.operators.scd2 import conflicting_changes
 from tidemark.plans import LoadError, Warehouse
 from tidemark.plans.loads import CONTROL, FILES, KEYS, RUNS, Run
+from tidemark.sources.tables import by_day
 
 TIMES = "create_dt timestamp_ntz, mdfctn_dt timestamp_ntz"
 BUSINESS = {
@@ -80,11 +83,11 @@ def build(spark, root, names=tuple(BUSINESS), **options):
         if name.startswith("d_"):
             house.create_table(f"silver/{name}", f"{name[2:-1]}_sk bigint, {columns}, {VERSIONS}")
         else:
-            house.create_table(f"silver/{name}", f"{columns}, {AUDIT}", layout="date_format(create_dt, 'yyyy-MM-dd')")
+            house.create_table(f"silver/{name}", f"{columns}, {AUDIT}", layout=by_day("create_dt"))
         control += [(f"{layer}-{name}", name, name, layer) for layer in LAYERS[:3]]
         files.append((f"bronze-{name}", name))
         keys.append((name, KEY[name]))
-    house.create_table("gold/fact_sales", FACT, layout="date_format(order_date, 'yyyy-MM-dd')")
+    house.create_table("gold/fact_sales", FACT, layout=by_day("order_date"))
     house.create_table("gold/daily_sales_aggt", DAILY)
     keys.append(("fact_sales", "order_item_id"))
     control += [(f"gold-{name}", name, name, "gold") for name in ("fact_sales", "daily_sales_aggt")]
@@ -122,7 +125,7 @@ def test_two_windows_and_a_repeat(spark, tmp_path):
     counts = run_all(house, "L1", ONE[1])
     assert counts["landing"]["d_products"].source == 3
     assert counts["bronze"]["d_products"].source == 2  # the row with an unreadable date is set aside
-    assert spark.read.parquet(f"{house.root}/rejected/d_products/L1").count() == 1
+    assert spark.read.parquet(f"{house.root}/rejected/bronze/d_products/L1").count() == 1
     assert counts["silver"]["f_orders"] == counts["gold"]["fact_sales"].__class__(3, 3, 3, 0)
     assert counts["gold"]["fact_sales"].inserted == 6
     assert counts["gold"]["daily_sales_aggt"].source == 3
@@ -259,3 +262,105 @@ def test_copies_of_a_new_key_are_all_loaded_and_all_updated_later(spark, tmp_pat
     stored = house.tables.read("bronze/d_customers")
     assert Counter(r.name for r in stored.collect()) == Counter(["Ann", "Guy", "Guy", "Nil"])
     assert stored.where("dw_update_id = 'L2'").count() == 2
+
+
+def test_rows_set_aside_by_landing_and_bronze_are_all_kept(spark, tmp_path):
+    house = build(spark, tmp_path, ("d_products",))
+    t = "2024-01-05 10:00:00"
+    write_csv(tmp_path, "d_products", [f"1,Nut,{t},{t}", "2,Bolt,someday,sometime", f"3,Cog,someday,{t}"])
+    run_all(house, "L1", ONE[1], LAYERS[:2])
+    kept = {layer: spark.read.parquet(f"{house.root}/rejected/{layer}/d_products/L1") for layer in LAYERS[:2]}
+    assert {layer: [r.product_id for r in df.collect()] for layer, df in kept.items()} == {"landing": ["2"], "bronze": ["3"]}
+
+
+def test_a_merge_repeated_over_odd_slices_adds_nothing(spark, tmp_path):
+    house = build(spark, tmp_path, ("f_orders",))
+    t = "2024-01-05 10:00:00"
+    write_csv(tmp_path, "f_orders", [f"1,1,2024-01-01,O,{t},{t}", f"2,1,2024-01-01,O,,{t}", f"3,1,,,{t},{t}"])
+    run_all(house, "L1", ONE[1], LAYERS[:2])
+    before = business(house.tables.read("bronze/f_orders"))
+    again = Run("L2", "e", "d", "daily")
+    house.initialize(again, LAYERS[:2], start=ONE[0], end=ONE[1])
+    for layer in LAYERS[:2]:
+        house.run_layer(layer, again)
+    assert business(house.tables.read("bronze/f_orders")) == before and sum(before.values()) == 3
+
+
+def test_facts_are_laid_out_by_month_unless_asked_otherwise(spark, tmp_path):
+    house = build(spark, tmp_path, ("f_orders",))
+    assert house.tables.layout("bronze/f_orders") == "month:create_dt"
+    assert house.tables.layout("silver/f_orders") == "day:create_dt"
+    assert house.tables.layout("gold/daily_sales_aggt") is None
+
+
+def test_insert_absent_may_repeat_keys_and_windows(spark, tmp_path):
+    house = build(spark, tmp_path, ("d_products",))
+    t, u = "2024-01-05 10:00:00", "2024-01-06 10:00:00"
+    write_csv(tmp_path, "d_products", [f"1,Nut,{t},{t}", f"1,Nut M4,{t},{u}", f"2,Bolt,{t},{t}"])
+    run_all(house, "L1", ONE[1], LAYERS[:3])
+    before = business(house.tables.read("silver/d_products"))
+    assert sum(before.values()) == 3
+    again = Run("L2", "e", "d", "daily")
+    house.initialize(again, ["silver"], start=ONE[0], end=ONE[1])
+    house.run_layer("silver", again)
+    assert business(house.tables.read("silver/d_products")) == before
+
+
+def test_scd2_stops_only_at_a_real_conflict(spark, tmp_path):
+    house = build(spark, tmp_path, ("d_customers",))
+    t, u, v = "2024-01-05 10:00:00", "2024-01-15 10:00:00", "2024-01-16 10:00:00"
+    write_csv(tmp_path, "d_customers", [f"0,Ann,{t},{t}", f"1,Bob,{t},{t}"])
+    run_all(house, "L1", ONE[1], LAYERS[:3])
+    silver = house.tables.read("silver/d_customers")
+    same = spark.createDataFrame([(0, D(t)), (0, D(t)), (0, D(u)), (1, None), (1, None), (7, D(u)), (7, D(v))], "customer_id long, mdfctn_dt timestamp_ntz")
+    assert conflicting_changes(silver, same, ["customer_id"]).isEmpty()
+    more = same.union(spark.createDataFrame([(0, D(v)), (1, D(u)), (1, D(u))], same.schema))
+    assert rows(conflicting_changes(silver, more, ["customer_id"])) == Counter([(0, 2), (1, 2)])
+
+
+def test_an_unknown_gold_table_is_an_error(spark, tmp_path):
+    house = build(spark, tmp_path, ("f_orders", "f_order_items"))
+    house.tables.update(CONTROL, lambda c: c.withColumn("target_table_name", F.when(F.col("target_table_name") == "fact_sales", "fact_other").otherwise(F.col("target_table_name"))))
+    run = Run("L1", "e", "d", "daily")
+    house.initialize(run, ["gold"], start=ONE[0], end=ONE[1])
+    with pytest.raises(LoadError, match="failed in gold: fact_other"):
+        house.run_layer("gold", run)
+
+
+def test_two_drivers_load_tables_of_their_own(spark, tmp_path):
+    names = ("f_orders", "f_order_items")
+    house = build(spark, tmp_path, names)
+    first_extract(tmp_path)
+    run_all(house, "L1", ONE[1], LAYERS[:2])
+    run = Run("L2", "e", "d", "daily")
+    house.initialize(run, ["silver"], start=ONE[0], end=ONE[1])
+    houses = [Warehouse(spark, str(tmp_path), clock=Clock()) for _ in names]
+    with ThreadPoolExecutor(2) as pool:
+        jobs = [pool.submit(h.run_layer, "silver", run, tables=[n]) for h, n in zip(houses, names, strict=True)]
+        done = {name for job in jobs for name in job.result()}
+    assert done == set(names)
+    marked = house.tables.read(CONTROL).where("target_layer_name = 'silver' and is_processed_flag")
+    assert {r.target_table_name for r in marked.collect()} == set(names)
+    assert house.run_layer("silver", run) == {}
+    log = {r.task_name for r in house.task_log().where("job_exec_dtl_id = 'd' and exec_status = 'Success'").collect()}
+    assert log == {f"C_bronze_silver_{n}" for n in names}
+
+
+def test_an_error_while_marking_is_that_tables_failure(spark, tmp_path, monkeypatch):
+    house = build(spark, tmp_path, ("f_orders", "f_order_items"))
+    first_extract(tmp_path)
+    run_all(house, "L1", ONE[1], LAYERS[:2])
+    run = Run("L2", "e", "d", "daily")
+    house.initialize(run, ["silver"], start=ONE[0], end=ONE[1])
+    mark = house._mark_processed
+
+    def broken(layer, row, *rest):
+        if row.target_table_name == "f_orders":
+            raise RuntimeError("lost")
+        mark(layer, row, *rest)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(house, "_mark_processed", broken)
+        with pytest.raises(LoadError, match="failed in silver: f_orders"):
+            house.run_layer("silver", run)
+    assert set(house.run_layer("silver", run, tables=["f_orders"])) == {"f_orders"}

@@ -7,7 +7,6 @@ from tidemark.functions.columns import (
     insert_stamp,
     keys_present,
     split_on_keys,
-    update_columns,
 )
 from tidemark.functions.literals import closed_range, ts_literal, whole_days
 from tidemark.functions.sizes import below_broadcast_threshold
@@ -26,6 +25,5 @@ __all__ = [
     "number_rows",
     "split_on_keys",
     "ts_literal",
-    "update_columns",
     "whole_days",
 ]

@@ -22,11 +22,6 @@ def business_columns(df: DataFrame, surrogate: str | None = None) -> list[str]:
     return [c for c in df.columns if c not in own]
 
 
-def update_columns(df: DataFrame, keys: Sequence[str]) -> list[str]:
-    """Business columns a match overwrites: all but the keys."""
-    return [c for c in business_columns(df) if c not in keys]
-
-
 def insert_stamp(target: DataFrame, load_id: str, load_ts: datetime, eff_ts: datetime | None = None) -> dict[str, Column]:
     """Audit values of a new row, typed as in ``target``."""
     types = {f.name: f.dataType for f in target.schema.fields}

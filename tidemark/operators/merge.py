@@ -41,6 +41,7 @@ def upsert(
     load_ts: datetime,
     many_copies: bool = False,
     plan: str = "auto",
+    matched: DataFrame | None = None,
 ) -> DataFrame:
     """Slowly changing dimension type 1: overwrite the matches, add the rest, keep all others.
 
@@ -48,7 +49,7 @@ def upsert(
     creation stamp stays. Columns are matched by name and cast to the target's types. Several source
     rows for one target row are an error of the input; ``duplicate_matches`` finds them.
     ``many_copies`` says that the target may hold very many rows of one key; it changes the plan, not
-    the result.
+    the result. ``matched`` are the target's keys that occur in the source, if the caller has them already.
     """
     plan = _pick(plan, target, source, many_copies)
     stamp = insert_stamp(target, load_id, load_ts)
@@ -63,7 +64,10 @@ def upsert(
     if plan == "outer":
         pieces = [_overwritten(known.withColumn(_STORED, F.lit(True)).join(new, on, "full_outer"), target, keys, stamp)]
     else:
-        stored = matched_keys(known, fresh, keys) if plan == "probe" else known.select(*keys)
+        if matched is not None:
+            stored = matched.select(*keys)
+        else:
+            stored = matched_keys(known, fresh, keys) if plan == "probe" else known.select(*keys)
         added = new.join(stored.distinct(), on, "left_anti").select(*[F.col(_NEW + c).alias(c) for c in fresh.columns])
         looked_up = known.withColumn(_STORED, F.lit(True)).join(new, on, "left_outer")
         pieces = [_overwritten(looked_up, target, keys, stamp), _stamped(added, target.columns, stamp)]

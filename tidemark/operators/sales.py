@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from tidemark.functions.literals import closed_range, whole_days
 from tidemark.functions.sizes import below_broadcast_threshold
@@ -100,11 +101,30 @@ def daily_sales(items: DataFrame, orders: DataFrame, dates: DataFrame | None = N
         F.sum("net").alias("revenue"),
         F.sum("quantity").alias("total_items_sold"),
     )
+    average = _exact_quotient(totals, "revenue", "total_orders")
     return totals.select(
         "order_date",
         "total_orders",
         "total_customers",
         F.round("revenue", 2).alias("total_revenue"),
         "total_items_sold",
-        F.round(F.col("revenue") / F.col("total_orders"), 2).alias("avg_order_value"),
+        F.round(average, 2).alias("avg_order_value"),
     )
+
+
+def _exact_quotient(df: DataFrame, total: str, count: str) -> Column:
+    """total / count with enough digits that rounding it to cents rounds once.
+
+    Spark cuts the quotient of a wide sum and a bigint to 6 digits. Narrower operands leave 15, which
+    tells a half cent from any other value of up to 10^11 orders. What does not fit is an error, not NULL.
+    """
+    kind = df.schema[total].dataType
+    if not isinstance(kind, DecimalType):
+        return F.col(total) / F.col(count)
+
+    def narrowed(name: str, type_name: str) -> Column:
+        small = F.col(name).try_cast(type_name)
+        too_large = F.raise_error(F.lit(f"{name} does not fit {type_name}")).cast(type_name)
+        return F.when(small.isNull() & F.col(name).isNotNull(), too_large).otherwise(small)
+
+    return narrowed(total, f"decimal(27,{kind.scale})") / narrowed(count, "decimal(11,0)")

@@ -24,6 +24,24 @@ def open_versions(df: DataFrame) -> DataFrame:
     return df.where(F.col("dw_eff_end_dt").isNull())
 
 
+def conflicting_changes(target: DataFrame, source: DataFrame, keys: Sequence[str], modified: str = "mdfctn_dt") -> DataFrame:
+    """Keys with an open version that more than one source row would close, and how many rows do.
+
+    Only rows that differ from the open version close it; a NULL on either side is no change. Rows that
+    repeat a key without a change are no conflict.
+    """
+    opened = open_versions(target).select(*keys, F.col(modified).alias("__stored"))
+    incoming = source.select(*keys, F.col(modified).cast(target.schema[modified].dataType).alias("__given"))
+    known, _ = split_on_keys(opened, keys)
+    fresh, _ = split_on_keys(incoming, keys)
+    # Reduced to the repeated keys first, which are few or none.
+    repeated = fresh.groupBy(*keys).agg(F.count("__given").alias("n")).where("n > 1").select(*keys)
+    times = fresh.join(repeated, list(keys), "left_semi").groupBy(*keys, "__given").agg(F.count("*").alias("source_rows"))
+    changing = times.join(known.distinct(), list(keys)).where("__given <> __stored")
+    changing = changing.groupBy(*keys, "__stored").agg(F.sum("source_rows").alias("source_rows"))
+    return changing.where("source_rows > 1").select(*keys, "source_rows")
+
+
 @dataclass(frozen=True)
 class Scd2Parts:
     closed: DataFrame

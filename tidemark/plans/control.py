@@ -155,7 +155,7 @@ def pick_files(registry: DataFrame, control: DataFrame) -> DataFrame:
     """Per pending bronze table, the unprocessed snapshot of exactly its window's end.
 
     The table stays with a NULL path where there is none. Of several, the first path in order counts;
-    the minimum is combined before its shuffle.
+    the minimum of a text is combined before its shuffle, by a sort in every task.
     """
     due = pending(control, "bronze").select("table_id", "target_table_name", "last_load_end_dt")
     files = (

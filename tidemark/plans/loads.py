@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -22,17 +22,17 @@ from tidemark.functions.literals import ts_literal
 from tidemark.functions.surrogate import number_rows
 from tidemark.functions.typing import conform
 from tidemark.operators.counts import load_counts
-from tidemark.operators.merge import absent_rows, duplicate_matches, repeated_keys, upsert
+from tidemark.operators.merge import absent_rows, repeated_keys, upsert
 from tidemark.operators.refresh import refresh_slices
 from tidemark.operators.sales import daily_sales, fact_sales_delta, impacted_dates
-from tidemark.operators.scd2 import open_versions, scd2_parts
+from tidemark.operators.scd2 import conflicting_changes, scd2_parts
 from tidemark.operators.updates import append_rows, keyed_update
 from tidemark.operators.windows import change_window, in_window, load_bounds
 from tidemark.plans import control as ctl
 from tidemark.plans.runlog import latest_run, run_log_current
 from tidemark.sources.files import read_csv, read_snapshot, snapshot_path, write_snapshot
 from tidemark.sources.shared import stage
-from tidemark.sources.tables import SLICE, Tables
+from tidemark.sources.tables import BY_OPENNESS, OPEN, SLICE, Tables, by_month
 
 CONTROL = "audit/cntrl_stm_mapping"
 FILES = "audit/landing_file_list"
@@ -58,6 +58,7 @@ AUDIT_TABLES = {
     "start_datetime timestamp_ntz, end_datetime timestamp_ntz, event_dt timestamp_ntz, "
     "event_seq bigint",
 }
+# Component and task names as the run log holds them.
 COMPONENTS = {
     "landing": "C_source_landing",
     "bronze": "C_landing_bronze",
@@ -74,8 +75,8 @@ TASK_NAMES = {
 SILVER_KINDS = {"d_customers": "scd2", "d_products": "insert_absent"}
 SURROGATES = {"d_customers": "customer_sk", "d_products": "product_sk"}
 
-OPEN, CLOSED = "open", "closed"
-BY_OPENNESS = f"if(dw_eff_end_dt is null, '{OPEN}', '{CLOSED}')"
+# Facts are laid out by month where nothing else is asked for, so a merge rewrites only months it hits.
+FACT_LAYOUTS = {"bronze": by_month("create_dt"), "silver": by_month("create_dt"), "gold": by_month("order_date")}
 
 
 class LoadError(RuntimeError):
@@ -126,16 +127,27 @@ class Warehouse:
                 self.tables.create(name, StructType.fromDDL(ddl))
 
     def create_table(self, name: str, ddl: str, layout: str | None = None) -> None:
-        """A target table with its audit columns. Versioned silver tables are laid out open / closed."""
+        """A target table with its audit columns.
+
+        Versioned silver tables are laid out open / closed, facts by month, others in one piece.
+        """
         layer, short = name.split("/")
+        schema = StructType.fromDDL(ddl)
         if layout is None and layer == "silver" and self.silver_kinds.get(short) in ("scd2", "insert_absent"):
             layout = BY_OPENNESS
-        self.tables.create(name, StructType.fromDDL(ddl), layout)
+        elif layout is None and short.startswith(("f_", "fact_")):
+            usual = FACT_LAYOUTS[layer]
+            layout = usual if usual.partition(":")[2] in schema.names else None
+        self.tables.create(name, schema, layout)
 
-    def append(self, name: str, rows: DataFrame) -> None:
-        """Add rows, NULL in the columns they lack."""
+    def append(self, name: str, rows: DataFrame, copies: bool = False) -> None:
+        """Add rows, NULL in the columns they lack. ``copies`` says that a key may have very many of them."""
         empty = self.spark.createDataFrame([], self.tables.schema(name))
-        self.tables.append(name, append_rows(empty, rows))
+        self.tables.append(name, append_rows(empty, rows), copies=copies)
+
+    def compact(self, name: str, slices: Sequence[str] | None = None) -> None:
+        """Write slices (all, if None) of a table anew, so that each lies in one directory."""
+        self.tables.compact(name, slices)
 
     # Runs
 
@@ -146,8 +158,8 @@ class Warehouse:
         last = latest_run(self.tables.read(RUNS).where(F.col("job_name") == run.job_name)).collect()
         if last and last[0].exec_status == ctl.FAILED:
             raise LoadError(f"the last run of {run.job_name} failed")
-        control = self.tables.read(CONTROL)
-        self.tables.write(CONTROL, ctl.advance_window(control, layers, self.clock(), run.load_id, start, end))
+        now = self.clock()
+        self.tables.update(CONTROL, lambda control: ctl.advance_window(control, layers, now, run.load_id, start, end))
 
     def open_run(self, run: Run, started: datetime | None = None) -> None:
         self._append_literal(
@@ -183,15 +195,25 @@ class Warehouse:
     # Layers
 
     def run_layer(
-        self, layer: str, run: Run, source_root: str | None = None, day: tuple[str, str, str] | None = None, parallel: int = 4
+        self,
+        layer: str,
+        run: Run,
+        source_root: str | None = None,
+        day: tuple[str, str, str] | None = None,
+        parallel: int = 4,
+        tables: Sequence[str] | None = None,
     ) -> dict[str, Counts]:
         """Load the tables of a layer that are due; several at once, as they do not depend on each other.
 
-        ``day`` (year, month, day) replaces the window of gold tables. A table that fails is logged
-        and the others still finish; then, or if live tables are left over, ``LoadError`` is raised.
+        ``tables`` names the ones to load and to look at afterwards, say a table that failed before; several
+        drivers may each load tables of their own at the same time. ``day`` (year, month, day) replaces the
+        window of gold tables. A table that fails, also while it is marked or logged, does not keep
+        the others from finishing; then, or if live tables are left over, ``LoadError`` is raised.
         """
         control = self.tables.read(CONTROL)
-        due = (ctl.pending_landing(control) if layer == "landing" else ctl.pending(control, layer)).collect()
+        mine = F.lit(True) if tables is None else self._name(layer).isin(list(tables))
+        pending = ctl.pending_landing(control) if layer == "landing" else ctl.pending(control, layer)
+        due = pending.where(mine).collect()
         keys = self._keys() if layer != "landing" else {}
         files = {}
         if layer == "bronze":
@@ -211,20 +233,26 @@ class Warehouse:
                 label = self._label(layer, row)
                 try:
                     counts = job.result()
-                except Exception as error:  # logged, then raised below for the layer as a whole
-                    self._log(run, layer, [(label, ctl.FAILED, str(error), Counts())], started, self.clock())
+                    self._mark_processed(layer, row, run, counts)
+                    self._log(run, layer, [(label, ctl.SUCCESS, ctl.SUCCESS, counts)], started, self.clock())
+                    done[label] = counts
+                except Exception as error:  # raised below for the layer as a whole
                     failed[label] = error
-                    continue
-                self._log(run, layer, [(label, ctl.SUCCESS, ctl.SUCCESS, counts)], started, self.clock())
-                self._mark_processed(layer, row, run, counts)
-                done[label] = counts
+                    self._log_failure(run, layer, label, error, started)
         if failed:
             raise LoadError(f"failed in {layer}: {', '.join(sorted(failed))}") from next(iter(failed.values()))
-        left = ctl.unprocessed_names(self.tables.read(CONTROL), [layer]).collect()
+        left = ctl.unprocessed_names(self.tables.read(CONTROL).where(mine), [layer]).collect()
         if left:
             raise LoadError(f"unprocessed in {layer}: {left[0].table_names}")
         return done
 
+    def _log_failure(self, run: Run, layer: str, label: str, error: Exception, started: datetime) -> None:
+        try:
+            self._log(run, layer, [(label, ctl.FAILED, str(error), Counts())], started, self.clock())
+        except Exception as second:
+            # The table counts as failed either way; what kept it from being logged goes along.
+            error.add_note(f"and the failure could not be logged: {second}")
+
     def _load(
         self, layer: str, row: Row, run: Run, keys: dict, files: dict, source_root: str | None, day: tuple | None
     ) -> Counts:
@@ -238,7 +266,9 @@ class Warehouse:
         bounds = load_bounds((row.last_load_start_dt, row.last_load_end_dt), *(day or ()))
         if name == "daily_sales_aggt":
             return self._refresh_daily(f"gold/{name}", bounds, run)
-        return self._merge_fact(f"gold/{name}", bounds, run, keys[name])
+        if name == "fact_sales":
+            return self._merge_fact(f"gold/{name}", bounds, run, keys[name])
+        raise LoadError(f"no load is known for gold table {name}")
 
     def _land(self, row: Row, run: Run, source_root: str | None) -> Counts:
         """One pass over the extract; its text stays text. An empty change set writes no snapshot."""
@@ -252,7 +282,7 @@ class Warehouse:
             lambda a, b: a | b, [F.col(c).isNotNull() & F.col(c).try_cast("timestamp_ntz").isNull() for c in times]
         )
         found = stage(extract.where(hit | unreadable), f"extract-{name}")
-        self._reject(name, found.where(unreadable & ~hit), run)
+        self._reject("landing", name, found.where(unreadable & ~hit), run)
         changes = found.where(hit)
         changed = changes.count()
         if changed:
@@ -266,7 +296,7 @@ class Warehouse:
         wanted = business_columns(self.tables.read(name))
         schema = StructType([f for f in self.tables.schema(name).fields if f.name in wanted])
         typed, rejected = conform(read_snapshot(self.spark, path), schema)
-        self._reject(row.target_table_name, rejected, run)
+        self._reject("bronze", row.target_table_name, rejected, run)
         return self._merge(name, stage(typed, f"delta-{row.target_table_name}"), keys, run)
 
     def _load_silver(self, row: Row, run: Run, keys: Sequence[str]) -> Counts:
@@ -281,20 +311,21 @@ class Warehouse:
         if not found:
             return Counts()
 
-        at, surrogate = self.clock(), SURROGATES.get(short)
+        at, surrogate, version = self.clock(), SURROGATES.get(short), self.tables.version(name)
         current = self.tables.read(name, {OPEN} if self.tables.layout(name) == BY_OPENNESS else None)
-        self._has_repeats(name, open_versions(current), changes, keys)
         if kind == "insert_absent":
+            # Nothing is matched, so a key may come more than once: all its rows are new, or none is.
             new = absent_rows(current, changes, keys, end, run.load_id, at, surrogate)
-            self.tables.append(name, self._numbered(name, new, surrogate))
+            self.tables.append(name, self._numbered(name, new, surrogate), based_on=version)
         else:
+            self._refuse(name, conflicting_changes(current, changes, keys))
             parts = scd2_parts(current, changes, keys, end, run.load_id, at, surrogate)
             new = self._numbered(name, parts.appended, surrogate)
             if self.tables.layout(name) == BY_OPENNESS:
                 # Closed versions stay where they are; those closed now are added to them.
-                self.tables.write(name, parts.was_open.unionByName(new), replace={OPEN})
+                self.tables.write(name, parts.was_open.unionByName(new), replace={OPEN}, based_on=version)
             else:
-                self.tables.write(name, parts.closed.unionByName(parts.was_open).unionByName(new))
+                self.tables.write(name, parts.closed.unionByName(parts.was_open).unionByName(new), based_on=version)
         return self._counts(name, run, at, found)
 
     def _merge_fact(self, name: str, bounds: tuple, run: Run, keys: Sequence[str]) -> Counts:
@@ -311,10 +342,11 @@ class Warehouse:
         # Staged so that its true size decides how items are joined to it.
         scope = orders.select("order_id", "customer_id", "order_date").join(dates, "order_date", "left_semi")
         totals = daily_sales(items, stage(scope, "orders-daily_sales"), dates)
-        target = self.tables.read(name)
+        version, target = self.tables.version(name), self.tables.read(name)
         empty = self.spark.createDataFrame([], self.tables.schema(name))
         fresh = append_rows(empty, totals, **insert_stamp(empty, run.load_id, at))
-        self.tables.write(name, refresh_slices(target, fresh, dates, "order_date"))
+        # One row per date, so the table is small and written whole.
+        self.tables.write(name, refresh_slices(target, fresh, dates, "order_date"), based_on=version)
         counts = self._counts(name, run, at)
         return Counts(counts.source, counts.target, counts.inserted, 0)
 
@@ -329,36 +361,33 @@ class Warehouse:
         found = delta.count()
         if not found:
             return Counts()
-        at = self.clock()
-        sliced = self.tables.read_sliced(name)
-        hit = sliced.select(*keys, SLICE).join(delta.select(*keys), list(keys), "left_semi")
-        replace = {r[0] for r in hit.select(SLICE).distinct().collect()}
+        at, version = self.clock(), self.tables.version(name)
+        # The stored keys that match, once: they name the slices and answer what else is asked about keys.
+        stored = self.tables.read_sliced(name).select(*keys, SLICE)
+        matched = stage(stored.join(delta.select(*keys), list(keys), "left_semi"), f"matched-{name.replace('/', '-')}")
+        replace = {r[0] for r in matched.select(SLICE).distinct().collect()}
+        matched = matched.drop(SLICE)
         target = self.tables.read(name, replace)
         many = self.tables.has_copies(name)
-        repeats = self._has_repeats(name, target, delta, keys)
+        repeated = repeated_keys(delta, keys)
+        repeats = not repeated.isEmpty()
         if repeats:
+            self._refuse(name, repeated.join(matched, list(keys), "left_semi"))
             # None of these keys is stored, so their rows are all new, however many copies there are.
-            repeated = repeated_keys(delta, keys).select(*keys)
-            single = delta.join(repeated, list(keys), "left_anti")
-            copies = delta.join(repeated, list(keys), "left_semi")
+            single = delta.join(repeated.select(*keys), list(keys), "left_anti")
+            copies = delta.join(repeated.select(*keys), list(keys), "left_semi")
             stamp = insert_stamp(target, run.load_id, at)
-            state = append_rows(upsert(target, single, keys, run.load_id, at, many), copies, **stamp)
+            state = append_rows(upsert(target, single, keys, run.load_id, at, many, matched=matched), copies, **stamp)
         else:
-            state = upsert(target, delta, keys, run.load_id, at, many)
-        self.tables.write(name, state, replace=replace, copies=repeats)
+            state = upsert(target, delta, keys, run.load_id, at, many, matched=matched)
+        self.tables.write(name, state, replace=replace, copies=repeats, based_on=version)
         return self._counts(name, run, at, found)
 
-    def _has_repeats(self, name: str, target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> bool:
-        """Whether a key comes more than once. Refuses it where such a key is stored already.
-
-        The target's keys are read only if the change set repeats a key at all.
-        """
-        if repeated_keys(delta, keys).isEmpty():
-            return False
-        example = duplicate_matches(target, delta, keys).head()
+    def _refuse(self, name: str, conflicts: DataFrame) -> None:
+        """Stop the load if several source rows would change one stored row."""
+        example = conflicts.head()
         if example is not None:
             raise LoadError(f"several source rows for one row of {name}, for instance {example.asDict()}")
-        return True
 
     def _numbered(self, name: str, rows: DataFrame, surrogate: str | None) -> DataFrame:
         if surrogate is None:
@@ -373,9 +402,10 @@ class Warehouse:
         found = seen.written_count if source is None else source
         return Counts(found, seen.target_count, seen.insert_count, seen.update_count)
 
-    def _reject(self, name: str, rows: DataFrame, run: Run) -> None:
+    def _reject(self, layer: str, name: str, rows: DataFrame, run: Run) -> None:
+        """Keep rows that cannot be read, apart for each layer: both may set rows of one table aside."""
         if not rows.isEmpty():
-            rows.write.mode("overwrite").parquet(f"{self.root}/rejected/{name}/{run.load_id}")
+            rows.write.mode("overwrite").parquet(f"{self.root}/rejected/{layer}/{name}/{run.load_id}")
 
     def _keys(self) -> dict[str, list[str]]:
         rows = self.tables.read(KEYS).collect()
@@ -392,7 +422,7 @@ class Warehouse:
                     [(row.bronze_table_id, path, row.last_load_end_dt)],
                     "table_id string, file_path string, delta_load_dt timestamp_ntz",
                 )
-                self.tables.write(FILES, ctl.register_files(self.tables.read(FILES), written, now, run.load_id))
+                self.tables.update(FILES, lambda files: ctl.register_files(files, written, now, run.load_id))
             mine = F.col("source_table_name") == row.source_table_name
             values = {}
         else:
@@ -401,17 +431,19 @@ class Warehouse:
             if layer == "bronze":
                 taken = {"is_processed_flag": True}
                 where = F.col("table_name") == row.target_table_name
-                self.tables.write(FILES, keyed_update(self.tables.read(FILES), where, taken))
+                self.tables.update(FILES, lambda files: keyed_update(files, where, taken))
             else:
                 values["dw_load_id"] = run.load_id
-        control = self.tables.read(CONTROL)
         values |= {"is_processed_flag": True, "dw_mdfctn_dt": ts_literal(now)}
-        where = mine & (F.col("target_layer_name") == layer)
-        self.tables.write(CONTROL, keyed_update(control, where, values))
+        marked = mine & (F.col("target_layer_name") == layer)
+        self.tables.update(CONTROL, lambda control: keyed_update(control, marked, values))
 
     def _end_run(self, mine, values: dict) -> None:
         ended = {"wf_end_datetime": ts_literal(self.clock())}
-        self.tables.write(RUNS, keyed_update(self.tables.read(RUNS), mine, values | ended))
+        self.tables.update(RUNS, lambda runs: keyed_update(runs, mine, values | ended))
+
+    def _name(self, layer: str) -> Column:
+        return F.col("source_table_name" if layer == "landing" else "target_table_name")
 
     def _label(self, layer: str, row: Row) -> str:
         return row.source_table_name if layer == "landing" else row.target_table_name
@@ -442,4 +474,6 @@ class Warehouse:
     def _append_literal(self, name: str, *rows: dict, **row) -> None:
         schema = self.tables.schema(name)
         values = [tuple(r.get(f.name) for f in schema.fields) for r in (rows or (row,))]
-        self.tables.append(name, self.spark.createDataFrame(values, schema))
+        new = self.spark.createDataFrame(values, schema)
+        # Written whole: a directory per event would make the list of files grow for ever.
+        self.tables.update(name, lambda log: log.unionByName(new))

@@ -1,6 +1,7 @@
 """Runs and their tasks, kept as a log of events: the last event of a task is its state.
 
-Both reductions keep one row per group while they scan, so a job with very many runs is no hot spot.
+Both reductions are combined per task before the shuffle, so a job with very many runs is no hot spot. What
+is kept per group is a struct, which Spark aggregates by sorting, so every task sorts its rows first.
 """
 
 from __future__ import annotations
