@@ -20,6 +20,7 @@ LOAD, AT = "L1", datetime(2024, 2, 1, 6, 0, 0)
 SALES_WINDOW = ("1997-01-01 00:00:00", "1999-01-01 00:00:00", "2001-06-30 23:59:59")
 DIMENSION_WINDOW = ("1995-01-06 00:00:00", "1995-01-12 00:00:00", "1995-02-15 23:59:59")
 REVIEW_WINDOW = ("2024-01-08 00:00:00", "2024-01-20 00:00:00", "2024-01-28 23:59:59")
+FEW_KNOWN = "1995-01-03 00:00:00"  # by then only some brands and categories had a product
 JANUARY = ("1996-01-01 00:00:00", "1996-01-31 23:59:59")
 DAY = (1996, 1, 15)
 
@@ -264,3 +265,9 @@ def run_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("wf_start_datetime"),
         F.when(F.col("event_id") % 3 != 0, F.col("ts") + days(F.col("event_id") % 11)).alias("wf_end_datetime"),
     )
+
+
+def run_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs with the message that a run still open carries."""
+    open_run = F.when(F.col("exec_status") == "Started", "In Progress")
+    return run_headers(spark, sf_dir).withColumn("status_message", open_run)

@@ -405,6 +405,47 @@ _NEEDS["fx_fact"] = ["fx_f_order_items", "fx_f_orders"]
 ORACLE["fact_sales_merge"] = upsert(
     "fx_fact", ["order_item_id"], _FACT_VALUES, fx.SALES_WINDOW, "either", {"order_status": "'?'"}, _FACT_MONEY
 )
+ORACLE["upsert_order_items_probe"] = ORACLE["upsert_order_items_split"] = ORACLE["upsert_order_items"]
+ORACLE["fact_sales_delta_orders"] = with_views(
+    f"select {doubles(_FACT_MONEY)} from ({_FACT} where {either(*fx.JANUARY, 'i.')} or {between('o.mdfctn_dt', *fx.JANUARY)})"
+)
+ORACLE["insert_absent_repeated"] = with_views(
+    f"""
+    select * from known
+    union all
+    select s.*, {_STAMP}, {_END}, null from fx_d_products s
+    where {both(fx.DIMENSION_WINDOW[0], fx.DIMENSION_WINDOW[2])} and (brand, category) not in (select (brand, category) from known)""",
+    known=f"""
+        select * replace (create_dt as mdfctn_dt), {_STORED}, timestamp '1995-01-01' as dw_eff_start_dt,
+               cast(null as timestamp) as dw_eff_end_dt
+        from fx_d_products where create_dt < timestamp '{fx.FEW_KNOWN}'""",
+)
+ORACLE["customer_surrogates"] = f"""
+    select n as customer_sk, cast(1 as bigint) as versions, n > old as added
+    from (select count(*) as total, count(*) filter (where dw_load_id <> '{fx.LOAD}') as old from ({ORACLE['scd2_customers']})),
+         lateral (select unnest(range(1, total + 1)) as n)"""
+
+VIEWS["fx_messages"] = "select *, case when exec_status = 'Started' then 'In Progress' end as status_message from fx_runs"
+_NEEDS["fx_messages"] = ["fx_runs"]
+
+
+def _ended(where: str, status: str, message: str) -> str:
+    hit = f"exec_status = 'Started' and {where}"
+    return with_views(f"""
+        select * replace (case when {hit} then '{status}' else exec_status end as exec_status,
+                          case when {hit} then {_AT} else wf_end_datetime end as wf_end_datetime,
+                          case when {hit} then '{message}' else status_message end as status_message)
+        from fx_messages""")
+
+
+ORACLE["run_header_append"] = with_views(
+    f"select * from fx_messages union all select -1, -1, 'Started', {_AT}, null, 'In Progress'"
+)
+ORACLE["run_close"] = _ended("wf_start_datetime < timestamp '2024-01-15'", "Success", "Workflow completed successfully.")
+ORACLE["run_fail"] = _ended("job_name <= 40", "Failed", "There are failed jobs in the batch, Please check the logs.")
+ORACLE["landing_file_mark"] = with_views(
+    "select * replace (is_processed_flag or table_name like 'brand\\_1%' escape '\\' as is_processed_flag) from fx_files"
+)
 ORACLE["load_audit_counts"] = f"""
     select count(*) filter (where cast(dw_mdfctn_dt as date) = date '{fx.AT.date()}') as target_count,
            count(*) filter (where dw_load_id = '{fx.LOAD}') as insert_count,

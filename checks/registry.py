@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from tidemark.functions.columns import insert_stamp
 from tidemark.functions.literals import ts_literal
+from tidemark.functions.surrogate import number_rows
 from tidemark.functions.typing import conform
 from tidemark.operators import (
     append_rows,
@@ -27,9 +28,11 @@ from tidemark.operators import (
     upsert,
 )
 from tidemark.operators.sales import fact_sales
+from tidemark.operators.scd2 import scd2_parts
 from tidemark.plans import control as ctl
 from tidemark.plans.runlog import latest_run, run_log_current
 from tidemark.sources import own_path, read_csv, read_snapshot, stage, write_snapshot
+
 MONEY_OUT = ("quantity", "unit_price", "discount", "gross_amount", "net_sales_amount", "amount")
 
 
@@ -67,6 +70,11 @@ def q_fact_sales_delta(spark, sf_dir):
     return plain(fact_sales_delta(*sales(spark, sf_dir), *fx.JANUARY))
 
 
+def q_fact_sales_delta_orders(spark, sf_dir):
+    """Changes of orders count as well, for all their items."""
+    return plain(fact_sales_delta(*sales(spark, sf_dir), *fx.JANUARY, include_order_changes=True))
+
+
 def q_fact_sales_day(spark, sf_dir):
     return plain(fact_sales_delta(*sales(spark, sf_dir), *day_window(*fx.DAY)))
 
@@ -90,12 +98,14 @@ def q_daily_sales_refresh(spark, sf_dir):
     return daily_out(refresh_slices(target, fresh, dates, "order_date"))
 
 
-def _upsert(view: Callable, keys: list[str], window: tuple[str, str, str], mode: str, **as_it_was) -> Callable:
+def _upsert(
+    view: Callable, keys: list[str], window: tuple[str, str, str], mode: str, plan: str = "auto", **as_it_was
+) -> Callable:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         now = view(spark, sf_dir)
         first, loaded, last = window
         target = fx.stored(now, loaded, **{c: F.lit(v) for c, v in as_it_was.items()})
-        return plain(upsert(target, change_window(now, first, last, mode), keys, fx.LOAD, fx.AT))
+        return plain(upsert(target, change_window(now, first, last, mode), keys, fx.LOAD, fx.AT, plan=plan))
 
     return query
 
@@ -143,6 +153,27 @@ def q_insert_absent_products(spark, sf_dir):
     )
 
 
+def q_insert_absent_repeated(spark, sf_dir):
+    """Keyed by brand and category, of which a source holds many rows: all of them are added, or none."""
+    now = fx.d_products(spark, sf_dir)
+    first, _, last = fx.DIMENSION_WINDOW
+    known = now.where(F.col("create_dt") < fx.ntz(fx.FEW_KNOWN)).withColumn("mdfctn_dt", F.col("create_dt"))
+    changes = change_window(now, first, last, "both")
+    return insert_absent(fx.versioned(known), changes, ["brand", "category"], last, fx.LOAD, fx.AT)
+
+
+def q_customer_surrogates(spark, sf_dir):
+    """Per surrogate key after a load, how many versions carry it and whether this load added it."""
+    source = change_window(fx.d_customers(spark, sf_dir), fx.DIMENSION_WINDOW[0], fx.DIMENSION_WINDOW[2], "both")
+    target = stage(number_rows(stage(fx.customer_versions(spark, sf_dir), "versions"), "customer_sk", 0), "numbered")
+    parts = scd2_parts(target, source, ["customer_id"], fx.DIMENSION_WINDOW[2], fx.LOAD, fx.AT, "customer_sk")
+    last = target.agg(F.max("customer_sk")).collect()[0][0] or 0
+    new = number_rows(stage(parts.appended, "new-customers"), "customer_sk", last)
+    after = parts.closed.unionByName(parts.was_open).unionByName(new)
+    added = F.max(F.col("dw_load_id") == fx.LOAD).alias("added")
+    return after.groupBy("customer_sk").agg(F.count("*").alias("versions"), added)
+
+
 def q_append_customers(spark, sf_dir):
     """Insert-select of all customers behind the versions stored so far."""
     target = fx.customer_versions(spark, sf_dir)
@@ -221,6 +252,35 @@ def q_latest_run(spark, sf_dir):
     return latest_run(fx.run_headers(spark, sf_dir))
 
 
+def q_run_header_append(spark, sf_dir):
+    """A run is opened: one literal row behind all runs so far."""
+    headers = fx.run_messages(spark, sf_dir)
+    opened = [(-1, -1, ctl.STARTED, fx.AT, None, ctl.IN_PROGRESS)]
+    return append_rows(headers, spark.createDataFrame(opened, headers.schema))
+
+
+def q_run_close(spark, sf_dir):
+    """The runs begun by mid-January that are still open end well."""
+    headers = fx.run_messages(spark, sf_dir)
+    where = (F.col("exec_status") == ctl.STARTED) & (F.col("wf_start_datetime") < fx.ntz("2024-01-15 00:00:00"))
+    values = {"exec_status": ctl.SUCCESS, "status_message": ctl.RUN_DONE, "wf_end_datetime": ts_literal(fx.AT)}
+    return keyed_update(headers, where, values)
+
+
+def q_run_fail(spark, sf_dir):
+    """The open runs of jobs up to number 40 are marked failed."""
+    headers = fx.run_messages(spark, sf_dir)
+    where = (F.col("exec_status") == ctl.STARTED) & (F.col("job_name") <= 40)
+    values = {"exec_status": ctl.FAILED, "status_message": ctl.RUN_HAS_FAILURES, "wf_end_datetime": ts_literal(fx.AT)}
+    return keyed_update(headers, where, values)
+
+
+def q_landing_file_mark(spark, sf_dir):
+    """The snapshots of some tables, by name, have been taken up."""
+    registry = fx.landing_file_list(spark, sf_dir)
+    return keyed_update(registry, F.col("table_name").startswith("brand_1"), {"is_processed_flag": True})
+
+
 def q_run_log_current(spark, sf_dir):
     return run_log_current(fx.run_log(spark, sf_dir), ["task_name", "job_exec_dtl_id"], ["ts", "event_id"])
 
@@ -231,6 +291,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "window_both": q_window_both,
     "impacted_dates": q_impacted_dates,
     "fact_sales_delta": q_fact_sales_delta,
+    "fact_sales_delta_orders": q_fact_sales_delta_orders,
     "fact_sales_day": q_fact_sales_day,
     "fact_sales_merge": q_fact_sales_merge,
     "daily_sales_refresh": q_daily_sales_refresh,
@@ -238,6 +299,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_orders": _upsert(fx.f_orders, ["order_id"], fx.SALES_WINDOW, "both", order_status="?"),
     "upsert_orders_either": _upsert(fx.f_orders, ["order_id"], fx.SALES_WINDOW, "either", order_status="?"),
     "upsert_order_items": _upsert(fx.f_order_items, ["order_item_id"], fx.SALES_WINDOW, "both", quantity=0),
+    "upsert_order_items_probe": _upsert(
+        fx.f_order_items, ["order_item_id"], fx.SALES_WINDOW, "both", plan="probe", quantity=0
+    ),
+    "upsert_order_items_split": _upsert(
+        fx.f_order_items, ["order_item_id"], fx.SALES_WINDOW, "both", plan="split", quantity=0
+    ),
     "upsert_payments": _upsert(fx.f_payments, ["payment_id"], fx.SALES_WINDOW, "both", amount=0),
     "upsert_reviews": _upsert(fx.f_reviews, ["review_id"], fx.REVIEW_WINDOW, "both", rating=0),
     "upsert_shippings": _upsert(fx.f_shippings, fx.SHIPPING_KEYS, fx.SALES_WINDOW, "both", ship_status="?"),
@@ -245,7 +312,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fx.d_categories, ["category", "size_class"], fx.DIMENSION_WINDOW, "both", product_count=0
     ),
     "insert_absent_products": q_insert_absent_products,
+    "insert_absent_repeated": q_insert_absent_repeated,
     "scd2_customers": _customers_after,
+    "customer_surrogates": q_customer_surrogates,
     "scd2_current": q_scd2_current,
     "append_customers": q_append_customers,
     "load_audit_counts": q_load_audit_counts,
@@ -259,6 +328,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_outcome": q_run_outcome,
     "landing_file_pick": q_landing_file_pick,
     "landing_file_register": q_landing_file_register,
+    "landing_file_mark": q_landing_file_mark,
+    "run_header_append": q_run_header_append,
+    "run_close": q_run_close,
+    "run_fail": q_run_fail,
     "latest_run": q_latest_run,
     "run_log_current": q_run_log_current,
     "csv_landing_extract": q_csv_landing_extract,
