@@ -4,6 +4,7 @@ from collections import Counter
 from datetime import date
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.frames import LOAD_AT, NEW, OLD, D, rows
@@ -148,3 +149,37 @@ def test_stamp_takes_the_types_of_the_target(spark):
     )
     stamped = spark.range(1).select(*[v.alias(k) for k, v in insert_stamp(df, "5", LOAD_AT).items()])
     assert [f.dataType for f in stamped.schema] == [f.dataType for f in df.schema]
+
+
+def test_an_average_is_rounded_once_however_many_orders(spark):
+    """25,000.12 over 200,001 orders is just below an eighth."""
+    orders = spark.range(200_001).select(
+        F.col("id").alias("order_id"), F.lit(1).cast("bigint").alias("customer_id"), F.lit(JAN1).alias("order_date")
+    )
+    price = F.when(F.col("id") == 0, F.lit("25000.12")).otherwise(F.lit("0")).cast("decimal(12,2)")
+    items = spark.range(200_001).select(
+        F.col("id").alias("order_id"),
+        F.lit("1").cast("decimal(12,2)").alias("quantity"),
+        price.alias("unit_price"),
+        F.lit("0").cast("decimal(12,2)").alias("discount"),
+    )
+    (row,) = daily_sales(items, orders).collect()
+    assert (row.total_orders, row.total_revenue, row.avg_order_value) == (200_001, Decimal("25000.12"), Decimal("0.12"))
+
+
+def test_a_revenue_that_does_not_fit_is_an_error(spark):
+    one = spark.range(1)
+    orders = one.select(F.lit(1).alias("order_id"), F.lit(1).alias("customer_id"), F.lit(JAN1).alias("order_date"))
+    huge = F.lit("1" * 30).cast("decimal(38,0)")
+    items = one.select(F.lit(1).alias("order_id"), huge.alias("quantity"), F.lit(1).cast("decimal(1,0)").alias("unit_price"), F.lit(0).cast("decimal(1,0)").alias("discount"))
+    with pytest.raises(Exception, match="does not fit"):
+        daily_sales(items, orders).collect()
+
+
+def test_the_filter_of_load_counts_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "audited")
+    spark.range(10).select(
+        F.lit(D("2024-01-05")).cast("timestamp_ntz").alias("dw_mdfctn_dt"), F.lit("L1").alias("dw_load_id"), F.lit(None).cast("string").alias("dw_update_id")
+    ).write.parquet(path)
+    plan = load_counts(spark.read.parquet(path), "L1", LOAD_AT)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(" in plan
