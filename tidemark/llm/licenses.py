@@ -16,6 +16,7 @@ words, labels or score; ids may be null or repeated.
 from __future__ import annotations
 
 import json
+from functools import reduce
 from itertools import product
 
 from pyspark.sql import Column, DataFrame
@@ -30,33 +31,35 @@ BASE = {
 }
 
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_ANY_SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]++"  # of a text whose A-Z are not yet lower-cased
 _LETTERS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 # Licence families: label, keyword, names in words as a pattern, versions.
 FAMILIES = [
-    ("gpl", " public license ", "gnu general public license|gnu public license", "1 2 3"),
+    ("gpl", " gnu general ", "gnu general public license", "1 2 3"),
+    ("gpl", " gnu public ", "gnu public license", "1 2 3"),
     ("gpl", " gpl ", "gnu gpl|gpl", "1 2 3"),
-    ("lgpl", " public license ", "gnu lesser general public license|gnu library general public license", "2 2.1 3"),
+    ("lgpl", " gnu lesser ", "gnu lesser general public license", "2 2.1 3"),
+    ("lgpl", " gnu library ", "gnu library general public license", "2 2.1 3"),
     ("lgpl", " lgpl ", "gnu lgpl|lgpl", "2 2.1 3"),
-    ("agpl", " public license ", "gnu affero general public license|affero general public license", "1 3"),
+    ("agpl", " affero ", "gnu affero general public license|affero general public license", "1 3"),
     ("agpl", " agpl ", "gnu agpl|agpl", "1 3"),
     ("gfdl", " documentation license ", "gnu free documentation license", "1.1 1.2 1.3"),
     ("apache", " apache ", "apache license|apache software license|apache public license", "1 1.1 2"),
-    ("mpl", " public license ", "mozilla public license", "1 1.1 2"),
+    ("mpl", " mozilla ", "mozilla public license", "1 1.1 2"),
     ("mpl", " mpl ", "mpl", "1 1.1 2"),
-    ("epl", " public license ", "eclipse public license", "1 2"),
+    ("epl", " eclipse ", "eclipse public license", "1 2"),
     ("cddl", " distribution license ", "common development and distribution license", "1 1.1"),
-    ("cpl", " public license ", "common public license", "1"),
-    ("eupl", " public licence ", "european union public licence", "1 1.1 1.2"),
+    ("cpl", " common ", "common public license", "1"),
+    ("eupl", " european ", "european union public licence", "1 1.1 1.2"),
     ("artistic", " artistic license ", "perl artistic license|artistic license", "1 2"),
     ("afl", " academic free license ", "academic free license", "1.1 2 2.1 3"),
-    ("osl", " software license ", "open software license", "1 2 2.1 3"),
-    ("bsl", " software license ", "boost software license", "1"),
+    ("osl", " open software ", "open software license", "1 2 2.1 3"),
+    ("bsl", " boost ", "boost software license", "1"),
     ("psf", " foundation license ", "python software foundation license", "2"),
-    ("zpl", " public license ", "zope public license", "1 2 2.1"),
+    ("zpl", " zope ", "zope public license", "1 2 2.1"),
     ("ofl", " font license ", "sil open font license|open font license", "1 1.1"),
-    ("odbl", " database license ", "open data commons open database license|open database license", "1"),
+    ("odbl", " database ", "open data commons open database license|open database license", "1"),
     ("lppl", " project public license ", "latex project public license", "1 1.1 1.2 1.3"),
 ]
 PLAIN = [
@@ -96,7 +99,7 @@ def rules() -> list[dict[str, object]]:
         for version, (suffix, words) in product(versions.split(), _SUFFIXES.items()):
             number = version.replace(".", " ") + ("(?: 0)?" if "." not in version else "")
             full = "-".join(x for x in (label, version if "." in version else f"{version}.0", suffix) if x)
-            found.append((0, full, keyword, f"spdx license identifier {label} {number}{words}", 0.99))
+            found.append((0, full, " spdx ", f"spdx license identifier {label} {number}{words}", 0.99))
             found.append((1, full, keyword, f"{_GRANT}{name} (?:version |v )?v?{number}{words}", 0.95))
             found.append((2, full, keyword, f"{name} (?:version |v )?v?{number}{words}", 0.85))
         found.append((3, label, keyword, f"{_GRANT}{name}", 0.7))
@@ -105,7 +108,7 @@ def rules() -> list[dict[str, object]]:
         number = version.replace(".", " ") + ("(?: 0)?" if "." not in version else "")
         parts = "".join(f" {_CC_WORDS[x]}" for x in kind.split())
         full = "-".join(x for x in ("cc-by", kind.replace(" ", "-"), version if "." in version else f"{version}.0") if x)
-        found.append((0, full, " cc by ", f"spdx license identifier cc by{parts} {number}", 0.99))
+        found.append((0, full, " spdx ", f"spdx license identifier cc by{parts} {number}", 0.99))
         found.append((1, full, " cc by ", f"{_GRANT}cc by{parts} {number}", 0.95))
         found.append((2, full, " cc by ", f"cc by{parts} {number}", 0.85))
         found.append((2, full, " creative commons ", f"creative commons attribution{parts} {number}(?: international| unported)?", 0.85))
@@ -122,9 +125,10 @@ def rules() -> list[dict[str, object]]:
     return [{"rank": i, "label": r[1], "keyword": r[2], "pattern": f"(?<= )(?:{r[3]})(?= )", "sure": r[4]} for i, r in enumerate(ordered)]
 
 
-# Every rule needs one of these in the lower-cased text as it stands.
-_NEEDED = ("licen", "spdx", "gpl", "mpl", "creative", "public", "clause", "wtfpl", "0bsd", "cc0", "hereby", "redistribution", "reserved", "apache", "bsd", "mit", "isc", "zlib", "expat")
-_CC_BY = r"(?i)(?<![0-9A-Za-z\x{80}-\x{10FFFF}])cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by(?![0-9A-Za-z\x{80}-\x{10FFFF}])"
+# Every rule needs one of these in the lower-cased text as it stands, or one of the short names as a word of its own.
+_NEEDED = ("licen", "permission", "spdx", "creative", "domain", "clause", "wtfpl", "0bsd", "hereby", "redistribution", "reserved", "bsd")
+_SHORT = ("cc", "gpl", "mpl")
+_SHORT_WORDS = r"(?<![0-9a-z\x{80}-\x{10FFFF}])(?:cc[\x00-\x2F\x3A-\x60\x7B-\x7F]+by|cc0|[al]?gpl|mpl)(?![0-9a-z\x{80}-\x{10FFFF}])"
 
 
 def _intervals(norm: Column, pattern: Column) -> Column:
@@ -143,14 +147,16 @@ def _intervals(norm: Column, pattern: Column) -> Column:
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n_words, n_base, first_word, last_word, base_labels, labels (comma-joined), score, detections."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    low = F.lower("text")
-    needs = F.col("text").rlike(_CC_BY)
-    for word in _NEEDED:
-        needs = needs | low.contains(word)
-    words = docs.select(F.col(id_col).alias("id"), text.alias("text")).select(
-        "id", "text", F.regexp_count("text", F.lit(_WORD)).cast("long").alias("n_words"), needs.alias("needs")
+    text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
+    # One step after the other, so that what is used several times is computed once.
+    split = docs.select(F.col(id_col).alias("id"), text).select(
+        "id", "text", F.lower("text").alias("low"), F.split("text", _ANY_SEPARATORS).alias("parts")
     )
+    some = lambda words: reduce(lambda a, b: a | b, [F.contains("low", F.lit(w)) for w in words])
+    needs = some(_NEEDED) | (some(_SHORT) & F.col("low").rlike(_SHORT_WORDS))
+    # The part before a separator that leads, and that after one that trails, are empty and no words.
+    empty_ends = (F.element_at("parts", 1) == "").cast("int") + ((F.size("parts") > 1) & (F.element_at("parts", -1) == "")).cast("int")
+    words = split.select("id", "text", (F.size("parts") - empty_ends).cast("long").alias("n_words"), needs.alias("needs"))
     spaced = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.translate("text", *_LETTERS), _SEPARATORS, " ")), F.lit(" "))
     normal = words.select("id", "n_words", F.when(F.col("needs"), spaced).alias("norm"))
 
@@ -163,9 +169,13 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             F.transform(_intervals(norm, F.concat(F.lit("(?<= )"), b["phrase"], F.lit("(?= )"))), lambda x: x["start"]).alias("starts"),
         ),
     )
-    kind = "array<struct<rank:int,label:string,keyword:string,pattern:string,sure:double>>"
-    table = F.from_json(F.lit(json.dumps(rules())), kind)
-    tried = F.filter(table, lambda r: F.contains(norm, r["keyword"]) & F.rlike(norm, r["pattern"]))
+    kind = "array<struct<keyword:string,rules:array<struct<rank:int,label:string,keyword:string,pattern:string,sure:double>>>>"
+    ordered = rules()
+    words_of_rules = dict.fromkeys(r["keyword"] for r in ordered)
+    grouped = [{"keyword": k, "rules": [r for r in ordered if r["keyword"] == k]} for k in words_of_rules]
+    table = F.from_json(F.lit(json.dumps(grouped)), kind)
+    open_groups = F.filter(table, lambda g: F.contains(norm, g["keyword"]))
+    tried = F.filter(F.flatten(F.transform(open_groups, lambda g: g["rules"])), lambda r: F.rlike(norm, r["pattern"]))
     hits = F.flatten(
         F.transform(
             tried,
