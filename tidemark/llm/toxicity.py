@@ -132,17 +132,17 @@ def fit(
             yield pd.DataFrame(out, columns=["toxic", "places", "counts"])
 
     data = texts.mapInPandas(rows, "toxic int, places array<int>, counts array<double>").toPandas()
-    # The order in which tasks deliver rows must not move the last digits of the weights.
-    data = data.iloc[sorted(range(len(data)), key=lambda i: (data["toxic"][i], *data["places"][i], *data["counts"][i]))]
-    sizes = data["places"].map(len).to_numpy()
-    row = np.repeat(np.arange(len(data)), sizes)
-    col = np.concatenate([np.asarray(p, dtype=int) for p in data["places"]])
-    times = np.concatenate([np.asarray(c, dtype=float) for c in data["counts"]])
-    toxic = data["toxic"].to_numpy()
-    amount = np.bincount(row, np.minimum(times, MOST) * marked[col], len(data))
-    thirds = np.quantile(amount[toxic > 0], (1 / 3, 2 / 3))
+    # Equal rows count as one with a weight. Sorted: the order in which tasks deliver rows must not move the weights' last digits.
+    kinds = Counter((t, tuple(p), tuple(c)) for t, p, c in zip(data["toxic"], data["places"], data["counts"], strict=True))
+    ordered = sorted(kinds)
+    toxic, often = np.array([k[0] for k in ordered]), np.array([kinds[k] for k in ordered])
+    row = np.repeat(np.arange(len(ordered)), [len(k[1]) for k in ordered])
+    col = np.array([p for k in ordered for p in k[1]], dtype=int)
+    times = np.minimum(np.array([c for k in ordered for c in k[2]], dtype=float), MOST)
+    amount = np.bincount(row, times * marked[col], len(ordered))
+    thirds = np.quantile(np.repeat(amount, often * (toxic > 0)), (1 / 3, 2 / 3))
     grades = toxic * (1 + (amount > thirds[0]).astype(int) + (amount > thirds[1]).astype(int))
-    weights, thresholds = fit_ordinal(row, col, np.minimum(times, MOST), grades, len(place))
+    weights, thresholds = fit_ordinal(row, col, times, grades, len(place), often)
     return Model({f: float(weights[i]) for f, i in place.items() if weights[i]}, thresholds)
 
 
@@ -161,14 +161,16 @@ def fit_ordinal(
     value: np.ndarray,
     grades: np.ndarray,
     width: int,
+    often: np.ndarray | None = None,
     penalty: float = PENALTY,
     rounds: int = ROUNDS,
 ) -> tuple[np.ndarray, tuple[float, float, float]]:
     """Weights and ordered thresholds of a sparse matrix, by accelerated gradient steps with an L1 penalty.
 
-    The thresholds are a first one and two gaps of at least zero, kept so by projection."""
+    ``often`` says how many times each row counts. The order of the thresholds is kept by projection."""
     count = len(grades)
-    above = np.array([(grades > k).mean() for k in range(3)]).clip(1e-4, 1 - 1e-4)
+    share = (np.ones(count) if often is None else often) / (count if often is None else often.sum())
+    above = np.array([share[grades > k].sum() for k in range(3)]).clip(1e-4, 1 - 1e-4)
     start = np.log(1 / above - 1)
     thetas = np.maximum.accumulate(start)
     weights = np.zeros(width)
@@ -181,8 +183,8 @@ def fit_ordinal(
         a = np.where(grades > 0, _sigmoid(score - np.where(grades > 0, lower, 0)), 1.0)
         b = np.where(grades < 3, _sigmoid(score - np.where(grades < 3, upper, 0)), 0.0)
         likely = np.maximum(a - b, 1e-9)
-        slope = (a + b - 1) / count  # of the loss by the score
-        of_lower, of_upper = a * (1 - a) / likely / count, -b * (1 - b) / likely / count
+        slope = (a + b - 1) * share  # of the loss by the score
+        of_lower, of_upper = a * (1 - a) / likely * share, -b * (1 - b) / likely * share
         moved = ahead - step * np.bincount(col, value * slope[row], width)
         moved = np.sign(moved) * np.maximum(np.abs(moved) - step * penalty, 0)
         by_theta = np.array([of_lower[grades == k + 1].sum() + of_upper[grades == k].sum() for k in range(3)])
