@@ -82,9 +82,60 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+# 20 bits of the digest at a time, as four digits of five bits.
+_BASE32 = " || ".join(
+    f"substr('{_DIGITS}', ((cast('0x' || substr(sha1(payload), {5 * i + 1}, 5) as bigint) >> {shift}) & 31)::int + 1, 1)"
+    for i in range(8)
+    for shift in (15, 10, 5, 0)
+)
 _RULE_ROWS = ", ".join(f"('{r.text}', '{r.verdict}')" for r in RULES)
 
 ORACLE: dict[str, str] = {
+    "op1_warc_revisits": f"""
+        with p as (
+            select page_id, coalesce(html, '') as payload,
+                   min(page_id) over (partition by coalesce(html, '')) as first_id
+            from pages
+        )
+        select page_id, strlen(payload) as payload_bytes, {_BASE32} as payload_digest,
+               case when page_id = first_id then 'response' else 'revisit' end as record_type,
+               case when page_id <> first_id then first_id end as refers_to
+        from p""",
+    "op6_minhash_near_dedup": rf"""
+        with recursive w as (
+            select doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') as words from documents
+        ), s as (
+            select distinct doc_id, case when len(words) < 2 then words[1] else words[i] || ' ' || words[i + 1] end as shingle
+            from (select doc_id, words, unnest(range(1, greatest(len(words), 2))) as i from w where len(words) > 0)
+        ), n as (
+            select doc_id, count(*) as n from s group by doc_id
+        ), shared as (
+            select a.doc_id as a, b.doc_id as b, count(*) as m
+            from s a join s b using (shingle) where a.doc_id <> b.doc_id group by all
+        ), links as (
+            select a, b from shared join n x on x.doc_id = a join n y on y.doc_id = b where 100 * m >= 80 * (x.n + y.n - m)
+        ), reach as (
+            select doc_id, doc_id as other from documents
+            union
+            select r.doc_id, l.b from reach r join links l on r.other = l.a
+        )
+        select doc_id, coalesce(n, 0) as n_shingles, min(other) as component_id, doc_id = min(other) as kept
+        from reach left join n using (doc_id) group by doc_id, n""",
+    "op8_html_extraction": r"""
+        with a as (
+            select page_id, url, regexp_extract(html, '<article>((?s).*)</article>', 1) as inner_html from pages
+        ), t as (
+            select page_id, url,
+                   regexp_replace(regexp_replace(inner_html, '</?b>', '', 'g'), '</?(p|h1|br)>', ' ', 'g') as spaced
+            from a
+        ), u as (
+            select page_id, url,
+                   replace(replace(replace(replace(spaced, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)) as freed
+            from t
+        )
+        select page_id, url, text, length(text) as n_chars
+        from (select page_id, url, trim(regexp_replace(regexp_replace(freed, '&amp;?', '&', 'g'), '\s+', ' ', 'g')) as text from u)""",
     "op3_url_filters": rf"""
         with rests as (
             select page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest
