@@ -39,10 +39,11 @@ _PLACE = frozenset("article main".split())
 # Words in class, id or role of an element that is none of the main text.
 _NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar nav navbar navigation "
-    "menu breadcrumb breadcrumbs header masthead footer cookie cookies consent notice notices popup modal overlay newsletter "
+    "menu breadcrumb breadcrumbs header masthead footer cookie cookies consent gdpr notice notices alert popup modal overlay newsletter "
     "subscribe signup login search comment comments discussion replies respond social share sharing related recommended "
     "widget pagination pager copyright disclaimer toolbar complementary contentinfo form".split()
 )
+_NAME_BEGINNINGS = ("comment", "advert", "adsense", "adslot", "adbox", "adunit", "sidebar", "cookie", "navbar", "navmenu", "footer", "banner", "newsletter", "breadcrumb", "sponsor")
 _OF_PLACE = frozenset("ad ads advert adverts advertisement comment comments discussion replies related recommended".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
@@ -69,7 +70,8 @@ def _is_boilerplate(name: str, attributes: str) -> bool:
     words = {w for found in _NAMED.findall(attributes) for w in _WORD.findall("".join(found).lower())}
     if name in _PLACE:
         return not words.isdisjoint(_OF_PLACE)
-    return not words.isdisjoint(_NAMES) or bool(_HIDDEN.search(attributes))
+    named = not words.isdisjoint(_NAMES) or any(w.startswith(_NAME_BEGINNINGS) for w in words)
+    return named or bool(_HIDDEN.search(attributes))
 
 
 def lines_of(page: str) -> list[Line]:
