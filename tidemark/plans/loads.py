@@ -143,7 +143,9 @@ class Warehouse:
     def append(self, name: str, rows: DataFrame, copies: bool = False) -> None:
         """Add rows, NULL in the columns they lack. ``copies`` says that a key may have very many of them."""
         empty = self.spark.createDataFrame([], self.tables.schema(name))
-        self.tables.append(name, append_rows(empty, rows), copies=copies)
+        # Such rows may bring surrogate keys of their own, so the highest is looked up again.
+        unknown = {s: None for s in SURROGATES.values() if s in empty.columns}
+        self.tables.append(name, append_rows(empty, rows), copies=copies, marks=unknown)
 
     def compact(self, name: str, slices: Sequence[str] | None = None) -> None:
         """Write slices (all, if None) of a table anew, so that each lies in one directory."""
@@ -316,16 +318,18 @@ class Warehouse:
         if kind == "insert_absent":
             # Nothing is matched, so a key may come more than once: all its rows are new, or none is.
             new = absent_rows(current, changes, keys, end, run.load_id, at, surrogate)
-            self.tables.append(name, self._numbered(name, new, surrogate), based_on=version)
+            numbered, marks = self._numbered(name, new, surrogate)
+            self.tables.append(name, numbered, based_on=version, marks=marks)
         else:
             self._refuse(name, conflicting_changes(current, changes, keys))
             parts = scd2_parts(current, changes, keys, end, run.load_id, at, surrogate)
-            new = self._numbered(name, parts.appended, surrogate)
+            new, marks = self._numbered(name, parts.appended, surrogate)
             if self.tables.layout(name) == BY_OPENNESS:
                 # Closed versions stay where they are; those closed now are added to them.
-                self.tables.write(name, parts.was_open.unionByName(new), replace={OPEN}, based_on=version)
+                self.tables.write(name, parts.was_open.unionByName(new), replace={OPEN}, based_on=version, marks=marks)
             else:
-                self.tables.write(name, parts.closed.unionByName(parts.was_open).unionByName(new), based_on=version)
+                whole = parts.closed.unionByName(parts.was_open).unionByName(new)
+                self.tables.write(name, whole, based_on=version, marks=marks)
         return self._counts(name, run, at, found)
 
     def _merge_fact(self, name: str, bounds: tuple, run: Run, keys: Sequence[str]) -> Counts:
@@ -389,13 +393,17 @@ class Warehouse:
         if example is not None:
             raise LoadError(f"several source rows for one row of {name}, for instance {example.asDict()}")
 
-    def _numbered(self, name: str, rows: DataFrame, surrogate: str | None) -> DataFrame:
+    def _numbered(self, name: str, rows: DataFrame, surrogate: str | None) -> tuple[DataFrame, dict[str, int]]:
+        """``rows`` with surrogate keys, and the highest one so far, to be kept with the version written."""
         if surrogate is None:
-            return rows
+            return rows, {}
         dtype = self.tables.schema(name)[surrogate].dataType
-        last = self.tables.read(name).agg(F.max(surrogate)).collect()[0][0] or 0
-        numbered = number_rows(stage(rows, f"new-{name.replace('/', '-')}"), surrogate, last)
-        return numbered.withColumn(surrogate, F.col(surrogate).cast(dtype))
+        last = self.tables.mark(name, surrogate)
+        if last is None:  # rows came from elsewhere: look once
+            last = int(self.tables.read(name).agg(F.max(surrogate)).collect()[0][0] or 0)
+        new = stage(rows, f"new-{name.replace('/', '-')}")
+        numbered = number_rows(new, surrogate, last)
+        return numbered.withColumn(surrogate, F.col(surrogate).cast(dtype)), {surrogate: last + new.count()}
 
     def _counts(self, name: str, run: Run, at: datetime, source: int | None = None) -> Counts:
         seen = load_counts(self.tables.read(name), run.load_id, at).collect()[0]
