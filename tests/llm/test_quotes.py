@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+from collections import Counter
+
+import duckdb
 from pyspark.sql import functions as F
 
 from tests.llm import brute
-from tidemark.llm import quotes
+from tidemark.llm import queries, quotes
 
 SCHEMA = "conv_id long, turn long, role string, text string"
 CONVERSATION = [
@@ -51,3 +54,14 @@ def test_texts_without_quotes_stay(spark):
     rows = [(1, 0, "user", "a > b\n  c"), (1, 1, "user", "He wrote:\nno quote")]
     got = brute.rows(quotes.conversations(spark.createDataFrame(rows, SCHEMA)), "turn", "text")
     assert got == [(0, "a > b\n  c"), (1, "He wrote:\nno quote")]
+
+
+def test_made_conversations_as_sql(spark, tmp_path):
+    extra = [(4, i, "user", "".join(f"> {'> ' * (j % 3)}w{(i * 5 + j) % 7}\n" for j in range(i % 4)) + f"w{i % 7}\n\nw{i * 3 % 7}") for i in range(40)]
+    spark.createDataFrame(CONVERSATION + extra, SCHEMA).coalesce(1).write.parquet(str(tmp_path / "conversations.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    theirs = con.execute(queries.ORACLE["op2_quotation_linking"])
+    names = [d[0] for d in theirs.description]
+    found = queries.QUERIES["op2_quotation_linking"](spark, str(tmp_path))
+    assert Counter(tuple(r) for r in found.select(*names).collect()) == Counter(theirs.fetchall())

@@ -25,7 +25,8 @@ def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quotes.conversations(table(spark, sf_dir, "conversations"))
+    found = quotes.conversations(table(spark, sf_dir, "conversations"))
+    return found.withColumn("replies_to", F.array_join(F.col("replies_to").cast("array<string>"), ","))
 
 
 RULES = [
@@ -136,6 +137,73 @@ ORACLE: dict[str, str] = {
         )
         select page_id, url, text, length(text) as n_chars
         from (select page_id, url, trim(regexp_replace(regexp_replace(freed, '&amp;?', '&', 'g'), '\s+', ' ', 'g')) as text from u)""",
+    "op2_quotation_linking": r"""
+        with recursive m as (
+            select row_number() over () as r, conv_id, turn, role, coalesce(text, '') as text from conversations
+        ), raw as (
+            select r, unnest(parts) as line, unnest(range(1, len(parts) + 1)) as i
+            from (select r, regexp_split_to_array(text, '\r\n|\r|\n') as parts from m)
+        ), marked as (
+            select r, i, length(regexp_replace(regexp_extract(line, '^(?:[ \t]*>)*'), '[^>]', '', 'g')) as depth,
+                   regexp_replace(line, '^(?:[ \t]*>)+[ \t]?', '') as body
+            from raw
+        ), levelled as (
+            select r, i, body,
+                   case when depth = 0 and lead(depth, 1, 0) over (partition by r order by i) > 0
+                             and regexp_matches(body, '(?i)^.{0,300}\b(?:wrote|writes|said|schrieb|a écrit|escribió)\b.{0,100}:\s*$')
+                        then -1 else depth end as level
+            from marked
+        ), stepped as (
+            select *, case when level <> lag(level) over (partition by r order by i) then 1 else 0 end as step from levelled
+        ), numbered as (
+            select *, sum(step) over (partition by r order by i) as passage from stepped
+        ), passages as (
+            select r, passage, level, string_agg(body, chr(10) order by i) as body from numbered group by all
+        ), own as (
+            select r, regexp_replace(coalesce(string_agg(body, chr(10) order by passage) filter (where level = 0), ''),
+                                     '^\s+|\s+$', '', 'g') as own,
+                   count(*) filter (where level > 0 and regexp_matches(body, '\S')) as n_quotes
+            from passages group by r
+        ), texts as (
+            select r, passage, level, body from passages where level >= 0
+            union all
+            select r, -1, 0, own from own
+        ), parts as (
+            select r, passage, level, 0 as grain, body as part from texts
+            union all
+            select r, passage, level, 1, unnest(regexp_split_to_array(body, '\n\s*\n')) from texts
+            union all
+            select r, passage, level, 2, unnest(string_split(body, chr(10))) from texts
+        ), units as (
+            select r, passage, level, grain, lower(trim(regexp_replace(part, '\s+', ' ', 'g'))) as unit from parts
+        ), originals as (
+            select conv_id, unit, min(turn) as original
+            from units join m using (r) where level = 0 and unit <> '' group by conv_id, unit
+        ), links as (
+            select r, conv_id, turn, passage, level, first(original order by grain, original) as original
+            from units join m using (r) join originals using (conv_id, unit)
+            where level > 0 and unit <> '' and original < turn group by r, conv_id, turn, passage, level
+        ), lowest as (
+            select r, min(level) as level, count(*) as n_linked from links group by r
+        ), replies as (
+            select r, conv_id, turn, n_linked, list_sort(list_distinct(list(original))) as replies_to
+            from links join lowest using (r, level) group by r, conv_id, turn, n_linked
+        ), parents as (
+            select conv_id, turn, max(replies_to[len(replies_to)]) as parent from replies group by conv_id, turn
+        ), chains as (
+            select conv_id, turn, parent as thread, 1 as depth from parents
+            union all
+            select c.conv_id, c.turn, p.parent, c.depth + 1
+            from chains c join parents p on c.conv_id = p.conv_id and c.thread = p.turn
+        ), ends as (
+            select conv_id, turn, first(thread order by depth desc) as thread, max(depth) as depth from chains group by conv_id, turn
+        )
+        select m.conv_id, m.turn, m.role, own as text,
+               case when m.conv_id is not null then coalesce(ends.thread, m.turn) end as thread, coalesce(ends.depth, 0) as depth,
+               replies_to[len(replies_to)] as reply_to, coalesce(array_to_string(replies_to, ','), '') as replies_to,
+               n_quotes, coalesce(n_linked, 0) as n_linked,
+               '<|' || coalesce(m.role, 'unknown') || '|>' || chr(10) || own || chr(10) as formatted
+        from m join own using (r) left join replies using (r) left join ends on ends.conv_id = m.conv_id and ends.turn = m.turn""",
     "op3_url_filters": rf"""
         with rests as (
             select page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest
