@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,9 +77,23 @@ def holds(packed: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return (packed[(slots >> np.uint64(6)).astype(np.int64)] >> (slots & np.uint64(63))) & np.uint64(1) == 1
 
 
-def small_batches(spark: SparkSession, size: int = 8 << 20) -> None:
-    """Let no batch of rows that goes to Python hold more than ``size`` bytes, unless one row does.
+_SENT: set[str] = set()
+
+
+def ready_for_python(spark: SparkSession, size: int = 4 << 20) -> None:
+    """What every operator with Python in its tasks needs of the session.
 
-    A batch is held several times over while it is converted; the default is too much for long texts.
+    No batch of rows that goes to Python holds more than ``size`` bytes, unless one row does: a batch is
+    held several times over while it is converted, and the default is too much for long texts. And the
+    tasks' Python finds this package, which the driver sends along once.
     """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+    context = spark.sparkContext
+    if context.applicationId not in _SENT:
+        package = Path(__file__).resolve().parent.parent
+        archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        _SENT.add(context.applicationId)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Slots, alnum_words, holds, mix, slots_of
+from tidemark.llm.common import Slots, alnum_words, holds, mix, ready_for_python, slots_of
 from tidemark.sources.shared import stage
 
 WINDOW, SHINGLE = 10, 5
@@ -115,6 +115,7 @@ def contamination(
     shingle: int = SHINGLE,
 ) -> DataFrame:
     """Per document row: id, text_key (xxhash64 of the text), n_words, n_hit, n_items, items (ids as text, sorted)."""
+    ready_for_python(docs.sparkSession)
     named = stage(item_windows(items, item_id_col, item_text_col, window, shingle), "windows")
     windows = named.dropDuplicates(["window"])
     needed = windows.select("window", "size", F.posexplode("shingles").alias("offset", "shingle"))

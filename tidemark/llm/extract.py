@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_batches
+from tidemark.llm.common import ready_for_python
 
 WINDOW, SURGE, LINKS = 3, 86, 0.6
 
@@ -192,7 +192,7 @@ def main_text(page: str, window: int = WINDOW, surge: int = SURGE) -> str:
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Per row: its id and url, the main text and its number of characters."""
-    small_batches(pages.sparkSession)
+    ready_for_python(pages.sparkSession)
 
     @F.pandas_udf("string")
     def texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

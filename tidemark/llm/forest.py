@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_batches
+from tidemark.llm.common import ready_for_python
 from tidemark.sources.shared import stage
 
 TREES, BITS, SHARD, SHARE, QUERIES = 96, 48, 16_384, 0.45, 4096
@@ -109,7 +109,7 @@ def search(
 ) -> DataFrame:
     """Per query row of ``rows``: query_id, rank (from 1), vec_id and score of its ``k`` nearest rows."""
     spark = rows.sparkSession
-    small_batches(spark)
+    ready_for_python(spark)
     vector = F.col(vector_col).cast("array<double>")
     able = rows.select(F.col(id_col).cast("long").alias("id"), vector.alias("v"), is_query.alias("asks"))
     able = able.where("id is not null").where(usable(F.col("v"))).withColumn("v_key", F.xxhash64("v"))

@@ -24,6 +24,7 @@ them links all.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,12 +32,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Slots, blank_words, holds, mix, slot_of, small_batches
+from tidemark.llm.common import Slots, blank_words, holds, mix, ready_for_python, slot_of
 from tidemark.llm.components import components
 from tidemark.sources.shared import stage
 
 SHINGLE, PERCENT, HALF_KEYS, WIDTH = 5, 80, 12, 3
-_AT_ONCE = 1 << 15
+_AT_ONCE = 1 << 12
 _BLOCK = 1 << 19  # shingles of a block that is compared with another in one task
 
 
@@ -54,11 +55,17 @@ def shingle_set(raw: bytes, k: int) -> np.ndarray:
     return np.unique(mix(run))
 
 
+@lru_cache(8)
+def _functions(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The odd factors and the shifts of ``count`` hash functions, the same in every task."""
+    seeds = np.random.default_rng(20240229).integers(1, 1 << 63, size=(2, count), dtype=np.uint64)
+    return seeds[0] | np.uint64(1), seeds[1]
+
+
 def half_keys_of(found: np.ndarray, half_keys: int, width: int) -> np.ndarray:
     """The 2 * half_keys half keys of a non-empty set, each a hash of its place and ``width`` minhashes."""
     count = 2 * half_keys * width
-    seeds = np.random.default_rng(20240229).integers(1, 1 << 63, size=(2, count), dtype=np.uint64)
-    factors, shifts = seeds[0] | np.uint64(1), seeds[1]
+    factors, shifts = _functions(count)
     least = np.full(count, np.iinfo(np.uint64).max)
     for at in range(0, len(found), _AT_ONCE):
         part = found[at : at + _AT_ONCE]
@@ -236,7 +243,7 @@ def near_duplicates(
     width: int = WIDTH,
 ) -> DataFrame:
     """Per document row: its id, n_shingles, component_id (smallest id that links lead to), kept."""
-    small_batches(docs.sparkSession)
+    ready_for_python(docs.sparkSession)
     signed = stage(signatures(docs, id_col, text_col, shingle, half_keys, width), "signatures")
     able = signed.where("id is not null and n_shingles > 0")
     least = F.min(F.struct("id", F.col("n_shingles").alias("size"), "first", "second")).alias("least")

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import alnum_words, small_batches
+from tidemark.llm.common import alnum_words, ready_for_python
 
 SAMPLE = 20_000
 BEGINNINGS = (5, 6, 7, 8, 9, 10, 12)  # in bytes
@@ -88,7 +88,7 @@ def fit(
     toxic_col: str = "toxic",
     sample: int = SAMPLE,
 ) -> Model:
-    small_batches(docs.sparkSession)
+    ready_for_python(docs.sparkSession)
     known = labels.where(F.col(id_col).isNotNull() & F.col(toxic_col).isNotNull())
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(toxic_col).cast("int")).alias("toxic"))
     known = known.orderBy(F.xxhash64("id"), "id").limit(sample)
@@ -198,7 +198,7 @@ def fit_ordinal(
 
 def severities(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document row: id, severity (0 to 3), grade, toxic."""
-    small_batches(docs.sparkSession)
+    ready_for_python(docs.sparkSession)
     scored = docs.select(F.col(id_col), model.score(F.col(text_col)).alias("__score"))
     score = F.col("__score")
     return scored.select(
@@ -208,5 +208,5 @@ def severities(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
 
 def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the model doesn't reject, with their columns."""
-    small_batches(docs.sparkSession)
+    ready_for_python(docs.sparkSession)
     return docs.where(model.score(F.col(text_col)) < model.thresholds[0])

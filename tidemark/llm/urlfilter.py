@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_batches
+from tidemark.llm.common import ready_for_python
 
 MARK = "\U0010ffff"  # no character; a URL's own is replaced
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -115,7 +115,7 @@ class Automaton:
 
 def judge(urls: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_col: str = "url", default: str = "allow") -> DataFrame:
     """Per row: its id, host, path, the rule that decides (null, if none fits) and the verdict."""
-    small_batches(urls.sparkSession)
+    ready_for_python(urls.sparkSession)
     ranked = sorted(rules, key=lambda r: (-len(r.text), r.text))
 
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_batches
+from tidemark.llm.common import ready_for_python
 from tidemark.sources.shared import own_path, stage
 
 ARCHIVE_BYTES = 16 << 20
@@ -105,7 +105,7 @@ def write_archives(
     pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", archive_bytes: int = ARCHIVE_BYTES
 ) -> str:
     """Write a response record per row of ``pages`` and return the folder."""
-    small_batches(pages.sparkSession)
+    ready_for_python(pages.sparkSession)
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def records() -> Iterator[bytes]:
@@ -151,7 +151,7 @@ def parse(archive: bytes) -> Iterator[Record]:
 
 
 def _archives(spark: SparkSession, folder: str) -> DataFrame:
-    small_batches(spark)
+    ready_for_python(spark)
     return spark.read.format("binaryFile").load(folder).select(F.col("path").alias("place"), "content")
 
 
