@@ -36,5 +36,12 @@ def test_round_trip_and_digests(spark):
         assert got[i].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
 
 
+def test_decoding_ids_of_another_source(spark):
+    rows = [(1, [5, 6]), (2, []), (3, None)]
+    got = {r.doc_id: r.bytes for r in bpe.decode(spark.createDataFrame(rows, "doc_id long, ids array<int>")).collect()}
+    table = bpe.token_bytes(PATH)
+    assert got == {1: table[5] + table[6], 2: b"", 3: None}
+
+
 def test_empty_table(spark):
     assert bpe.digests(spark.createDataFrame([], SCHEMA)).count() == 0

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_batches
+from tidemark.llm.common import ready_for_python
 
 CHUNK, OVERLAP = 1 << 16, 1 << 10
 
@@ -64,16 +64,30 @@ def boundaries(text: str, first: int, low: int, high: int, pattern: str) -> list
     return [s for s in starts if low <= s < high]
 
 
-def _encoder(path: str, pattern: str):
-    @F.pandas_udf("array<int>")
-    def encode_texts(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _encoder(path: str, pattern: str, with_bytes: bool):
+    """Ids where there are none yet, and the bytes they decode to. Null ids and text give nulls.
+
+    One function for both, so that a task needs one Python process."""
+
+    @F.pandas_udf("ids array<int>, bytes binary")
+    def encode_texts(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         encode = encoding(path, pattern).encode_ordinary
-        for batch in texts:
-            yield pd.Series([None if t is None else np.array(encode(t), dtype=np.int32) for t in batch])
+        for given, texts in batches:
+            ids = [
+                i if i is not None else None if t is None else np.array(encode(t), dtype=np.int32)
+                for i, t in zip(given, texts, strict=True)
+            ]
+            back = [decoded(i, path) if with_bytes and i is not None else None for i in ids]
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "bytes": pd.Series(back, dtype=object)})
 
     return encode_texts
 
 
+def decoded(ids: np.ndarray, path: str) -> bytes:
+    """The bytes of all tokens, one after the other."""
+    return b"".join(map(token_bytes(path).__getitem__, np.asarray(ids, dtype=np.int64).tolist()))
+
+
 def _seam_lists(pattern: str):
     @F.pandas_udf("head array<long>, tail array<long>")
     def seam_lists(texts: pd.Series, first: pd.Series, core: pd.Series, end: pd.Series, overlap: pd.Series) -> pd.DataFrame:
@@ -94,16 +108,20 @@ def encode(
     pattern: str = public_tokenizers.PATTERN,
     chunk: int = CHUNK,
     overlap: int = OVERLAP,
+    with_bytes: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: the id column and ``ids``, the token ids of the whole text in order.
 
-    ``path`` is a rank file that every executor has; no special tokens are used.
+    ``path`` is a rank file that every executor has; no special tokens are used. ``with_bytes`` adds what
+    the ids decode to.
     """
-    small_batches(docs.sparkSession)
+    ready_for_python(docs.sparkSession)
     path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    to_ids = _encoder(path, pattern)
+    no_ids = F.lit(None).cast("array<int>")
+    encoder = _encoder(path, pattern, with_bytes)
+    to_ids = lambda text: _encoder(path, pattern, False)(no_ids, text)["ids"]
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    short = texts.where(F.length("text") <= chunk).select("id", to_ids("text").alias("ids"))
+    short = texts.where(F.length("text") <= chunk).select("id", encoder(no_ids, "text").alias("done"))
 
     long = texts.where(F.length("text") > chunk).select("id", "text", F.monotonically_increasing_id().alias("row"))
     number = F.explode(F.sequence(F.lit(0), F.expr(f"cast((length(text) - 1) div {chunk} as int)")))
@@ -140,32 +158,28 @@ def encode(
     ordered = F.array_sort(F.collect_list(F.struct("k", "ids", "own")))
     whole = pieces.groupBy("row").agg(F.first("id").alias("id"), ordered.alias("parts"))
     unmet = F.element_at("parts", 1)["own"].isNotNull()
-    joined = whole.select(
-        "id",
-        F.when(~unmet, F.flatten(F.col("parts.ids"))).alias("stitched"),
-        to_ids(F.when(unmet, F.array_join(F.col("parts.own"), ""))).alias("at_once"),
-    )
-    result = short.unionByName(joined.select("id", F.coalesce("stitched", "at_once").alias("ids")))
-    return result.withColumnRenamed("id", id_col)
+    stitched = F.when(~unmet, F.flatten(F.col("parts.ids")))
+    at_once = F.when(unmet, F.array_join(F.col("parts.own"), ""))
+    result = short.unionByName(whole.select("id", encoder(stitched, at_once).alias("done")))
+    return result.select(F.col("id").alias(id_col), "done.ids", *(["done.bytes"] if with_bytes else []))
 
 
 def decode(encoded: DataFrame, ids_col: str = "ids", out_col: str = "bytes", path: str | None = None) -> DataFrame:
     """``encoded`` with the bytes of its ids in a further column. Null ids give null."""
-    small_batches(encoded.sparkSession)
+    ready_for_python(encoded.sparkSession)
     path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
     @F.pandas_udf("binary")
     def to_bytes(ids: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        table = np.array(token_bytes(path), dtype=object)
         for batch in ids:
-            yield pd.Series([None if i is None else b"".join(table[np.asarray(i, dtype=np.int64)]) for i in batch])
+            yield pd.Series([None if i is None else decoded(i, path) for i in batch], dtype=object)
 
     return encoded.withColumn(out_col, to_bytes(ids_col))
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Per row: how many ids, the SHA-256 of the ids and that of the bytes they decode to."""
-    back = decode(encode(docs, id_col, text_col, **options), path=options.get("path"))
+    back = encode(docs, id_col, text_col, with_bytes=True, **options)
     return back.select(
         id_col,
         F.size("ids").cast("long").alias("n_tokens"),
