@@ -137,6 +137,23 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stage(both.where(100 * shared >= percent * union).select("u", "v").distinct(), "links")
 
 
+def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components once more links are known. These mostly are few or none, so only what they touch is done anew."""
+    if links.isEmpty():
+        return found
+    u = found.select(F.col("node").alias("u"), F.col("component").alias("of_u"))
+    v = found.select(F.col("node").alias("v"), F.col("component").alias("of_v"))
+    lifted = links.join(u, "u", "left").join(v, "v", "left").select(
+        F.coalesce("of_u", "u").alias("u"), F.coalesce("of_v", "v").alias("v")
+    )
+    # Components of components, and nodes that had none.
+    above = components(lifted).select("node", F.col("component").alias("above"))
+    kept = found.join(above.withColumnRenamed("node", "component"), "component", "left").select(
+        "node", F.coalesce("above", "component").alias("component")
+    )
+    return stage(kept.union(above.select("node", F.col("above").alias("component"))).distinct(), "components")
+
+
 def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """The pairs whose ends lie in different components."""
     u = found.select(F.col("node").alias("u"), F.col("component").alias("of_u"))
@@ -265,14 +282,14 @@ def near_duplicates(
     # Two classes of one id are one document already.
     found = components(first)
     more = _linked(_across(pairs, found), sets, percent)
-    found = components(first.union(more))
+    found = _joined(found, more)
 
     # Buckets of three and more that span components: every pair across, compared within tasks.
     wide = shared.where("members > 2").join(found, F.col("id") == F.col("node"), "left")
     wide = wide.select("key", "id", F.coalesce("component", "id").alias("component"))
     split = wide.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("key")
     last = _across_buckets(wide, stage(split, "split-buckets"), classes, sets, percent)
-    found = components(first.union(more).union(last))
+    found = _joined(found, last)
 
     of_class = classes.join(found, F.col("id") == F.col("node"), "left")
     of_class = stage(of_class.select("digest", F.coalesce("component", "id").alias("component")), "class-components")
