@@ -32,6 +32,27 @@ def test_cases(page):
     assert extract.main_text(page) == CASES[page]
 
 
+WRAPPED = {
+    f'<div class="content-sidebar-wrap"><article><p>{LONG}</p></article></div>': LONG,
+    f'<div class="layout has-sidebar"><article><p>{LONG}</p></article><div class="sidebar"><p>side</p></div></div>': LONG,
+    f'<div id="page-with-header"><div class="site-header">top</div><article><p>{LONG}</p></article></div>': LONG,
+    f'<div class="widget"><article><p>{LONG}</p></article></div><div class="site-footer">foot</div>': LONG,
+    f'<div class="form"><p>{LONG}</p><p>{LONG}</p></div><div class="adBox">buy</div>': f"{LONG} {LONG}",
+    f'<main><h1>T</h1><div class="social"><p>{LONG}</p></div></main>': f"T {LONG}",
+    f'<article><div class="entry-header"><h1>T</h1></div><p>{LONG}</p></article>': f"T {LONG}",
+    f'<article><p class="social-theory">{LONG}</p><p class="immune-response">b</p><p id="related-work">c</p></article>': f"{LONG} b c",
+    f'<article><p class="commentary">c</p><p>{LONG}</p><div class="share social">s</div></article>': f"c {LONG}",
+    f'<article><p>{LONG}</p></article><div id="comments"><article><p>{LONG * 9}</p></article></div>': LONG,
+    f'<article><p>{LONG}</p></article><div class="sidebar"><p>{LONG * 9}</p></div>': LONG,
+    f'<p>short</p><div class="ads"><p>{LONG * 9}</p></div>': "short",
+}
+
+
+@pytest.mark.parametrize("page", WRAPPED)
+def test_names_of_wrappers_and_compound_names_drop_nothing(page):
+    assert extract.main_text(page) == WRAPPED[page]
+
+
 def test_menu_of_links_is_no_text():
     menu = "".join(f"<p><a href=/{i}>Some long link text number {i}</a></p>" for i in range(8))
     assert extract.main_text(f"<body><div>{menu}</div><p>{LONG}</p><p>{LONG}</p></body>") == f"{LONG} {LONG}"

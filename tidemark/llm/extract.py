@@ -2,7 +2,9 @@
 
 Markup is stripped to lines: every block element and line break ends a line, inline elements do not. A
 line that lies in a menu, header, footer, sidebar, notice, advert, form, comment section, script or style
-sheet, or that is mostly links, counts as empty. The text lengths of ``WINDOW`` lines at a time are then summed. Where the sums
+sheet, or that is mostly links, counts as empty. Elements named like one of these (class, id or role) are one, unless all articles of the
+page lie in them or most of its text does: those are wrappers. A name counts whole or if all its parts are such names
+(``footer-menu``), so ``has-sidebar`` or ``entry-header`` say nothing. The text lengths of ``WINDOW`` lines at a time are then summed. Where the sums
 surge from nothing to text a stretch begins, where they dive to nothing it ends. A page's main text
 are the lines of its stretches that hold an article or main element, of these elements only; if it has none, the stretches whose peak comes near that
 of the highest. Lines are joined in page order; nothing else is dropped.
@@ -43,14 +45,15 @@ _NAMES = frozenset(
     "subscribe signup login search comment comments discussion replies respond social share sharing related recommended "
     "widget pagination pager copyright disclaimer toolbar complementary contentinfo form".split()
 )
-_NAME_BEGINNINGS = ("comment", "advert", "adsense", "adslot", "adbox", "adunit", "sidebar", "cookie", "navbar", "navmenu", "footer", "banner", "newsletter", "breadcrumb", "sponsor")
 _OF_PLACE = frozenset("ad ads advert adverts advertisement comment comments discussion replies related recommended".split())
+# Parts of a name that say where or as what it stands, and nothing without one of the names.
+_BESIDE = frozenset("site global primary secondary top bottom left right area box block slot unit list links posts buttons container section".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 _TAG = re.compile(r"""</?([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
 _LOOSE_TAG = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>")
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_WORD = re.compile(r"[a-z]+")
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _HIDDEN = re.compile(r"display\s*:\s*none", re.I)
 
 
@@ -62,16 +65,63 @@ class Line:
     placed: bool  # in an article or main element
 
 
+@dataclass
+class Mark:
+    """An element that is named like boilerplate."""
+
+    parent: int  # the mark around it, or -1
+    apart: bool  # named like an advert, comments or links to other pages, which are never around the main text
+    placed: bool  # in an article or main element
+    text: int = 0  # characters in it
+    around: bool = False  # an article or main element lies in it
+
+
+def _names(attributes: str) -> set[str]:
+    """The names of boilerplate in class, id or role."""
+    found = set()
+    for values in _NAMED.findall(attributes):
+        for value in "".join(values).split():
+            parts = {x.lower() for x in _PART.findall(value)}
+            if parts <= _NAMES | _BESIDE:
+                found |= parts & _NAMES
+    return found
+
+
 def _is_boilerplate(name: str, attributes: str) -> bool:
+    """By its tag or style alone, or as an article that is an advert or a comment."""
     if name in _BOILERPLATE:
         return True
     if not attributes or name in ("html", "body"):
         return False
-    words = {w for found in _NAMED.findall(attributes) for w in _WORD.findall("".join(found).lower())}
     if name in _PLACE:
-        return not words.isdisjoint(_OF_PLACE)
-    named = not words.isdisjoint(_NAMES) or any(w.startswith(_NAME_BEGINNINGS) for w in words)
-    return named or bool(_HIDDEN.search(attributes))
+        return not _names(attributes).isdisjoint(_OF_PLACE)
+    return bool(_HIDDEN.search(attributes))
+
+
+def _drop_marked(lines: list[Line], marks: list[Mark], in_marks: list[int], free_place: bool) -> None:
+    """Sets the lines in marked elements to not kept, but for those in wrappers."""
+    texts = [len(x.text) if x.kept and (x.placed or x.linked <= LINKS * len(x.text)) else 0 for x in lines]
+    for n, i in zip(texts, in_marks, strict=True):
+        if i >= 0:
+            marks[i].text += n
+    for mark in reversed(marks):
+        if mark.parent >= 0:
+            marks[mark.parent].text += mark.text
+            marks[mark.parent].around |= mark.around
+    total = sum(texts)
+    placed = sum(n for n, x in zip(texts, lines, strict=True) if x.placed)
+    free = any(n and x.placed and i < 0 for n, x, i in zip(texts, lines, in_marks, strict=True))
+    dropped: list[bool] = []
+    for mark in marks:
+        whole = placed if mark.placed else total
+        most = mark.text >= whole if mark.apart else 2 * mark.text > whole
+        wraps = (mark.around and not free_place) or (most and (mark.placed or not free))
+        dropped.append((mark.parent >= 0 and dropped[mark.parent]) or not wraps)
+    out = [i >= 0 and dropped[i] for i in in_marks]
+    if all(gone or not n for gone, n in zip(out, texts, strict=True)):
+        return
+    for line, gone in zip(lines, out, strict=True):
+        line.kept = line.kept and not gone
 
 
 def lines_of(page: str) -> list[Line]:
@@ -79,14 +129,18 @@ def lines_of(page: str) -> list[Line]:
     lines: list[Line] = []
     run: list[str] = []
     linked = 0
-    open_tags: list[tuple[str, bool]] = []  # name, and whether it is boilerplate
+    open_tags: list[tuple[str, bool, bool]] = []  # name, whether it is boilerplate, whether it is marked
     skipped = links = places = 0  # how many open elements are boilerplate, links, articles
+    marks: list[Mark] = []
+    in_marks: list[int] = []  # of each line
+    mark, free_place = -1, False  # the innermost that is open; whether an article lies in none
 
     def end_line() -> None:
         nonlocal run, linked
         text = " ".join("".join(run).split())
         if text:
             lines.append(Line(text, linked, not skipped, places > 0))
+            in_marks.append(mark)
         run, linked = [], 0
 
     def add(text: str) -> None:
@@ -97,8 +151,10 @@ def lines_of(page: str) -> list[Line]:
             linked += len(text.strip())
 
     def pop() -> None:
-        nonlocal skipped, links, places
-        name, boiler = open_tags.pop()
+        nonlocal skipped, links, places, mark
+        name, boiler, marked = open_tags.pop()
+        if marked:
+            mark = marks[mark].parent
         skipped -= boiler
         links -= name == "a"
         places -= name in _PLACE
@@ -137,7 +193,7 @@ def lines_of(page: str) -> list[Line]:
         if name not in _INLINE:
             end_line()
         if closing:
-            if any(name == n for n, _ in open_tags):
+            if any(name == n for n, _, _ in open_tags):
                 while True:
                     was = open_tags[-1][0]
                     pop()
@@ -153,20 +209,29 @@ def lines_of(page: str) -> list[Line]:
             continue
         if name in _PLACE:
             # Boilerplate that is never closed ends where the article begins.
-            while skipped and open_tags and lowered.find(f"</{open_tags[-1][0]}", at) < 0:
+            while (skipped or mark >= 0) and open_tags and lowered.find(f"</{open_tags[-1][0]}", at) < 0:
                 pop()
-        if name not in _INLINE and any(n == "p" for n, _ in open_tags[-3:]):
-            while any(n == "p" for n, _ in open_tags[-3:]):
+        if name not in _INLINE and any(n == "p" for n, _, _ in open_tags[-3:]):
+            while any(n == "p" for n, _, _ in open_tags[-3:]):
                 pop()
         for implied in _CLOSES.get(name, ()):
             if open_tags and open_tags[-1][0] == implied:
                 pop()
         boiler = _is_boilerplate(name, attributes)
-        open_tags.append((name, boiler))
+        names = _names(attributes) if attributes and name not in _PLACE and name not in ("html", "body") else set()
+        if names:
+            marks.append(Mark(mark, not names.isdisjoint(_OF_PLACE), places > 0))
+            mark = len(marks) - 1
+        elif name in _PLACE and not boiler and not skipped:
+            if mark >= 0:
+                marks[mark].around = True
+            free_place = free_place or mark < 0
+        open_tags.append((name, boiler, bool(names)))
         skipped += boiler
         links += name == "a"
         places += name in _PLACE
     end_line()
+    _drop_marked(lines, marks, in_marks, free_place)
     return lines
 
 
