@@ -53,6 +53,20 @@ def test_names_of_wrappers_and_compound_names_drop_nothing(page):
     assert extract.main_text(page) == WRAPPED[page]
 
 
+def test_teasers_do_not_displace_the_main_text():
+    body = f"<div><p>{LONG}</p><p>{LONG}</p></div>"
+    gap = "<nav>a<p>b<p>c</nav>"
+    teasers = "<article><p>A teaser of other text.</p></article>"
+    assert f"{LONG} {LONG}" in extract.main_text(body + teasers)
+    assert f"{LONG} {LONG}" in extract.main_text(body + gap + teasers)
+    assert f"{LONG} {LONG}" in extract.main_text(teasers + gap + body)
+
+
+def test_articles_bound_the_text_where_they_are_most_of_it():
+    page = f"<div>Site name</div><article><p>{LONG}</p></article><div><p>between</p></div><article><p>{LONG}</p></article><div>Imprint</div>"
+    assert extract.main_text(page) == f"{LONG} between {LONG}"
+
+
 def test_menu_of_links_is_no_text():
     menu = "".join(f"<p><a href=/{i}>Some long link text number {i}</a></p>" for i in range(8))
     assert extract.main_text(f"<body><div>{menu}</div><p>{LONG}</p><p>{LONG}</p></body>") == f"{LONG} {LONG}"

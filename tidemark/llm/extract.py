@@ -5,9 +5,10 @@ line that lies in a menu, header, footer, sidebar, notice, advert, form, comment
 sheet, or that is mostly links, counts as empty. Elements named like one of these (class, id or role) are one, unless all articles of the
 page lie in them or most of its text does: those are wrappers. A name counts whole or if all its parts are such names
 (``footer-menu``), so ``has-sidebar`` or ``entry-header`` say nothing. The text lengths of ``WINDOW`` lines at a time are then summed. Where the sums
-surge from nothing to text a stretch begins, where they dive to nothing it ends. A page's main text
-are the lines of its stretches that hold an article or main element, of these elements only; if it has none, the stretches whose peak comes near that
-of the highest. Lines are joined in page order; nothing else is dropped.
+surge from nothing to text a stretch begins, where they dive to nothing it ends. The main run
+are the stretches whose peak comes near that of the highest. An article or main element is a hint: if at least half of the text of
+these stretches lies in such elements, the main text goes from the first line in one to the last, and holds what is no boilerplate in between.
+Else, as on a page whose articles are teasers, it is the main run. Lines are joined in page order; nothing else is dropped.
 
 Null html counts as empty and gives an empty text. Unclosed and misplaced tags, comments and pages cut
 off in the middle are read as far as they go.
@@ -245,14 +246,16 @@ def main_text(page: str, window: int = WINDOW, surge: int = SURGE) -> str:
     sums = np.convolve(sizes, np.ones(window, dtype=np.int64))[: len(sizes)]  # of a line and those before it
     full = np.concatenate([[False], sums > 0, [False]])
     begins, ends = np.flatnonzero(full[1:] & ~full[:-1]), np.flatnonzero(full[:-1] & ~full[1:])  # surges and dives
-    in_place = any(x.placed and n for x, n in zip(lines, sizes, strict=True))
     needed = min(surge, int(sums.max()))
-    kept = []
+    run = np.zeros(len(sizes), dtype=bool)
     for begin, end in zip(begins, ends, strict=True):
-        if not in_place and sums[begin:end].max() < needed:
-            continue
-        kept += [x.text for x, n in zip(lines[begin:end], sizes[begin:end], strict=True) if n and (x.placed or not in_place)]
-    return " ".join(kept)
+        run[begin:end] = sums[begin:end].max() >= needed
+    placed = np.array([x.placed for x in lines])
+    if 2 * sizes[run & placed].sum() >= sizes[run].sum():
+        held = np.flatnonzero(placed & (sizes > 0))
+        run = np.zeros(len(sizes), dtype=bool)
+        run[held[0] : held[-1] + 1] = True
+    return " ".join(x.text for x, n, kept in zip(lines, sizes, run, strict=True) if n and kept)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
