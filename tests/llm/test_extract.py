@@ -67,6 +67,16 @@ def test_articles_bound_the_text_where_they_are_most_of_it():
     assert extract.main_text(page) == f"{LONG} between {LONG}"
 
 
+SHORT = "A short paragraph of some sixty characters parted by adverts."
+ADVERTS = "<div class=ad>x</div><aside>y</aside><ul class=share><li>z</li></ul>"
+
+
+@pytest.mark.parametrize("blocks", [[LONG, LONG, SHORT], [LONG, SHORT, LONG], [SHORT, LONG, LONG], [LONG, SHORT, SHORT]])
+def test_short_paragraphs_parted_by_adverts_stay(blocks):
+    page = ADVERTS.join(f"<p>{b}</p>" for b in blocks)
+    assert extract.main_text(page) == " ".join(blocks)
+
+
 def test_menu_of_links_is_no_text():
     menu = "".join(f"<p><a href=/{i}>Some long link text number {i}</a></p>" for i in range(8))
     assert extract.main_text(f"<body><div>{menu}</div><p>{LONG}</p><p>{LONG}</p></body>") == f"{LONG} {LONG}"

@@ -8,7 +8,8 @@ page lie in them or most of its text does: those are wrappers. A name counts who
 surge from nothing to text a stretch begins, where they dive to nothing it ends. The main run
 are the stretches whose peak comes near that of the highest. An article or main element is a hint: if at least half of the text of
 these stretches lies in such elements, the main text goes from the first line in one to the last, and holds what is no boilerplate in between.
-Else, as on a page whose articles are teasers, it is the main run. Lines are joined in page order; nothing else is dropped.
+Else, as on a page whose articles are teasers, all stretches are main text, also short ones before, between and after those of the run,
+as a short paragraph may be parted from the others by adverts. Lines are joined in page order; nothing else is dropped.
 
 Null html counts as empty and gives an empty text. Unclosed and misplaced tags, comments and pages cut
 off in the middle are read as far as they go.
@@ -251,11 +252,11 @@ def main_text(page: str, window: int = WINDOW, surge: int = SURGE) -> str:
     for begin, end in zip(begins, ends, strict=True):
         run[begin:end] = sums[begin:end].max() >= needed
     placed = np.array([x.placed for x in lines])
+    first, last = begins[0], ends[-1]
     if 2 * sizes[run & placed].sum() >= sizes[run].sum():
         held = np.flatnonzero(placed & (sizes > 0))
-        run = np.zeros(len(sizes), dtype=bool)
-        run[held[0] : held[-1] + 1] = True
-    return " ".join(x.text for x, n, kept in zip(lines, sizes, run, strict=True) if n and kept)
+        first, last = held[0], held[-1] + 1
+    return " ".join(x.text for x, n in zip(lines[first:last], sizes[first:last], strict=True) if n)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
