@@ -35,6 +35,23 @@ def test_links_threads_and_own_text(spark):
     assert got[1, 3].formatted == "<|user|>\nNew topic\n"
 
 
+def test_a_passage_that_quotes_several_messages(spark):
+    rows = [
+        (1, 0, "user", "Zero."),
+        (1, 1, "user", "Para one.\n\nTail of one."),
+        (1, 2, "user", "Two."),
+        (1, 3, "user", "Para three,\nsecond line."),
+        (1, 4, "user", "> Para one.\n>\n> Para three,\n> second line.\nboth"),
+        (1, 5, "user", "> Para one.\n>\n> unknown\n> Two.\n>\n> Zero.\n> second line.\nlines of paragraphs without an original"),
+        (1, 6, "user", "> Para one.\n>\n> Tail of one.\nthe whole only"),
+        (1, 7, "user", "> Para one.\n>\n> Para one.\n>\n> not\n> known\n>> Two.\nonly once, and the lowest level"),
+    ]
+    got = {r.turn: r for r in quotes.conversations(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {k: r.replies_to for k, r in got.items() if r.replies_to} == {4: [1, 3], 5: [0, 1, 2, 3], 6: [1], 7: [1]}
+    assert (got[4].reply_to, got[4].thread, got[4].depth, got[4].n_quotes, got[4].n_linked) == (3, 3, 1, 1, 1)
+    assert [got[k].n_linked for k in (5, 6, 7)] == [1, 1, 2]
+
+
 def test_long_chain_and_hot_text(spark):
     rows = [(1, 0, "user", "line 0")] + [(1, i, "user", f"> line {i - 1}\nline {i}") for i in range(1, 40)]
     rows += [(2, i, "user", "ok" if i % 2 else "> ok\nfine") for i in range(1, 300)]

@@ -5,13 +5,14 @@ a passage; level 0 is a message's own text, and a line that announces a quote ("
 one belongs to neither. A passage is normalised (white space to one blank, lower case) and hashed whole,
 by paragraph and by line. So is every message's own text, and the original of a hash is the earliest
 message of the conversation that has it as text of its own. A quote is linked to that original if it is
-earlier than the quoting message; the whole passage counts before a paragraph, that before a line. Of
+earlier than the quoting message; the whole passage counts before its paragraphs, a paragraph before its lines, so
+that a passage which quotes several messages is linked to each. Of
 the levels that are linked, the lowest is what a message replies to; of several originals there, the latest is its parent.
 
 Messages are ordered by thread (the message that a chain of replies goes back to), then by turn. Chains
 are followed by doubling, one join per doubling, over linked messages only. Everything is DataFrame
-operations; the only grouping is a minimum per hash, which combines before its shuffle, so a conversation or a
-text that makes up much of the table is not gathered anywhere.
+operations; groupings are a minimum per hash, which combines before its shuffle, and the originals of a message's own
+quotes, so a conversation or a text that makes up much of the table is not gathered anywhere.
 
 Null text counts as empty. A message without conversation or turn is kept, unlinked and without a thread. Rows that
 repeat a turn are versions of one message: each has its own links; what others quote leads to the turn.
@@ -78,20 +79,25 @@ def parsed(messages: DataFrame, conv_col: str, turn_col: str, role_col: str, tex
     return runs.select("conv", "turn", "role", "key", F.regexp_replace(F.array_join(bodies, "\n"), r"^\s+|\s+$", "").alias("own"), bodies.alias("bodies"), quotes.alias("quotes"))
 
 
+def _hash(text: Column) -> Column:
+    return F.md5(text.cast("binary"))
+
+
 def _hashes(text: Column) -> Column:
-    """Distinct (grain, hash) of a passage, its paragraphs and its lines."""
-    # Only passages of several paragraphs or lines have parts that differ from the whole.
-    whole = F.array(F.struct(F.lit(WHOLE).alias("grain"), normal(text).alias("text")))
-    parts = lambda mark, grain: F.transform(
-        F.split(text, mark), lambda p: F.struct(F.lit(grain).alias("grain"), normal(p).alias("text"))
+    """Distinct (grain, paragraph, hash) of a passage, its paragraphs and their lines; the paragraph is known by its hash."""
+    unit = lambda grain, paragraph, part: F.struct(F.lit(grain).alias("grain"), paragraph.alias("paragraph"), part.alias("text"))
+    none = F.lit(None).cast("string")
+    paragraphs = F.split(text, r"\n\s*\n")
+    lines = F.flatten(F.transform(paragraphs, lambda p: F.transform(F.split(p, "\n"), lambda x: unit(LINE, _hash(normal(p)), normal(x)))))
+    units = F.concat(
+        F.array(unit(WHOLE, none, normal(text))), F.transform(paragraphs, lambda p: unit(PARAGRAPH, _hash(normal(p)), normal(p))), lines
     )
-    units = F.concat(whole, parts(r"\n\s*\n", PARAGRAPH), parts("\n", LINE))
     full = F.filter(units, lambda u: F.length(u["text"]) > 0)
-    return F.array_distinct(F.transform(full, lambda u: F.struct(u["grain"].alias("grain"), F.md5(u["text"].cast("binary")).alias("hash"))))
+    return F.array_distinct(F.transform(full, lambda u: F.struct(u["grain"], u["paragraph"], _hash(u["text"]).alias("hash"))))
 
 
 def linked(messages: DataFrame) -> DataFrame:
-    """Per quoted passage of a parsed message that has an original: conv, turn, key, passage, level, original."""
+    """Per quoted passage of a parsed message that has an original: conv, turn, key, passage, level, originals."""
     able = messages.where(F.col("conv").isNotNull() & F.col("turn").isNotNull())
     quoted = (
         able.where(F.size("quotes") > 0)
@@ -104,10 +110,17 @@ def linked(messages: DataFrame) -> DataFrame:
     )
     original = able.select("conv", "turn", F.explode(own).alias("hash")).groupBy("conv", "hash").agg(F.min("turn").alias("original"))
     found = quoted.join(original, ["conv", "hash"]).where(F.col("original") < F.col("turn"))
-    best = F.min(F.struct("grain", "original")).alias("best")
-    return found.groupBy("conv", "turn", "key", "passage", "level").agg(best).select(
-        "conv", "turn", "key", "passage", "level", F.col("best.original").alias("original")
+    passage = ["conv", "turn", "key", "passage", "level"]
+    # The whole passage has no paragraph and is a group of its own.
+    parts = found.groupBy(*passage, "paragraph").agg(
+        F.min("grain").alias("grain"),
+        F.min(F.when(F.col("grain") < LINE, F.col("original"))).alias("one"),
+        F.collect_set(F.when(F.col("grain") == LINE, F.col("original"))).alias("of_lines"),
     )
+    part = F.when(F.col("grain") < LINE, F.array("one")).otherwise(F.col("of_lines"))
+    whole = F.min(F.when(F.col("grain") == WHOLE, F.col("one")))
+    each = F.array_distinct(F.flatten(F.collect_list(part)))
+    return parts.groupBy(*passage).agg(F.when(whole.isNotNull(), F.array(whole)).otherwise(each).alias("originals"))
 
 
 def threads(parents: DataFrame) -> DataFrame:
@@ -135,7 +148,7 @@ def conversations(
     lowest = links.groupBy("conv", "turn", "key").agg(F.min("level").alias("level"), F.count("*").alias("n_linked"))
     replies = links.join(lowest, ["conv", "turn", "key", "level"])
     replies = replies.groupBy("conv", "turn", "key").agg(
-        F.array_sort(F.collect_set("original")).alias("replies_to"), F.first("n_linked").alias("n_linked")
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("originals")))).alias("replies_to"), F.first("n_linked").alias("n_linked")
     )
     replies = stage(replies, "replies")
     parents = replies.groupBy("conv", "turn").agg(F.max(F.array_max("replies_to")).alias("parent"))
