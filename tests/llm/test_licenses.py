@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from re import _parser as parser
 
 from pyspark.sql import functions as F
 
@@ -27,6 +28,50 @@ def test_scan_as_brute_force(spark):
     assert licenses.scan(df.limit(0)).count() == 0
 
 
+def alternatives(pattern):
+    """All texts that a rule's pattern stands for."""
+    found = [""]
+    for kind, value in pattern:
+        kind = str(kind)
+        if kind == "LITERAL":
+            ways = [chr(value)]
+        elif kind == "SUBPATTERN":
+            ways = alternatives(value[3])
+        elif kind == "BRANCH":
+            ways = [w for branch in value[1] for w in alternatives(branch)]
+        elif kind == "MAX_REPEAT":
+            assert value[:2] == (0, 1)
+            ways = ["", *alternatives(value[2])]
+        elif kind == "IN":
+            ways = [chr(v) for _, v in value]
+        else:
+            assert kind in ("ASSERT", "ASSERT_NOT"), kind
+            ways = [""]
+        found = [a + b for a in found for b in ways]
+    return found
+
+
+def test_every_alternative_has_its_rules_keyword():
+    lacking = {(r["label"], r["keyword"]) for r in licenses.rules() for x in alternatives(parser.parse(r["pattern"])) if r["keyword"] not in f" {x} "}
+    assert not lacking
+
+
+def test_plain_alternatives_as_ungated_brute_force(spark):
+    ungated = [r | {"keyword": ""} for r in licenses.rules()]
+    texts = [x for r in licenses.rules() if r["sure"] == 0.5 for x in alternatives(parser.parse(r["pattern"]))]
+    docs = list(enumerate([*texts, "Simplified BSD License", "under the FreeBSD License.", "Original BSD and new BSD licence"]))
+    got = brute.rows(licenses.scan(spark.createDataFrame(docs, SCHEMA)), *NAMES)
+    assert got == brute.licenses(docs, ungated, licenses.BASE)
+    labels = {r[0]: r[6] for r in got}
+    assert [labels[i] for i, _ in docs[-3:]] == ["bsd-2-clause", "bsd-2-clause", "bsd,bsd-3-clause,bsd-4-clause"]
+
+
+def test_detections_are_all_that_is_not_suppressed(spark):
+    docs = [(1, "MIT License. x GPL y mit license"), (2, "wtfpl " * 1300), (3, "nothing"), (4, None)]
+    got = {r.doc_id: [(d.start, d.end, d.label) for d in r.detections] for r in licenses.scan(spark.createDataFrame(docs, SCHEMA)).collect()}
+    assert got == {1: [(0, 2, "mit"), (3, 4, "gpl"), (5, 7, "mit")], 2: [(i, i + 1, "wtfpl") for i in range(1300)], 3: [], 4: []}
+
+
 def test_random_overlaps(spark):
     pick = random.Random(2)
     words = "gnu general public license version 3 0 or later only apache 2 cc by nc sa mit spdx identifier licensed under the x".split()

@@ -6,8 +6,8 @@ and each gives the word intervals where its pattern stands. Rules are ordered: a
 of an earlier rule is suppressed. The labels of the intervals that remain are the text's labels, the
 highest confidence among them is its score. Nothing is shuffled, as all of this is done within the row.
 
-Suppression sweeps over the intervals by their start and only keeps those that still reach beyond it, so a
-text with very many detections takes time in proportion.
+Suppression sweeps over the intervals by their start and only keeps those that still reach beyond it, and what remains
+is gathered in blocks, so a text with very many detections takes time in proportion. The detections are all intervals that remain.
 
 The base phrases are counted apart and their labels are never suppressed. Null text counts as empty and has no
 words, labels or score; ids may be null or repeated.
@@ -34,7 +34,7 @@ _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _ANY_SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]++"  # of a text whose A-Z are not yet lower-cased
 _LETTERS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
-# Licence families: label, keyword, names in words as a pattern, versions.
+# Licence families: label, keyword that every name contains, names in words as a pattern, versions.
 FAMILIES = [
     ("gpl", " gnu general ", "gnu general public license", "1 2 3"),
     ("gpl", " gnu public ", "gnu public license", "1 2 3"),
@@ -70,14 +70,15 @@ PLAIN = [
     ("unlicense", " unlicense ", "the unlicense|unlicense"),
     ("wtfpl", " wtfpl ", "wtfpl"),
     ("0bsd", " 0bsd ", "0bsd"),
-    ("bsd-2-clause", " clause ", "(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)(?: license)?"),
-    ("bsd-3-clause", " clause ", "(?:bsd 3 clause|3 clause bsd|new bsd|revised bsd|modified bsd)(?: license)?"),
-    ("bsd-4-clause", " clause ", "(?:bsd 4 clause|4 clause bsd|original bsd)(?: license)?"),
+    ("bsd-2-clause", " bsd ", "(?:bsd 2 clause|2 clause bsd|simplified bsd)(?: license)?"),
+    ("bsd-2-clause", " freebsd ", "freebsd(?: license)?"),
+    ("bsd-3-clause", " bsd ", "(?:bsd 3 clause|3 clause bsd|new bsd|revised bsd|modified bsd)(?: license)?"),
+    ("bsd-4-clause", " bsd ", "(?:bsd 4 clause|4 clause bsd|original bsd)(?: license)?"),
     ("bsd", " bsd ", "bsd style license|bsd license|bsd licence"),
     ("public-domain", " public domain ", "(?:released|placed|dedicated) (?:in|into|to) the public domain"),
     ("cc0", " cc0 ", "cc0(?: 1 0)?(?: universal)?"),
     ("mit", " hereby granted ", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    ("isc", " hereby granted ", "permission to use copy modify and or distribute this software for any purpose"),
+    ("isc", " permission to use ", "permission to use copy modify and or distribute this software for any purpose"),
     ("bsd", " redistribution ", "redistribution and use in source and binary forms with or without modification are permitted"),
     ("proprietary", " reserved ", "all rights reserved"),
 ]
@@ -131,6 +132,9 @@ _SHORT = ("cc", "gpl", "mpl")
 _SHORT_WORDS = r"(?<![0-9a-z\x{80}-\x{10FFFF}])(?:cc[\x00-\x2F\x3A-\x60\x7B-\x7F]+by|cc0|[al]?gpl|mpl)(?![0-9a-z\x{80}-\x{10FFFF}])"
 
 
+_BLOCK = 512  # detections that are appended one by one before they are put away
+
+
 def _intervals(norm: Column, pattern: Column) -> Column:
     """First word and the word after the last of every place where the pattern stands."""
     marked = F.split(F.trim(F.regexp_replace(norm, pattern, F.lit("\x01$0\x02"))), " ")
@@ -193,6 +197,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     nothing = F.struct(
         F.array().cast("array<struct<back:int,rank:int>>").alias("reach"),
+        F.array().cast("array<array<struct<start:int,end:int,label:string,sure:double>>>").alias("blocks"),
         F.array().cast("array<struct<start:int,end:int,label:string,sure:double>>").alias("kept"),
         F.array().cast("array<string>").alias("labels"),
         F.lit(0.0).alias("score"),
@@ -202,10 +207,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         within = F.exists(state["reach"], lambda e: (e["back"] <= hit["back"]) & (e["rank"] < hit["rank"]))
         still = F.filter(state["reach"], lambda e: -e["back"] > hit["start"])
         new = ~within & ~F.array_contains(state["labels"], hit["label"])
-        first = F.struct(hit["start"].alias("start"), (-hit["back"]).alias("end"), hit["label"].alias("label"), hit["sure"].alias("sure"))
+        full = F.size(state["kept"]) >= _BLOCK
+        span = F.struct(hit["start"].alias("start"), (-hit["back"]).alias("end"), hit["label"].alias("label"), hit["sure"].alias("sure"))
         return F.struct(
             F.concat(still, F.array(F.struct(hit["back"].alias("back"), hit["rank"].alias("rank")))).alias("reach"),
-            F.when(new, F.concat(state["kept"], F.array(first))).otherwise(state["kept"]).alias("kept"),
+            F.when(full, F.concat(state["blocks"], F.array(state["kept"]))).otherwise(state["blocks"]).alias("blocks"),
+            F.concat(F.when(full, F.slice(state["kept"], 1, 0)).otherwise(state["kept"]), F.filter(F.array(span), lambda _: ~within)).alias("kept"),
             F.when(new, F.concat(state["labels"], F.array(hit["label"]))).otherwise(state["labels"]).alias("labels"),
             F.when(within, state["score"]).otherwise(F.greatest(state["score"], hit["sure"])).alias("score"),
         )
@@ -227,5 +234,5 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         joined(F.col("base_labels")).alias("base_labels"),
         joined(F.concat("base_labels", "state.labels")).alias("labels"),
         F.col("state.score").alias("score"),
-        F.col("state.kept").alias("detections"),
+        F.flatten(F.concat("state.blocks", F.array("state.kept"))).alias("detections"),
     )
