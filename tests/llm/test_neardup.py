@@ -34,6 +34,14 @@ def test_repeated_id_links_all_its_rows(spark):
     assert {r.component_id for r in neardup.near_duplicates(docs, shingle=2).collect()} == {5}
 
 
+def test_repeated_id_links_classes_that_others_stand_for(spark):
+    docs = [(3, "x y z"), (5, "x y z"), (5, "one two three"), (7, "one two three"), (5, ""), (8, ""), (8, "a b c"), (9, "a b c"), (None, "")]
+    found = neardup.near_duplicates(spark.createDataFrame(docs, SCHEMA), shingle=2)
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in found.collect()), key=str)
+    want = [(3, 3, True), (5, 3, False), (5, 3, False), (5, 3, False), (7, 3, False), (8, 8, True), (8, 8, True), (9, 8, False), (None, None, True)]
+    assert got == want
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_families_around_the_threshold(spark, seed):
     pick = random.Random(seed)

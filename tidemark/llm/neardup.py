@@ -279,8 +279,11 @@ def near_duplicates(
     sets = stage(_sets(docs, id_col, text_col, wanted, shingle), "sets")
 
     first = _linked(pairs.groupBy("u").agg(F.min("v").alias("v")), sets, percent)
-    # Two classes of one id are one document already.
-    found = components(first)
+    # The classes of one id are one document: those it stands for already, the others by an edge to what stands for them.
+    repeated = stage(signed.where("id is not null").groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"), "repeated")
+    classes_of = able.select("id", "digest").join(repeated, "id", "left_semi").distinct()
+    same = classes_of.join(classes.select("digest", F.col("id").alias("v")), "digest").select(F.col("id").alias("u"), "v")
+    found = components(first.select("u", "v").union(same))
     more = _linked(_across(pairs, found), sets, percent)
     found = _joined(found, more)
 
@@ -293,7 +296,10 @@ def near_duplicates(
 
     of_class = classes.join(found, F.col("id") == F.col("node"), "left")
     of_class = stage(of_class.select("digest", F.coalesce("component", "id").alias("component")), "class-components")
-    result = signed.join(of_class, "digest", "left")
+    # A row without shingles has no class, but others of its id may.
+    of_id = repeated.join(found, F.col("id") == F.col("node")).select("id", "component")
+    bare = signed.where("digest is null").join(of_id, "id", "left").select("id", "n_shingles", "component")
+    result = signed.where("digest is not null").join(of_class, "digest", "left").select("id", "n_shingles", "component").union(bare)
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return result.select(
         F.col("id").alias(id_col),
