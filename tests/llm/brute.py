@@ -106,3 +106,29 @@ def licenses(docs, rules, base):
         first, last = min(places, default=None), max(places, default=None)
         out.append((doc, len(words), len(places), first, last, ",".join(sorted(names)), labels, score))
     return sorted(out, key=str)
+
+
+def repeats(docs, length):
+    """id, bytes, removed ranges and what is left; a missing id is larger than all others."""
+    number = lambda i: (i is None, i or 0)
+    first = {}
+    for doc, text in docs:
+        raw = (text or "").encode()
+        for p in range(len(raw) - length + 1):
+            own = raw[p : p + length]
+            first[own] = min(first.get(own, number(doc)), number(doc))
+    out = []
+    for doc, text in docs:
+        raw = (text or "").encode()
+        gone = [False] * len(raw)
+        for p in range(len(raw) - length + 1):
+            if first[raw[p : p + length]] < number(doc):
+                gone[p : p + length] = [True] * length
+        spans = []
+        for p, x in enumerate(gone):
+            if x and p and gone[p - 1]:
+                spans[-1] = (spans[-1][0], p + 1)
+            elif x:
+                spans.append((p, p + 1))
+        out.append((doc, len(raw), spans, bytes(c for c, x in zip(raw, gone, strict=True) if not x)))
+    return sorted(out, key=str)

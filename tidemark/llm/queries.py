@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, extract, forest, licenses, neardup, quotes, toxicity, urlfilter, warc
+from tidemark.llm import bpe, decontaminate, extract, forest, licenses, neardup, quotes, repeats, toxicity, urlfilter, warc
 from tidemark.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -67,6 +67,13 @@ def q_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", listed, (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def q_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.without_repeats(table(spark, sf_dir, "documents"), length=50)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    spans = F.size("spans").cast("long").alias("n_spans")
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), spans, F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_revisits": q_warc,
     "op2_quotation_linking": q_quotes,
@@ -78,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": q_extraction,
     "op9_benchmark_decontamination": q_decontamination,
     "op10_nearest_neighbours": q_neighbours,
+    "op13_suffix_array_dedup": q_repeats,
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -249,4 +257,32 @@ ORACLE: dict[str, str] = {
         select doc_id, len(words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
                sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
         from w left join covered using (r) left join listed using (r)""",
+    "op13_suffix_array_dedup": r"""
+        with d as (
+            select row_number() over () as r, doc_id, strlen(coalesce(text, '')) as n, hex(coalesce(text, '')) as digits from documents
+        ), pieces as (
+            select r, doc_id, k, substr(digits, 1000 * k + 1, 1098) as piece
+            from (select r, doc_id, digits, unnest(range(0, n // 500 + 1)) as k from d)
+        ), windows as (
+            select r, doc_id, 500 * k + i as p, substr(piece, 2 * i + 1, 100) as bytes
+            from (select r, doc_id, k, piece, unnest(range(0, length(piece) // 2 - 49)) as i from pieces)
+        ), firsts as (
+            select bytes, min(coalesce(doc_id, 9223372036854775807)) as first from windows group by bytes
+        ), stepped as (
+            select r, p, case when p - lag(p) over (partition by r order by p) <= 50 then 0 else 1 end as step
+            from windows join firsts using (bytes) where first < coalesce(doc_id, 9223372036854775807)
+        ), spans as (
+            select r, min(p) as low, max(p) + 50 as high
+            from (select r, p, sum(step) over (partition by r order by p) as span from stepped) group by r, span
+        ), gaps as (
+            select r, low, high, substr(digits, 2 * coalesce(lag(high) over w, 0) + 1, 2 * (low - coalesce(lag(high) over w, 0))) as gap
+            from spans join d using (r) window w as (partition by r order by low)
+        ), cut as (
+            select r, cast(sum(high - low) as bigint) as n_removed, count(*) as n_spans, max(high) as last,
+                   string_agg(gap, '' order by low) as gaps
+            from gaps group by r
+        )
+        select doc_id, n as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+               sha256(unhex(coalesce(gaps, '') || substr(digits, 2 * coalesce(last, 0) + 1))) as kept_sha256
+        from d left join cut using (r)""",
 }
