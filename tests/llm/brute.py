@@ -132,3 +132,30 @@ def repeats(docs, length):
                 spans.append((p, p + 1))
         out.append((doc, len(raw), spans, bytes(c for c, x in zip(raw, gone, strict=True) if not x)))
     return sorted(out, key=str)
+
+
+def collocations(docs, support, best, longest=4, percent=80, scale=2_000_000):
+    """lang, rank, phrase, a, l, r, n, score."""
+    f, total = defaultdict(Counter), Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\n-\r]", (text or "").translate(LOWER)):
+            words = tuple(re.findall("[^ \t]+", piece))
+            total[lang] += len(words)
+            for n in range(1, longest + 1):
+                f[lang].update(words[i : i + n] for i in range(len(words) - n + 1))
+    out = []
+    for lang, counts in f.items():
+        known = {p: a for p, a in counts.items() if a >= support and len(p) > 1}
+        rows = []
+        for p, a in known.items():
+            inside = (q for q in known if len(q) > len(p) and any(q[i : i + len(p)] == p for i in range(len(q))))
+            if any(100 * known[q] >= percent * a for q in inside):
+                continue
+            score, _, left, right = min(
+                (scale * a // (counts[p[:k]] + counts[p[k:]]), k, counts[p[:k]], counts[p[k:]]) for k in range(1, len(p))
+            )
+            rows.append((-score, -a, " ".join(p).encode(), left, right))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(rows)[:best], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, total[lang], -score))
+    return sorted(out, key=str)

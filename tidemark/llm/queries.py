@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, extract, forest, licenses, neardup, quotes, repeats, toxicity, urlfilter, warc
+from tidemark.llm import bpe, decontaminate, extract, forest, licenses, neardup, phrases, quotes, repeats, toxicity, urlfilter, warc
 from tidemark.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -67,6 +67,10 @@ def q_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", listed, (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def q_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), longest=4, support=30, best=2000)
+
+
 def q_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.without_repeats(table(spark, sf_dir, "documents"), length=50)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": q_extraction,
     "op9_benchmark_decontamination": q_decontamination,
     "op10_nearest_neighbours": q_neighbours,
+    "op11_phrase_collocations": q_phrases,
     "op13_suffix_array_dedup": q_repeats,
 }
 
@@ -257,6 +262,36 @@ ORACLE: dict[str, str] = {
         select doc_id, len(words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
                sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
         from w left join covered using (r) left join listed using (r)""",
+    "op11_phrase_collocations": rf"""
+        with p as (
+            select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(coalesce({_LOWER}, ''), '[.,;:!?\x0A-\x0D]')) as piece from documents
+        ), w as (
+            select lang, regexp_extract_all(piece, '[^\x20\x09]+') as words from p
+        ), totals as (
+            select lang, cast(sum(len(words)) as bigint) as n from w group by lang
+        ), places as (
+            select lang, words, size, unnest(range(1, len(words) - size + 2)) as place from w, (values (1), (2), (3), (4)) as s(size)
+        ), f as (
+            select lang, array_to_string(words[place:place + size - 1], ' ') as phrase, size, count(*) as a
+            from places group by all having count(*) >= 30
+        ), cuts as (
+            select lang, phrase, size, a, k, string_split(phrase, ' ') as words
+            from (select *, unnest(range(1, size)) as k from f where size > 1)
+        ), scored as (
+            select c.lang, c.phrase, c.a, k, l.a as l, r.a as r, cast(2000000 * c.a::hugeint // (l.a + r.a) as bigint) as score
+            from cuts c join f l on l.lang = c.lang and l.phrase = array_to_string(words[1:k], ' ')
+                        join f r on r.lang = c.lang and r.phrase = array_to_string(words[k + 1:], ' ')
+            qualify row_number() over (partition by c.lang, c.phrase order by score, k) = 1
+        ), inner_words as (
+            select lang, array_to_string(words[start:start + m - 1], ' ') as phrase, max(a) as longer
+            from (select *, unnest(range(1, size - m + 2)) as start
+                  from (select lang, string_split(phrase, ' ') as words, size, a, unnest(range(2, size)) as m from f where size > 2))
+            group by all
+        )
+        select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+        from scored left join inner_words using (lang, phrase) join totals using (lang)
+        where longer is null or 100 * longer < 80 * a
+        qualify rank <= 2000""",
     "op13_suffix_array_dedup": r"""
         with d as (
             select row_number() over () as r, doc_id, strlen(coalesce(text, '')) as n, hex(coalesce(text, '')) as digits from documents
