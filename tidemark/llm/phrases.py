@@ -268,7 +268,7 @@ def collocations(
     cuts = cuts.select("*", joined(F.lit(1), F.col("k")).alias("first"), joined(F.col("k") + 1, F.col("n_words") - F.col("k")).alias("rest"))
     left = known.select("group", F.col("phrase").alias("first"), F.col("a").alias("l"))
     right = known.select("group", F.col("phrase").alias("rest"), F.col("a").alias("r"))
-    score = F.expr(f"(cast({scale} as decimal(18, 0)) * cast(a as decimal(20, 0))) div (cast(l as decimal(20, 0)) + cast(r as decimal(20, 0)))")
+    score = F.expr(f"(cast({scale} as decimal(19, 0)) * cast(a as decimal(18, 0))) div (cast(l as decimal(20, 0)) + cast(r as decimal(20, 0)))")
     scored = cuts.join(left, ["group", "first"]).join(right, ["group", "rest"]).withColumn("score", score)
     scored = scored.groupBy("group", "phrase", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
 
