@@ -39,7 +39,7 @@ from tidemark.llm.suffix import permuted_prefixes, suffix_array
 from tidemark.sources.shared import own_path
 
 LENGTH, GRAM = 50, 20
-BLOCK, BUCKET, SLICE, SHARD = 32 << 20, 8 << 20, 16 << 20, 1 << 20
+BLOCK, BUCKET, SLICE, SHARD = 8 << 20, 8 << 20, 8 << 20, 1 << 20
 HOT = 1 << 13
 _RUN, _AT_ONCE, _BITS, _LAST = 64, 1 << 18, np.uint64(48), np.iinfo(np.int64).max
 _BASE = 0x9E3779B97F4A7C15
