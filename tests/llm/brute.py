@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -159,3 +160,36 @@ def collocations(docs, support, best, longest=4, percent=80, scale=2_000_000):
         for rank, (score, a, phrase, left, right) in enumerate(sorted(rows)[:best], 1):
             out.append((lang, rank, phrase.decode(), -a, left, right, total[lang], -score))
     return sorted(out, key=str)
+
+
+def trie(conversations):
+    """Node rows of rebuilt conversations; (conv_id, turn, role, text) in."""
+    own = defaultdict(list)
+    for conv, turn, role, text in conversations:
+        if conv is not None:
+            own[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(ts)] for c, ts in own.items()}
+    built = {}
+    for c, ts in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        built[c] = own.get(c - c % 5, [])[:h] + ts[h:]
+    members = defaultdict(list)
+    for c in sorted(built):
+        for d in range(len(built[c]) + 1):
+            members[tuple(built[c][:d])].append(c)
+    leaves, saved, children = Counter(), Counter(), Counter()
+    for node in members:
+        children[node[:-1]] += bool(node)
+    for node, own_members in members.items():
+        worth = (len(own_members) - 1) * len(node[-1][1].encode()) if node else 0
+        for d in range(len(node) + 1):
+            saved[node[:d]] += worth
+            leaves[node[:d]] += not children[node]
+    out = []
+    for node, own_members in members.items():
+        ends = ",".join(str(c) for c in own_members if len(built[c]) == len(node))
+        parent = members[node[:-1]][0] if node else None
+        digest = hashlib.sha256(ends.encode()).hexdigest()
+        row = (own_members[0], len(node), parent, len(own_members), children[node], leaves[node], saved[node], digest)
+        out.append(row)
+    return sorted(out, key=str)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, extract, forest, licenses, neardup, phrases, quotes, repeats, toxicity, urlfilter, warc
+from tidemark.llm import bpe, decontaminate, extract, forest, licenses, neardup, phrases, quotes, repeats, toxicity, trie, urlfilter, warc
 from tidemark.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -71,6 +71,11 @@ def q_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"), longest=4, support=30, best=2000)
 
 
+def q_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, sizes = trie.rebuilt(trie.numbered(table(spark, sf_dir, "conversations")), every=5, most=9)
+    return trie.prefix_trie(turns, sizes).drop("node", "parent")
+
+
 def q_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.without_repeats(table(spark, sf_dir, "documents"), length=50)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_benchmark_decontamination": q_decontamination,
     "op10_nearest_neighbours": q_neighbours,
     "op11_phrase_collocations": q_phrases,
+    "op12_conversation_trie": q_trie,
     "op13_suffix_array_dedup": q_repeats,
 }
 
@@ -292,6 +298,51 @@ ORACLE: dict[str, str] = {
         from scored left join inner_words using (lang, phrase) join totals using (lang)
         where longer is null or 100 * longer < 80 * a
         qualify rank <= 2000""",
+    "op12_conversation_trie": r"""
+        with t as (
+            select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+                   row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as depth
+            from conversations where conv_id is not null
+        ), bits as (
+            select conv_id, count(*) as n,
+                   flatten(list_transform(range(1, length(conv_id::varchar) + 1), lambda i: [ascii(substr(conv_id::varchar, i, 1)), 0, 0, 0, 0, 0, 0, 0])) as xs
+            from t group by conv_id
+        ), c as (
+            select conv_id, n, conv_id - conv_id % 5 as base, xor(list_reduce(list_prepend(4294967295::bigint, xs::bigint[]),
+                   lambda a, x: case when xor(a, x) % 2 = 1 then xor(xor(a, x) >> 1, 3988292384) else xor(a, x) >> 1 end), 4294967295) % 9 as h
+            from bits
+        ), d as (
+            select c.conv_id, c.n, c.base, c.h, least(c.h, coalesce(b.n, 0)) as taken from c left join c b on b.conv_id = c.base
+        ), rebuilt as (
+            select conv_id, depth - h + taken as depth, role, text from t join d using (conv_id) where depth > h
+            union all
+            select d.conv_id, depth, role, text from t join d on t.conv_id = d.base where depth <= taken
+        ), paths as (
+            select conv_id, depth, strlen(text) as bytes,
+                   sha256(string_agg(strlen(role) || ':' || strlen(text) || ':' || role || text, '')
+                          over (partition by conv_id order by depth rows unbounded preceding)) as node
+            from rebuilt
+            union all
+            select conv_id, 0, 0, '' from d
+        ), linked as (
+            select *, lag(node) over (partition by conv_id order by depth) as parent,
+                   depth = max(depth) over (partition by conv_id) as last
+            from paths
+        ), nodes as (
+            select node, any_value(parent) as parent, min(conv_id) as conv_id, any_value(depth) as depth, count(*) as n_convs,
+                   (count(*) - 1) * any_value(bytes) as own,
+                   coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where last), '') as ends
+            from linked group by node
+        ), children as (
+            select parent as node, count(*) as n_children from nodes where parent is not null group by parent
+        ), sums as (
+            select p.node, cast(sum(x.own) as bigint) as saved_tokens, count(*) filter (where n_children is null) as n_leaves
+            from nodes x left join children using (node) join paths p on p.conv_id = x.conv_id and p.depth <= x.depth
+            group by p.node
+        )
+        select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(n_children, 0) as n_children, n_leaves, saved_tokens,
+               sha256(n.ends) as ends_sha256
+        from nodes n left join nodes p on p.node = n.parent left join children on children.node = n.node join sums on sums.node = n.node""",
     "op13_suffix_array_dedup": r"""
         with d as (
             select row_number() over () as r, doc_id, strlen(coalesce(text, '')) as n, hex(coalesce(text, '')) as digits from documents
