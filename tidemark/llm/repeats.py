@@ -39,7 +39,7 @@ from tidemark.llm.suffix import permuted_prefixes, suffix_array
 from tidemark.sources.shared import own_path
 
 LENGTH, GRAM = 50, 20
-BLOCK, BUCKET, SLICE, SHARD = 8 << 20, 8 << 20, 8 << 20, 1 << 20
+BLOCK, BUCKET, SLICE, SHARD = 4 << 20, 8 << 20, 8 << 20, 1 << 20
 HOT = 1 << 13
 _RUN, _AT_ONCE, _BITS, _LAST = 64, 1 << 18, np.uint64(48), np.iinfo(np.int64).max
 _BASE = 0x9E3779B97F4A7C15
@@ -244,8 +244,8 @@ def _runs_of_blocks(blocks: DataFrame, slices: int, length: int, gram: int) -> D
                         start_ = np.append(start_, np.repeat(start[hot], each) + k)
                         at_, n_, key = np.append(at_, own), np.append(n_, np.ones_like(own)), np.append(key, whole)
                     raw = text.tobytes()
-                    rows = zip(_slice_of(key, slices), key & np.uint64(0xFFFF), doc_, at_, start_, n_ + length - 1, strict=True)
-                    for of_slice, sub, i, a, s, size in ((int(x) for x in row) for row in rows):
+                    columns = (_slice_of(key, slices), key & np.uint64(0xFFFF), doc_, at_, start_, n_ + length - 1)
+                    for of_slice, sub, i, a, s, size in zip(*(c.tolist() for c in columns), strict=True):
                         texts, subs, which, owners, starts = found.setdefault(of_slice, ({}, [], [], [], []))
                         piece = raw[a : a + size]
                         if piece not in texts:
@@ -274,8 +274,8 @@ def _runs_of_blocks(blocks: DataFrame, slices: int, length: int, gram: int) -> D
     return blocks.mapInArrow(gather, "slice long, block long, blob binary")
 
 
-def first_documents(texts: list[bytes], docs: np.ndarray, length: int) -> list[np.ndarray]:
-    """Per text and window of it, the smallest document of the texts that have this window.
+def first_documents(texts: list[bytes], docs: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(windows of each text, by window the smallest document of the texts that have it), one text after the other.
 
     ``docs`` is the smallest document of each text. The texts are one shard: its suffix array puts equal
     windows side by side, with common prefixes of a window or more between neighbours.
@@ -292,7 +292,7 @@ def first_documents(texts: list[bytes], docs: np.ndarray, length: int) -> list[n
     new = np.flatnonzero(common[order] < length)
     least = np.minimum.reduceat(of_place[order], new)
     of_place[order] = np.repeat(least, np.diff(np.append(new, len(order))))
-    return np.split(of_place[place], np.cumsum(windows)[:-1])
+    return windows, of_place[place]
 
 
 def _ranges(runs_: DataFrame, length: int, shard: int) -> DataFrame:
@@ -319,18 +319,21 @@ def _ranges(runs_: DataFrame, length: int, shard: int) -> DataFrame:
         shards = int(sizes.sum()) // shard + 1
         of_shard = subs * shards >> 16
         # Stretches of windows with one first document, by text.
-        text_, low_, high_, first_ = [], [], [], []
+        stretches = []
         for s in np.unique(of_shard).tolist():
             own = np.flatnonzero(of_shard == s)
-            for k, least in zip(own.tolist(), first_documents([texts[k] for k in own], docs[own], length), strict=True):
-                cuts = np.append(0, np.flatnonzero(least[1:] != least[:-1]) + 1)
-                text_ += [k] * len(cuts)
-                low_ += cuts.tolist()
-                high_ += [*cuts[1:].tolist(), len(least)]
-                first_ += least[cuts].tolist()
-        order = np.argsort(np.array(text_), kind="stable")
-        low, high, first = (np.array(x)[order] for x in (low_, high_, first_))
-        n = np.bincount(text_, minlength=len(texts))
+            windows, least = first_documents([texts[k] for k in own], docs[own], length)
+            start = np.cumsum(windows) - windows
+            new = np.append(True, least[1:] != least[:-1])
+            new[start] = True
+            low = np.flatnonzero(new)
+            of_text = np.repeat(np.arange(len(own)), windows)[low]
+            high = np.append(low[1:], len(least)) - start[of_text]
+            stretches.append((own[of_text], low - start[of_text], high, least[low]))
+        text, low, high, first = map(np.concatenate, zip(*stretches, strict=True))
+        order = np.argsort(text, kind="stable")
+        low, high, first = low[order], high[order], first[order]
+        n = np.bincount(text, minlength=len(texts))
         start = np.cumsum(n) - n
         out = []
         for own, (_, which, _, owners, starts, ids, _) in zip(of_part, parts, strict=True):

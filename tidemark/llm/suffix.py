@@ -166,6 +166,9 @@ def permuted_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndar
     before[order[1:]] = order[:-1]
     before[order[0]] = -1
     common = np.zeros(n, dtype=np.int32)
+    # Eight bytes from every place on, where symbols are bytes.
+    bytes_ = np.append(text, np.zeros(8, dtype=np.uint8)) if text.dtype == np.uint8 else None
+    wide = np.ndarray(n, dtype="<u8", buffer=bytes_, strides=(1,)) if bytes_ is not None else None
     step = 64
     places = np.arange(0, n, step)
     while len(places):
@@ -182,6 +185,11 @@ def permuted_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndar
         room = np.where(other < 0, 0, np.minimum(n - places, n - np.maximum(other, 0)))
         high = np.minimum(high, room)
         found = np.minimum(low, high)
+        left = np.flatnonzero(found + 8 <= high) if wide is not None else places[:0]
+        while len(left):
+            left = left[wide[places[left] + found[left]] == wide[other[left] + found[left]]]
+            found[left] += 8
+            left = left[found[left] + 8 <= high[left]]
         left = np.flatnonzero(found < high)
         while len(left):
             same = text[places[left] + found[left]] == text[other[left] + found[left]]
