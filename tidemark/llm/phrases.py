@@ -3,20 +3,22 @@
 A phrase is a run of words inside a piece of text; pieces end at ``. , ; : ! ?`` and line ends, words at
 spaces and tabs. Everything is per group (language).
 
-1. Shards of texts are mined completely, each at a support lowered in proportion: a phrase with ``support``
-   places in all has at least ``ceil(support * bytes of the shard / bytes of the group)`` in some shard.
-2. The union of what is frequent somewhere is cut by a bound: where a shard did not report a phrase it has
+1. Texts are dealt out to shards of one group each, of about ``shard`` bytes.
+2. Each shard is mined completely, at a support lowered in proportion: a phrase with ``support`` places in all
+   has at least ``ceil(support * bytes of the shard / bytes of the group)`` in some shard.
+3. The union of what is frequent somewhere is cut by a bound: where a shard did not report a phrase it has
    less than the shard's support.
-3. All phrases left are counted in every shard, by their texts, and added up exactly. Only phrases whose
-   parts are counted too are looked at, and a bit set of fixed size tells which may be.
+4. All phrases left are counted in every shard, by their texts, and added up exactly. A bit set of fixed size
+   tells which may be wanted.
 
-Parts of a frequent phrase are frequent, so the same counts give a phrase's parts. A phrase is scored by the
-cut into two parts that scores lowest, ``floor(scale * a / (l + r))`` in whole numbers of 38 digits. A
-phrase inside a longer one that has nearly as many places goes.
+Words and pairs are done first, then longer phrases, of which only those are looked at whose words and pairs
+are frequent. Parts of a frequent phrase are frequent, so the same counts give a phrase's parts. A phrase is
+scored by the cut into two parts that scores lowest, ``floor(scale * a / (l + r))`` in whole numbers of 38
+digits. A phrase inside a longer one that has nearly as many places goes.
 
-Null text counts as empty, a null group as ``und``, repeated rows count as often as they come. A shard is a
-task's texts up to ``shard`` bytes; a longer text is cut between pieces. Where a group has more shards than
-``support``, the lowered support is 1: shards then only add up what they have.
+Null text counts as empty, a null group as ``und``, repeated rows count as often as they come. Very long texts
+are looked at in slices between pieces; one that is longer than a shard makes a larger shard. Where a group
+has more shards than ``support``, the lowered support is 1, and shards only add up what they have.
 """
 
 from __future__ import annotations
@@ -24,18 +26,19 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from tidemark.llm.common import Slots, holds, mix, ready_for_python, slots_of
 from tidemark.sources.shared import stage
 
-LONGEST, SUPPORT, SHARD = 4, 30, 40 << 20
+LONGEST, SUPPORT, SHARD = 4, 30, 20 << 20
 _AT_ONCE = 2 << 20
 _BASE = 0x9E3779B97F4A7C15
 _TURN = np.uint64(0xC4CEB9FE1A85EC53)
@@ -116,80 +119,90 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up), np.cumprod(down)
 
 
-def _shards(batches: Iterator[pa.RecordBatch], shard: int) -> Iterator[tuple[str, list[bytes], int]]:
-    """(group, texts, bytes): what a task has of a group, up to ``shard`` bytes over all groups."""
-    held: dict[str, list[bytes]] = {}
-    sizes: dict[str, int] = {}
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
+    """(group, texts) of each shard that a task reads; a shard's rows lie together."""
+    shard, group, held = None, "", []
     for batch in batches:
-        for group, text in zip(batch["group"].to_pylist(), batch["text"].to_pylist(), strict=True):
-            for part in _pieces_of(text):
-                held.setdefault(group, []).append(part)
-                sizes[group] = sizes.get(group, 0) + len(part)
-                if sum(sizes.values()) > shard:
-                    yield from ((g, held[g], sizes[g]) for g in held)
-                    held, sizes = {}, {}
-    yield from ((g, held[g], sizes[g]) for g in held)
-
-
-def mine(words: Words, support: int, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(n, hashes, counts) of phrases with ``support`` places in this shard; longer ones only where their parts have it."""
-    before = None
-    for n, hashes, valid in words.grams(longest):
-        if before is not None:
-            valid = valid & before[:-1] & before[1:]
-        found, place, count = np.unique(hashes[valid], return_inverse=True, return_counts=True)
-        often = count >= support
-        yield n, found[often], count[often]
-        before = np.zeros(len(hashes), dtype=bool)
-        before[valid] = often[place]
-
-
-def _local(texts: DataFrame, total: dict[str, int], support: int, longest: int, shard: int) -> DataFrame:
-    """(group, n, hash, count, lacking): phrases frequent in a shard. ``lacking`` is one less than the shard's support.
-
-    A row per shard and group without a hash holds the number of words."""
+        for number, own, text in zip(*(batch[c].to_pylist() for c in ("shard", "group", "text")), strict=True):
+            if number != shard and held:
+                yield group, held
+                held = []
+            shard, group = number, own
+            held.append(text)
+    if held:
+        yield group, held
+
+
+def _wanted(hashes: np.ndarray, valid: np.ndarray, packed: np.ndarray | None, group: str) -> np.ndarray:
+    """Of the valid ones, those that the bit set may hold."""
+    if packed is None:
+        return valid
+    at = np.flatnonzero(valid)
+    out = np.zeros(len(hashes), dtype=bool)
+    out[at[holds(packed, slots_of(_keyed(hashes[at], group)))]] = True
+    return out
+
+
+def _local(texts: DataFrame, total: dict[str, int], support: int, sizes: tuple[int, int], known: Slots | None) -> DataFrame:
+    """(group, hash, count, lacking): phrases frequent in a shard. ``lacking`` is one less than the shard's support.
+
+    Shorter phrases than those of ``sizes`` are looked up in ``known``. A row per shard without a hash holds
+    the number of words."""
+    low, high = sizes
+    sent = known.sent if known else None
+
+    def mine(words: Words, group: str, lowered: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        before = None
+        for n, hashes, valid in words.grams(high):
+            if before is not None:
+                valid = valid & before[:-1] & before[1:]
+            if n < low:
+                before = _wanted(hashes, valid, sent.value, group)
+                continue
+            at = np.flatnonzero(valid)
+            order = np.argsort(hashes[at], kind="stable")
+            ranked = hashes[at][order]
+            first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])) if len(at) else at
+            count = np.diff(np.append(first, len(at)))
+            often = count >= lowered
+            yield _keyed(ranked[first[often]], group), count[often]
+            before = np.zeros(len(hashes), dtype=bool)
+            before[at[order[np.repeat(often, count)]]] = True
 
     def mine_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group, held, size in _shards(batches, shard):
+        for group, held in _shards(batches):
+            lowered = max(1, -(-support * sum(map(len, held)) // max(total[group], 1)))
             words = Words(held)
-            lowered = max(1, -(-support * size // max(total[group], 1)))
-            rows = [(0, np.zeros(1, np.uint64), np.array([len(words.hash)]))]
-            for n, hashes, counts in chain(rows, mine(words, lowered, longest)):
-                hashes = _keyed(hashes, group)
+            yield _batch(group, None, np.array([len(words.hash)]), lowered)
+            for hashes, counts in mine(words, group, lowered):
                 for a in range(0, len(hashes), 1 << 16):
-                    part = hashes[a : a + (1 << 16)].view(np.int64)
-                    k = len(part)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([group] * k, pa.string()),
-                            pa.array(np.full(k, n, np.int32)),
-                            pa.array(part, mask=np.full(k, n == 0)),
-                            pa.array(counts[a : a + k].astype(np.int64)),
-                            pa.array(np.full(k, lowered - 1, np.int64)),
-                        ],
-                        ["group", "n", "hash", "count", "lacking"],
-                    )
+                    yield _batch(group, hashes[a : a + (1 << 16)], counts[a : a + (1 << 16)], lowered)
+
+    def _batch(group: str, hashes: np.ndarray | None, counts: np.ndarray, lowered: int) -> pa.RecordBatch:
+        k = len(counts)
+        keys = pa.nulls(k, pa.int64()) if hashes is None else pa.array(hashes.view(np.int64))
+        columns = [pa.array([group] * k, pa.string()), keys, pa.array(counts.astype(np.int64)), pa.array(np.full(k, lowered - 1, np.int64))]
+        return pa.RecordBatch.from_arrays(columns, ["group", "hash", "count", "lacking"])
 
-    return texts.mapInArrow(mine_shards, "group string, n int, hash long, count long, lacking long")
+    return texts.mapInArrow(mine_shards, "group string, hash long, count long, lacking long")
 
 
-def _counted(texts: DataFrame, slots: Slots, longest: int, shard: int) -> DataFrame:
-    """(group, phrase, n, count): per shard, every phrase whose parts and itself may be wanted."""
-    sent = slots.sent
+def _counted(texts: DataFrame, slots: Slots, sizes: tuple[int, int]) -> DataFrame:
+    """(group, phrase, n, hash, count): per shard, every phrase of ``sizes`` words that may be wanted, as all its parts may be."""
+    sent, (low, high) = slots.sent, sizes
 
     def count_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group, held, _ in _shards(batches, shard):
+        for group, held in _shards(batches):
             words, before = Words(held, with_text=True), None
-            for n, hashes, valid in words.grams(longest):
+            for n, hashes, valid in words.grams(high):
                 if before is not None:
                     valid = valid & before[:-1] & before[1:]
-                at = np.flatnonzero(valid)
-                keys = _keyed(hashes[at], group)
-                wanted = holds(sent.value, slots_of(keys))
-                at, keys = at[wanted], keys[wanted]
-                before = np.zeros(len(hashes), dtype=bool)
-                before[at] = True
-                found, first, counts = np.unique(keys, return_index=True, return_counts=True)
+                before = _wanted(hashes, valid, sent.value, group)
+                if n < low:
+                    continue
+                at = np.flatnonzero(before)
+                found, first, counts = np.unique(hashes[at], return_index=True, return_counts=True)
+                found = _keyed(found, group)
                 for a in range(0, len(found), 1 << 16):
                     b = min(a + (1 << 16), len(found))
                     yield pa.RecordBatch.from_arrays(
@@ -197,12 +210,13 @@ def _counted(texts: DataFrame, slots: Slots, longest: int, shard: int) -> DataFr
                             pa.array([group] * (b - a), pa.string()),
                             words.texts(at[first[a:b]], n),
                             pa.array(np.full(b - a, n, np.int32)),
+                            pa.array(found[a:b].view(np.int64)),
                             pa.array(counts[a:b].astype(np.int64)),
                         ],
-                        ["group", "phrase", "n", "count"],
+                        ["group", "phrase", "n", "hash", "count"],
                     )
 
-    return texts.mapInArrow(count_shards, "group string, phrase string, n int, count long")
+    return texts.mapInArrow(count_shards, "group string, phrase string, n int, hash long, count long")
 
 
 def _keyed(hashes: np.ndarray, group: str) -> np.ndarray:
@@ -210,9 +224,38 @@ def _keyed(hashes: np.ndarray, group: str) -> np.ndarray:
     return mix(hashes + np.uint64(zlib.crc32(group.encode())))
 
 
-def _texts(docs: DataFrame, text_col: str, group_col: str) -> DataFrame:
+def _sharded(docs: DataFrame, text_col: str, group_col: str, shard: int) -> tuple[DataFrame, dict[str, int]]:
+    """Texts dealt out to shards of one group each, in the shared folder, and the bytes of each group.
+
+    Groups are languages, and few, so their sizes are collected. Equal texts are spread by the other columns."""
     group = F.coalesce(F.col(group_col).cast("string"), F.lit("und"))
-    return docs.select(group.alias("group"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    plain = [f.name for f in docs.schema.fields if isinstance(f.dataType, AtomicType)]
+    texts = docs.select(group.alias("group"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"), F.xxhash64(*plain).alias("spread"))
+    total = {r["group"]: r["size"] for r in texts.groupBy("group").agg(F.sum(F.octet_length("text")).alias("size")).collect()}
+    if not total:
+        return stage(texts.select("group", "text", F.lit(0).alias("shard")), "shards"), total
+    shards = {g: max(1, -(-size // shard)) for g, size in total.items()}
+    first = dict(zip(shards, accumulate(shards.values(), initial=0), strict=False))
+    per_group = lambda values: F.create_map(*(F.lit(x) for g in values for x in (g, values[g])))[F.col("group")]
+    number = (per_group(first) + F.pmod("spread", per_group(shards))).cast("int")
+    dealt = texts.select("group", "text", number.alias("shard")).repartitionById(sum(shards.values()), "shard")
+    return stage(dealt, "shards"), total
+
+
+def _level(
+    texts: DataFrame, total: dict[str, int], support: int, sizes: tuple[int, int], shorter: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(exact counts of phrases of ``sizes`` words with ``support`` places, words of each group)."""
+    known = Slots(shorter, "hash") if shorter is not None else None
+    local = stage(_local(texts, total, support, sizes, known), "phrases-local")
+    groups = local.where("hash is null").groupBy("group").agg(F.sum("count").alias("n"), F.sum("lacking").alias("most"))
+    reported = local.where("hash is not null").groupBy("group", "hash").agg(F.sum("count").alias("count"), F.sum("lacking").alias("own"))
+    bound = F.col("count") + F.col("most") - F.col("own")
+    union = reported.join(groups, "group").where(bound >= support).select("hash")
+    union = stage(union if shorter is None else union.unionByName(shorter.select("hash")), "phrases-union")
+    counted = _counted(texts, Slots(union, "hash"), sizes).groupBy("group", "phrase")
+    exact = counted.agg(F.first("n").alias("n_words"), F.first("hash").alias("hash"), F.sum("count").alias("a"))
+    return stage(exact.where(F.col("a") >= support), "phrases"), groups.select("group", "n")
 
 
 def frequent(
@@ -224,25 +267,12 @@ def frequent(
     shard: int = SHARD,
 ) -> DataFrame:
     """(group, phrase, n_words, a, n): phrases of up to ``longest`` (at most 4) words with ``support`` places, and the group's words."""
-    spark = docs.sparkSession
-    ready_for_python(spark)
-    texts = _texts(docs, text_col, group_col)
-    sizes = texts.groupBy("group").agg(F.sum(F.octet_length("text")).alias("size"))
-    # Groups are languages, and few. Tasks that read little are joined, so that supports are not lowered further than they must.
-    total = {r["group"]: r["size"] for r in sizes.collect()}
-    tasks = max(-(-sum(total.values()) // shard), spark.sparkContext.defaultParallelism)
-    texts = texts.coalesce(tasks)
-
-    local = stage(_local(texts, total, support, longest, shard), "phrases-local")
-    words = local.where("n = 0").groupBy("group").agg(F.sum("count").alias("n"), F.sum("lacking").alias("lacking"))
-    reported = local.where("n > 0").groupBy("group", "hash").agg(F.sum("count").alias("count"), F.sum("lacking").alias("reporting"))
-    bound = F.col("count") + F.col("lacking") - F.col("reporting")
-    few = words.select("group", "lacking")
-    union = stage(reported.join(few, "group").where(bound >= support).select("group", "hash"), "phrases-union")
-
-    counted = _counted(texts, Slots(union, "hash"), longest, shard)
-    exact = counted.groupBy("group", "phrase").agg(F.first("n").alias("n_words"), F.sum("count").alias("a")).where(F.col("a") >= support)
-    return exact.join(words.select("group", "n"), "group")
+    ready_for_python(docs.sparkSession)
+    texts, total = _sharded(docs, text_col, group_col, shard)
+    found, groups = _level(texts, total, support, (1, min(2, longest)))
+    if longest > 2:
+        found = found.unionByName(_level(texts, total, support, (3, longest), found)[0])
+    return found.drop("hash").join(groups, "group")
 
 
 def collocations(
@@ -260,7 +290,7 @@ def collocations(
 
     By score, then places, both falling, then the phrase in byte order.
     """
-    known = stage(frequent(docs, text_col, group_col, longest, support, shard), "phrases")
+    known = frequent(docs, text_col, group_col, longest, support, shard)
     words = F.split("phrase", " ")
     joined = lambda start, size: F.array_join(F.slice(words, start, size), " ")
 
