@@ -118,7 +118,8 @@ def runs(block: Block, length: int, gram: int, at_once: int = _AT_ONCE) -> Itera
         begin = block.start[docs[cut]] + offset[cut]
         text = np.concatenate([block.data[a:b] for a, b in zip(begin.tolist(), (begin + size[cut]).tolist(), strict=True)])
         end = np.cumsum(size[cut])
-        anchors = _smallest(_hashes(text, gram), length - gram + 1) >> (np.uint64(64) - _BITS)
+        # Smallest hashes are small numbers; mixed again they spread evenly over the slices.
+        anchors = mix(_smallest(_hashes(text, gram), length - gram + 1)) >> (np.uint64(64) - _BITS)
         owner = np.repeat(np.arange(len(cut)), size[cut])[: len(anchors)]
         valid = np.arange(len(anchors)) + length <= end[owner]
         new = np.ones(len(anchors), dtype=bool)
