@@ -452,3 +452,12 @@ ORACLE["load_audit_counts"] = f"""
            count(*) filter (where dw_update_id = '{fx.LOAD}') as update_count,
            count(*) filter (where dw_mdfctn_dt = {_AT}) as written_count
     from ({ORACLE['upsert_orders']})"""
+ORACLE["upsert_order_items_bucketed"] = ORACLE["upsert_order_items_ranged"] = ORACLE["upsert_order_items"]
+ORACLE["daily_sales_merged"] = ORACLE["daily_sales"]
+ORACLE["daily_sales_refresh_partitions"] = ORACLE["daily_sales_refresh"]
+ORACLE["csv_ragged_lines"] = with_views(
+    """
+    select case when order_id % 10 in (3, 7) then 'rejected' else 'loaded' end as outcome, order_status,
+           count(*) as n, cast(sum(order_id) as bigint) as sum_of_ids
+    from fx_f_orders group by 1, 2"""
+)

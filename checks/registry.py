@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,22 +17,36 @@ from tidemark.operators import (
     append_rows,
     apply_scd2,
     change_window,
+    daily_from_state,
     daily_sales,
+    daily_state,
     day_window,
     fact_sales_delta,
     impacted_dates,
     insert_absent,
     keyed_update,
     load_counts,
+    matched_keys,
+    merge_daily,
     open_versions,
     refresh_slices,
     upsert,
+    within_key_range,
 )
 from tidemark.operators.sales import fact_sales
 from tidemark.operators.scd2 import scd2_parts
 from tidemark.plans import control as ctl
 from tidemark.plans.runlog import latest_run, run_log_current
-from tidemark.sources import own_path, read_csv, read_snapshot, stage, write_snapshot
+from tidemark.sources import (
+    PartitionedTable,
+    own_path,
+    read_csv,
+    read_snapshot,
+    save_bucketed,
+    stage,
+    upsert_bucketed,
+    write_snapshot,
+)
 
 MONEY_OUT = ("quantity", "unit_price", "discount", "gross_amount", "net_sales_amount", "amount")
 
@@ -132,6 +147,70 @@ def q_csv_landing_extract(spark, sf_dir):
     return typed
 
 
+def q_csv_ragged_lines(spark, sf_dir):
+    """All orders as lines of text, of which some lack a field or have one too many: what is loaded and what is set aside.
+
+    A rejected row keeps its whole line, from which its order is read here."""
+    orders = fx.f_orders(spark, sf_dir)
+    last = F.col("order_id") % 10
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in orders.columns]
+    line = F.when(last == 3, F.concat_ws(",", *fields, F.lit("more"))).when(last == 7, F.concat_ws(",", *fields[:-1]))
+    path = own_path(spark, "ragged-orders")
+    orders.select(line.otherwise(F.concat_ws(",", *fields)).alias("line")).write.text(path)
+    rows = read_csv(spark, path, orders.columns, ragged="line", header=False)
+    first = lambda i: F.split("line", ",")[i]
+    rejected = F.col("line").isNotNull()
+    found = rows.select(
+        F.when(rejected, "rejected").otherwise("loaded").alias("outcome"),
+        F.when(rejected, first(3)).otherwise(F.col("order_status")).alias("order_status"),
+        F.when(rejected, first(0)).otherwise(F.col("order_id")).cast("bigint").alias("order_id"),
+    )
+    return found.groupBy("outcome", "order_status").agg(F.count("*").alias("n"), F.sum("order_id").alias("sum_of_ids"))
+
+
+def q_daily_sales_merged(spark, sf_dir):
+    """The state of items shipped before 1995 merged with that of all later ones; many orders have items in both."""
+    items, orders = sales(spark, sf_dir)
+    early = F.col("create_dt") < fx.ntz("1995-01-01 00:00:00")
+    parts = [daily_state(items.where(part), orders) for part in (early, ~early)]
+    return daily_out(daily_from_state(*merge_daily(*parts)))
+
+
+def q_daily_sales_refresh_partitions(spark, sf_dir):
+    """As ``daily_sales_refresh``, where the aggregate has a folder per month and only touched ones are written."""
+    items, orders = sales(spark, sf_dir)
+    window = day_window(*fx.DAY)
+    before = fx.audited(daily_sales(items.where(F.col("create_dt") < ts_literal(window[0])), orders))
+    table = PartitionedTable(spark, own_path(spark, "daily-sales"), before.schema, "order_date", "month")
+    table.create()
+    table.replace(before, before.select("order_date"))
+    dates = stage(impacted_dates(items, orders, *window), "impacted-dates")
+    fresh = daily_sales(items, orders, dates).withColumns(insert_stamp(before, fx.LOAD, fx.AT))
+    table.replace(fresh, dates)
+    return daily_out(table.read())
+
+
+def q_upsert_order_items_bucketed(spark, sf_dir):
+    """The stored items lie in buckets of their key, so that only the changes are shuffled."""
+    now, keys = fx.f_order_items(spark, sf_dir), ["order_item_id"]
+    first, loaded, last = fx.SALES_WINDOW
+    name = f"items_{uuid.uuid4().hex}"
+    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    save_bucketed(fx.stored(now, loaded, quantity=F.lit(0)), name, keys, buckets, own_path(spark, "bucketed"))
+    changes = change_window(now, first, last, "both")
+    return plain(upsert_bucketed(spark, name, changes, keys, fx.LOAD, fx.AT, f"{name}_next", own_path(spark, "bucketed")))
+
+
+def q_upsert_order_items_ranged(spark, sf_dir):
+    """The stored keys that match are looked for only between the smallest and the largest key of the changes."""
+    now, keys = fx.f_order_items(spark, sf_dir), ["order_item_id"]
+    first, loaded, last = fx.SALES_WINDOW
+    target = stage(fx.stored(now, loaded, quantity=F.lit(0)), "items")
+    changes = stage(change_window(now, first, last, "both"), "changes")
+    matched = matched_keys(within_key_range(target, changes, keys), changes, keys)
+    return plain(upsert(target, changes, keys, fx.LOAD, fx.AT, plan="split", matched=stage(matched, "matched")))
+
+
 def _customers_after(spark, sf_dir):
     source = change_window(fx.d_customers(spark, sf_dir), fx.DIMENSION_WINDOW[0], fx.DIMENSION_WINDOW[2], "both")
     target = fx.customer_versions(spark, sf_dir)
@@ -335,4 +414,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_run": q_latest_run,
     "run_log_current": q_run_log_current,
     "csv_landing_extract": q_csv_landing_extract,
+    "csv_ragged_lines": q_csv_ragged_lines,
+    "daily_sales_merged": q_daily_sales_merged,
+    "daily_sales_refresh_partitions": q_daily_sales_refresh_partitions,
+    "upsert_order_items_bucketed": q_upsert_order_items_bucketed,
+    "upsert_order_items_ranged": q_upsert_order_items_ranged,
 }

@@ -364,3 +364,33 @@ def test_an_error_while_marking_is_that_tables_failure(spark, tmp_path, monkeypa
         with pytest.raises(LoadError, match="failed in silver: f_orders"):
             house.run_layer("silver", run)
     assert set(house.run_layer("silver", run, tables=["f_orders"])) == {"f_orders"}
+
+
+def test_lines_with_too_many_or_too_few_fields_are_set_aside_whole(spark, tmp_path):
+    house = build(spark, tmp_path, ("f_orders",))
+    t = "2024-01-05 10:00:00"
+    write_csv(tmp_path, "f_orders", [f"1,1,2024-01-01,O,{t},{t}", f"2,1,2024-01-01,O,{t},{t},more", "3", f"4,\"1\",2024-01-01,\"O\",{t},{t}"])
+    counts = run_all(house, "L1", ONE[1], LAYERS[:2])
+    assert counts["landing"]["f_orders"].source == 2
+    assert {r.order_id for r in house.tables.read("bronze/f_orders").collect()} == {1, 4}
+    rejected = spark.read.parquet(f"{house.root}/rejected/landing/f_orders/L1")
+    assert {r.dw_ragged_line for r in rejected.collect()} == {f"2,1,2024-01-01,O,{t},{t},more", "3"}
+
+
+@pytest.mark.parametrize("unit", ["day", "month"])
+def test_daily_aggregate_in_folders(spark, tmp_path, unit):
+    """The refresh equals a full recompute, also for a date whose only order moves away."""
+    house = build(spark, tmp_path, daily_partitions=unit, silver_mode="either", include_order_changes=True)
+    first_extract(tmp_path)
+    counts = run_all(house, "L1", ONE[1])
+    assert counts["gold"]["daily_sales_aggt"].source == 3
+    silver = lambda: (house.read("silver/f_order_items"), house.read("silver/f_orders"))
+    assert business(house.read("gold/daily_sales_aggt")) == business(daily_sales(*silver()))
+    assert house.tables.read("gold/daily_sales_aggt").isEmpty()
+    files = {str(r.order_date): r.f for r in house.read("gold/daily_sales_aggt").select("order_date", F.input_file_name().alias("f")).collect()}
+    second_extract(tmp_path)
+    run_all(house, "L2", TWO[1])
+    assert business(house.read("gold/daily_sales_aggt")) == business(daily_sales(*silver()))
+    after = {str(r.order_date): r.f for r in house.read("gold/daily_sales_aggt").select("order_date", F.input_file_name().alias("f")).collect()}
+    assert (after["2024-01-01"] == files["2024-01-01"]) == (unit == "day")
+    assert after["2024-01-02"] != files["2024-01-02"]

@@ -134,6 +134,25 @@ def matched_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     return target.select(*keys).join(source.select(*keys), list(keys), "left_semi")
 
 
+def within_key_range(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``target`` that can match: every key lies between the smallest and the largest of ``source``.
+
+    One small aggregate of the source gives literals, so the condition reaches the target's scan, where row
+    groups and files outside the range are passed over. Rows with a NULL key match nothing and are left
+    out, and so is everything if the source has no whole key. For a source that is stored or cheap.
+    """
+    types = {f.name: f.dataType for f in target.schema.fields}
+    fresh, _ = split_on_keys(source.select(*[F.col(k).cast(types[k]).alias(k) for k in keys]), keys)
+    ends = [f(k).alias(f"{name}_{i}") for i, k in enumerate(keys) for name, f in (("low", F.min), ("high", F.max))]
+    found = fresh.agg(*ends).first()
+    if found["low_0"] is None:
+        return target.where(F.lit(False))
+    # A value that goes back as a literal must be typed as the column, or the scan would see a cast.
+    literal = lambda name, i: F.lit(found[f"{name}_{i}"]).cast(types[keys[i]])
+    in_range = [(F.col(k) >= literal("low", i)) & (F.col(k) <= literal("high", i)) for i, k in enumerate(keys)]
+    return target.where(reduce(lambda a, b: a & b, in_range))
+
+
 def _small(target: DataFrame, source: DataFrame) -> bool:
     return below_broadcast_threshold(source) and planned_bytes(source) * SMALL_PART <= planned_bytes(target)
 

@@ -85,33 +85,39 @@ def daily_sales(items: DataFrame, orders: DataFrame, dates: DataFrame | None = N
     items arrives as one row per task, and the join reuses that shuffle. Where the orders in scope
     are small enough to broadcast, items are probed against them first and the rest never shuffle.
     """
-    header = orders.select("order_id", "customer_id", "order_date")
-    net = F.col("quantity") * F.col("unit_price") - F.col("discount")
-    lines = items.select("order_id", "quantity", net.alias("net"))
-    sums = [F.sum("net").alias("net"), F.sum("quantity").alias("quantity")]
-    if dates is not None:
-        header = header.join(dates.select("order_date"), "order_date", "left_semi")
-    if dates is not None and below_broadcast_threshold(header):
-        per_order = lines.join(header, "order_id", "inner").groupBy("order_date", "order_id", "customer_id").agg(*sums)
-    else:
-        per_order = lines.groupBy("order_id").agg(*sums).join(header, "order_id", "inner")
-    totals = per_order.groupBy("order_date").agg(
+    totals = per_order(items, orders, dates).groupBy("order_date").agg(
         F.count_distinct("order_id").alias("total_orders"),
         F.count_distinct("customer_id").alias("total_customers"),
         F.sum("net").alias("revenue"),
         F.sum("quantity").alias("total_items_sold"),
     )
-    average = _exact_quotient(totals, "revenue", "total_orders")
     return totals.select(
         "order_date",
         "total_orders",
         "total_customers",
         F.round("revenue", 2).alias("total_revenue"),
         "total_items_sold",
-        F.round(average, 2).alias("avg_order_value"),
+        average_order_value(totals, "revenue", "total_orders").alias("avg_order_value"),
     )
 
 
+def per_order(items: DataFrame, orders: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+    """(order_id, customer_id, order_date, net, quantity): the items of each order, summed."""
+    header = orders.select("order_id", "customer_id", "order_date")
+    net = F.col("quantity") * F.col("unit_price") - F.col("discount")
+    lines = items.select("order_id", "quantity", net.alias("net"))
+    sums = [F.sum("net").alias("net"), F.sum("quantity").alias("quantity")]
+    if dates is not None:
+        header = header.join(dates.select("order_date"), "order_date", "left_semi")
+    if dates is not None and below_broadcast_threshold(header):
+        return lines.join(header, "order_id", "inner").groupBy("order_date", "order_id", "customer_id").agg(*sums)
+    return lines.groupBy("order_id").agg(*sums).join(header, "order_id", "inner")
+
+
+def average_order_value(totals: DataFrame, revenue: str, orders: str) -> Column:
+    return F.round(_exact_quotient(totals, revenue, orders), 2)
+
+
 def _exact_quotient(df: DataFrame, total: str, count: str) -> Column:
     """total / count with enough digits that rounding it to cents rounds once.
 

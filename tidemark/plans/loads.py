@@ -22,7 +22,7 @@ from tidemark.functions.literals import ts_literal
 from tidemark.functions.surrogate import number_rows
 from tidemark.functions.typing import conform
 from tidemark.operators.counts import load_counts
-from tidemark.operators.merge import absent_rows, repeated_keys, upsert
+from tidemark.operators.merge import absent_rows, repeated_keys, upsert, within_key_range
 from tidemark.operators.refresh import refresh_slices
 from tidemark.operators.sales import daily_sales, fact_sales_delta, impacted_dates
 from tidemark.operators.scd2 import conflicting_changes, scd2_parts
@@ -31,6 +31,7 @@ from tidemark.operators.windows import change_window, in_window, load_bounds
 from tidemark.plans import control as ctl
 from tidemark.plans.runlog import latest_run, run_log_current
 from tidemark.sources.files import read_csv, read_snapshot, snapshot_path, write_snapshot
+from tidemark.sources.partitioned import PartitionedTable
 from tidemark.sources.shared import stage
 from tidemark.sources.tables import BY_OPENNESS, OPEN, SLICE, Tables, by_month
 
@@ -39,6 +40,7 @@ FILES = "audit/landing_file_list"
 KEYS = "audit/primary_key_list"
 RUNS = "audit/cntrl_batch_exec"
 TASKS = "audit/cntrl_batch_exec_dtl"
+DAILY = "gold/daily_sales_aggt"
 
 # Columns of the control and audit tables, in order. "event_dt" and "event_seq" are our
 # own: tasks are kept as a log of events and these order it.
@@ -75,6 +77,9 @@ TASK_NAMES = {
 SILVER_KINDS = {"d_customers": "scd2", "d_products": "insert_absent"}
 SURROGATES = {"d_customers": "customer_sk", "d_products": "product_sk"}
 
+# The column of rejected rows that holds a line whose fields could not be told apart.
+RAGGED = "dw_ragged_line"
+
 # Facts are laid out by month where nothing else is asked for, so a merge rewrites only months it hits.
 FACT_LAYOUTS = {"bronze": by_month("create_dt"), "silver": by_month("create_dt"), "gold": by_month("order_date")}
 
@@ -110,7 +115,9 @@ class Warehouse:
         silver_mode: str = "both",
         silver_kinds: Mapping[str, str] = SILVER_KINDS,
         include_order_changes: bool = False,
+        daily_partitions: str | None = None,
     ):
+        """``daily_partitions`` ("day" or "month") keeps the daily aggregate in folders, of which a refresh writes only those it touches."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.clock = clock
@@ -118,6 +125,7 @@ class Warehouse:
         self.silver_kinds = dict(silver_kinds)
         self.include_order_changes = include_order_changes
         self.tables = Tables(spark, f"{self.root}/tables")
+        self.daily_partitions = daily_partitions
 
     # Set-up
 
@@ -139,6 +147,18 @@ class Warehouse:
             usual = FACT_LAYOUTS[layer]
             layout = usual if usual.partition(":")[2] in schema.names else None
         self.tables.create(name, schema, layout)
+        if self._in_partitions(name):
+            self._partitions(name).create()
+
+    def read(self, name: str) -> DataFrame:
+        """The current rows of a table."""
+        return self._partitions(name).read() if self._in_partitions(name) else self.tables.read(name)
+
+    def _in_partitions(self, name: str) -> bool:
+        return self.daily_partitions is not None and name == DAILY
+
+    def _partitions(self, name: str) -> PartitionedTable:
+        return PartitionedTable(self.spark, f"{self.root}/partitions/{name}", self.tables.schema(name), "order_date", self.daily_partitions)
 
     def append(self, name: str, rows: DataFrame, copies: bool = False) -> None:
         """Add rows, NULL in the columns they lack. ``copies`` says that a key may have very many of them."""
@@ -266,26 +286,30 @@ class Warehouse:
         if layer == "silver":
             return self._load_silver(row, run, keys[name])
         bounds = load_bounds((row.last_load_start_dt, row.last_load_end_dt), *(day or ()))
-        if name == "daily_sales_aggt":
-            return self._refresh_daily(f"gold/{name}", bounds, run)
+        if f"gold/{name}" == DAILY:
+            return self._refresh_daily(DAILY, bounds, run)
         if name == "fact_sales":
             return self._merge_fact(f"gold/{name}", bounds, run, keys[name])
         raise LoadError(f"no load is known for gold table {name}")
 
     def _land(self, row: Row, run: Run, source_root: str | None) -> Counts:
-        """One pass over the extract; its text stays text. An empty change set writes no snapshot."""
+        """One pass over the extract; its text stays text. An empty change set writes no snapshot.
+
+        Lines with too many or too few fields are set aside whole, whatever their times say, and so are
+        rows whose times cannot be read."""
         name = row.source_table_name
         folder = (source_root or f"{self.root}/source_files").rstrip("/")
-        extract = read_csv(self.spark, f"{folder}/{name}/{name}.csv")
+        extract = read_csv(self.spark, f"{folder}/{name}/{name}.csv", ragged=RAGGED)
         hit = in_window(extract, row.last_load_start_dt, row.last_load_end_dt, "either")
         hit = F.coalesce(hit, F.lit(False))
         times = ("create_dt", "mdfctn_dt")
         unreadable = reduce(
             lambda a, b: a | b, [F.col(c).isNotNull() & F.col(c).try_cast("timestamp_ntz").isNull() for c in times]
         )
-        found = stage(extract.where(hit | unreadable), f"extract-{name}")
-        self._reject("landing", name, found.where(unreadable & ~hit), run)
-        changes = found.where(hit)
+        ragged = F.col(RAGGED).isNotNull()
+        found = stage(extract.where(hit | unreadable | ragged), f"extract-{name}")
+        self._reject("landing", name, found.where(ragged | unreadable & ~hit), run)
+        changes = found.where(hit & ~ragged).drop(RAGGED)
         changed = changes.count()
         if changed:
             write_snapshot(changes, snapshot_path(self.root, name, row.last_load_end_dt))
@@ -346,11 +370,14 @@ class Warehouse:
         # Staged so that its true size decides how items are joined to it.
         scope = orders.select("order_id", "customer_id", "order_date").join(dates, "order_date", "left_semi")
         totals = daily_sales(items, stage(scope, "orders-daily_sales"), dates)
-        version, target = self.tables.version(name), self.tables.read(name)
         empty = self.spark.createDataFrame([], self.tables.schema(name))
         fresh = append_rows(empty, totals, **insert_stamp(empty, run.load_id, at))
-        # One row per date, so the table is small and written whole.
-        self.tables.write(name, refresh_slices(target, fresh, dates, "order_date"), based_on=version)
+        if self._in_partitions(name):
+            self._partitions(name).replace(fresh, dates)
+        else:
+            # One row per date, so the table is small and written whole.
+            version, target = self.tables.version(name), self.tables.read(name)
+            self.tables.write(name, refresh_slices(target, fresh, dates, "order_date"), based_on=version)
         counts = self._counts(name, run, at)
         return Counts(counts.source, counts.target, counts.inserted, 0)
 
@@ -367,7 +394,8 @@ class Warehouse:
             return Counts()
         at, version = self.clock(), self.tables.version(name)
         # The stored keys that match, once: they name the slices and answer what else is asked about keys.
-        stored = self.tables.read_sliced(name).select(*keys, SLICE)
+        # Only the part of the table between the smallest and the largest key is looked at.
+        stored = within_key_range(self.tables.read_sliced(name), delta, keys).select(*keys, SLICE)
         matched = stage(stored.join(delta.select(*keys), list(keys), "left_semi"), f"matched-{name.replace('/', '-')}")
         replace = {r[0] for r in matched.select(SLICE).distinct().collect()}
         matched = matched.drop(SLICE)
@@ -406,7 +434,7 @@ class Warehouse:
         return numbered.withColumn(surrogate, F.col(surrogate).cast(dtype)), {surrogate: last + new.count()}
 
     def _counts(self, name: str, run: Run, at: datetime, source: int | None = None) -> Counts:
-        seen = load_counts(self.tables.read(name), run.load_id, at).collect()[0]
+        seen = load_counts(self.read(name), run.load_id, at).collect()[0]
         found = seen.written_count if source is None else source
         return Counts(found, seen.target_count, seen.insert_count, seen.update_count)
 
