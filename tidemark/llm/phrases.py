@@ -3,7 +3,8 @@
 A phrase is a run of words inside a piece of text; pieces end at ``. , ; : ! ?`` and line ends, words at
 spaces and tabs. Everything is per group (language).
 
-1. Texts are dealt out to shards of one group each, of about ``shard`` bytes.
+1. Texts are dealt out to shards of one group each, of at most about ``shard`` bytes. A group has ``support / 2``
+   shards if these are a megabyte or more, so that the lowered support is 2 for small and large groups alike.
 2. Each shard is mined completely, at a support lowered in proportion: a phrase with ``support`` places in all
    has at least ``ceil(support * bytes of the shard / bytes of the group)`` in some shard.
 3. The union of what is frequent somewhere is cut by a bound: where a shard did not report a phrase it has
@@ -38,7 +39,7 @@ from pyspark.sql.types import AtomicType
 from tidemark.llm.common import Slots, holds, mix, ready_for_python, slots_of
 from tidemark.sources.shared import stage
 
-LONGEST, SUPPORT, SHARD = 4, 30, 20 << 20
+LONGEST, SUPPORT, SHARD, LEAST = 4, 30, 20 << 20, 1 << 20
 _AT_ONCE = 2 << 20
 _BASE = 0x9E3779B97F4A7C15
 _TURN = np.uint64(0xC4CEB9FE1A85EC53)
@@ -224,7 +225,7 @@ def _keyed(hashes: np.ndarray, group: str) -> np.ndarray:
     return mix(hashes + np.uint64(zlib.crc32(group.encode())))
 
 
-def _sharded(docs: DataFrame, text_col: str, group_col: str, shard: int) -> tuple[DataFrame, dict[str, int]]:
+def _sharded(docs: DataFrame, text_col: str, group_col: str, support: int, shard: int) -> tuple[DataFrame, dict[str, int]]:
     """Texts dealt out to shards of one group each, in the shared folder, and the bytes of each group.
 
     Groups are languages, and few, so their sizes are collected. Equal texts are spread by the other columns."""
@@ -234,7 +235,7 @@ def _sharded(docs: DataFrame, text_col: str, group_col: str, shard: int) -> tupl
     total = {r["group"]: r["size"] for r in texts.groupBy("group").agg(F.sum(F.octet_length("text")).alias("size")).collect()}
     if not total:
         return stage(texts.select("group", "text", F.lit(0).alias("shard")), "shards"), total
-    shards = {g: max(1, -(-size // shard)) for g, size in total.items()}
+    shards = {g: max(1, -(-size // shard), min(support // 2, size // LEAST)) for g, size in total.items()}
     first = dict(zip(shards, accumulate(shards.values(), initial=0), strict=False))
     per_group = lambda values: F.create_map(*(F.lit(x) for g in values for x in (g, values[g])))[F.col("group")]
     number = (per_group(first) + F.pmod("spread", per_group(shards))).cast("int")
@@ -268,7 +269,7 @@ def frequent(
 ) -> DataFrame:
     """(group, phrase, n_words, a, n): phrases of up to ``longest`` (at most 4) words with ``support`` places, and the group's words."""
     ready_for_python(docs.sparkSession)
-    texts, total = _sharded(docs, text_col, group_col, shard)
+    texts, total = _sharded(docs, text_col, group_col, support, shard)
     found, groups = _level(texts, total, support, (1, min(2, longest)))
     if longest > 2:
         found = found.unionByName(_level(texts, total, support, (3, longest), found)[0])
