@@ -27,6 +27,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,8 +39,9 @@ DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HEADERS = (
     "place string, offset bigint, record_id string, record_type string, page_id bigint, url string, "
-    "payload_bytes bigint, payload_digest string, refers_to bigint"
+    "payload_bytes bigint, payload_digest string, refers_to bigint, refers_record string"
 )
+_IDS = uuid.UUID("9d3f0f0c-5a0e-5c86-9f0b-0c9e7f6a1d21")  # the name space of record ids
 
 
 def digest_of(payload: bytes) -> str:
@@ -54,12 +56,24 @@ def _http(size: int) -> bytes:
     return f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
 
 
-def record(kind: str, page_id: int | None, url: str | None, size: int, digest: str, payload: bytes, refers: dict[str, object]) -> bytes:
+def record_id(*parts: object) -> str:
+    """The same for the same parts, so that a repeated task or run gives the same ids."""
+    return f"<urn:uuid:{uuid.uuid5(_IDS, ' '.join(map(str, parts)))}>"
+
+
+def fresh_id(old: str) -> str:
+    """The id of a record that is written anew, from that of the record it is made from."""
+    return record_id("anew", old)
+
+
+def record(
+    kind: str, own_id: str, page_id: int | None, url: str | None, size: int, digest: str, payload: bytes, refers: dict[str, object]
+) -> bytes:
     """One record without the last of the two line ends that close it, which the file's writer adds."""
     block = _http(size) + payload
     fields = {
         "WARC-Type": kind,
-        "WARC-Record-ID": f"<urn:uuid:{uuid.uuid4()}>",
+        "WARC-Record-ID": own_id,
         "WARC-Date": DATE,
         "WARC-Target-URI": None if url is None else _safe(url),
         "WARC-Payload-Digest": f"sha1:{digest}",
@@ -109,10 +123,13 @@ def write_archives(
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def records() -> Iterator[bytes]:
+            task, n = TaskContext.get().partitionId(), 0
             for batch in batches:
                 for page_id, url, payload in zip(batch["page_id"], batch["url"], batch["payload"], strict=True):
-                    own = None if page_id is None else int(page_id)
-                    yield record("response", own, _text(url), len(payload), digest_of(payload), payload, {})
+                    own, digest = None if page_id is None else int(page_id), digest_of(payload)
+                    # Rows may repeat, so their place in the table counts as well.
+                    yield record("response", record_id(task, n, own, digest), own, _text(url), len(payload), digest, payload, {})
+                    n += 1
 
         yield from _blocks(records(), archive_bytes)
 
@@ -170,10 +187,11 @@ def _header(place: str, r: Record) -> tuple:
         int(r.http["content-length"]),
         r.fields["warc-payload-digest"].removeprefix("sha1:"),
         r.fields.get("x-refers-to-page-id"),
+        r.fields.get("warc-refers-to"),
     )
 
 
-_NAMES = ["place", "offset", "record_id", "record_type", "page_id", "url", "payload_bytes", "payload_digest", "refers_to"]
+_NAMES = ["place", "offset", "record_id", "record_type", "page_id", "url", "payload_bytes", "payload_digest", "refers_to", "refers_record"]
 
 
 def read_headers(spark: SparkSession, folder: str) -> DataFrame:
@@ -192,13 +210,20 @@ def read_headers(spark: SparkSession, folder: str) -> DataFrame:
 def resolve_revisits(
     spark: SparkSession, folder: str, into: str, least_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES
 ) -> str:
-    """Write the archives of ``folder`` anew to ``into``, each payload once, and return ``into``."""
+    """Write the archives of ``folder`` anew to ``into``, each payload once, and return ``into``.
+
+    Of responses with equal payloads of ``least_bytes`` or more the first stays one, by page id, and the
+    others become revisits of it. Revisits that are there already, of any size, refer to that response as
+    well; one whose response is in none of the archives stays as it is. All records get new ids, which
+    are made from the old ones, so that a revisit knows that of its response.
+    """
     headers = stage(read_headers(spark, folder), "headers")
-    able = headers.where(F.col("payload_bytes") >= least_bytes)
     # Nulls would come first in a struct.
     order = F.struct(F.col("page_id").isNull(), "page_id", "place", "offset", "record_id", "url")
-    first = able.groupBy("payload_digest").agg(F.min(order).alias("first"), F.count("*").alias("copies")).where("copies > 1")
+    responses = F.min(F.when(F.col("record_type") == "response", order)).alias("first")
+    first = headers.groupBy("payload_digest").agg(responses, F.count("*").alias("copies")).where("copies > 1 and first is not null")
     first = stage(first.select("payload_digest", "first"), "originals")
+    able = headers.where((F.col("payload_bytes") >= least_bytes) | (F.col("record_type") == "revisit"))
     decided = able.select("place", "offset", "payload_digest").join(first, "payload_digest")
     is_first = (F.col("place") == F.col("first.place")) & (F.col("offset") == F.col("first.offset"))
     revisits = decided.where(~is_first).select(
@@ -219,25 +244,25 @@ def resolve_revisits(
     as_text = HEADERS.replace("page_id bigint", "page_id string").replace("refers_to bigint", "refers_to string")
     records = _archives(spark, folder).mapInPandas(cut, f"{as_text}, payload binary")
     here = (F.col("place") == F.col("at_place")) & (F.col("offset") == F.col("at_offset"))
-    joined = records.join(revisits, here, "left").drop("at_place", "at_offset", "place", "offset", "record_id", "record_type", "refers_to")
+    joined = records.join(revisits, here, "left").drop("at_place", "at_offset", "place", "offset")
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def fresh() -> Iterator[bytes]:
             for batch in batches:
                 for r in batch.itertuples(index=False):
                     page, url = _whole(_text(r.page_id)), _text(r.url)
-                    original = _text(r.original)
-                    if original is None:
-                        yield record("response", page, url, r.payload_bytes, r.payload_digest, r.payload, {})
+                    original, own = _text(r.original), fresh_id(r.record_id)
+                    if original is None and r.record_type == "response":
+                        yield record("response", own, page, url, r.payload_bytes, r.payload_digest, r.payload, {})
                         continue
                     refers = {
                         "WARC-Profile": PROFILE,
-                        "WARC-Refers-To": original,
+                        "WARC-Refers-To": _text(r.refers_record) if original is None else fresh_id(original),
                         "WARC-Refers-To-Target-URI": _text(r.original_url),
                         "WARC-Refers-To-Date": DATE,
-                        "X-Refers-To-Page-Id": _text(r.original_page),
+                        "X-Refers-To-Page-Id": _text(r.refers_to if original is None else r.original_page),
                     }
-                    yield record("revisit", page, url, r.payload_bytes, r.payload_digest, b"", refers)
+                    yield record("revisit", own, page, url, r.payload_bytes, r.payload_digest, b"", refers)
 
         yield from _blocks(fresh(), archive_bytes)
 
