@@ -35,17 +35,20 @@ def test_links_threads_and_own_text(spark):
     assert got[1, 3].formatted == "<|user|>\nNew topic\n"
 
 
+SEVERAL = [
+    (1, 0, "user", "Zero."),
+    (1, 1, "user", "Para one.\n\nTail of one."),
+    (1, 2, "user", "Two."),
+    (1, 3, "user", "Para three,\nsecond line."),
+    (1, 4, "user", "> Para one.\n>\n> Para three,\n> second line.\nboth"),
+    (1, 5, "user", "> Para one.\n>\n> unknown\n> Two.\n>\n> Zero.\n> second line.\nlines of paragraphs without an original"),
+    (1, 6, "user", "> Para one.\n>\n> Tail of one.\nthe whole only"),
+    (1, 7, "user", "> Para one.\n>\n> Para one.\n>\n> not\n> known\n>> Two.\nonly once, and the lowest level"),
+]
+
+
 def test_a_passage_that_quotes_several_messages(spark):
-    rows = [
-        (1, 0, "user", "Zero."),
-        (1, 1, "user", "Para one.\n\nTail of one."),
-        (1, 2, "user", "Two."),
-        (1, 3, "user", "Para three,\nsecond line."),
-        (1, 4, "user", "> Para one.\n>\n> Para three,\n> second line.\nboth"),
-        (1, 5, "user", "> Para one.\n>\n> unknown\n> Two.\n>\n> Zero.\n> second line.\nlines of paragraphs without an original"),
-        (1, 6, "user", "> Para one.\n>\n> Tail of one.\nthe whole only"),
-        (1, 7, "user", "> Para one.\n>\n> Para one.\n>\n> not\n> known\n>> Two.\nonly once, and the lowest level"),
-    ]
+    rows = SEVERAL
     got = {r.turn: r for r in quotes.conversations(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert {k: r.replies_to for k, r in got.items() if r.replies_to} == {4: [1, 3], 5: [0, 1, 2, 3], 6: [1], 7: [1]}
     assert (got[4].reply_to, got[4].thread, got[4].depth, got[4].n_quotes, got[4].n_linked) == (3, 3, 1, 1, 1)
@@ -75,6 +78,8 @@ def test_texts_without_quotes_stay(spark):
 
 def test_made_conversations_as_sql(spark, tmp_path):
     extra = [(4, i, "user", "".join(f"> {'> ' * (j % 3)}w{(i * 5 + j) % 7}\n" for j in range(i % 4)) + f"w{i % 7}\n\nw{i * 3 % 7}") for i in range(40)]
+    extra += [(5, *row[1:]) for row in SEVERAL]
+    extra += [(6, 0, "u", "a\u0001b\n\u00010c"), (6, 1, "u", "> a\u0001b\n>> \u00010c\n> a\u0001b\n\u00011 d"), (6, 2, "u", "> \u00011 d\n\u00012")]
     spark.createDataFrame(CONVERSATION + extra, SCHEMA).coalesce(1).write.parquet(str(tmp_path / "conversations.parquet"))
     con = duckdb.connect()
     con.execute(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
@@ -82,3 +87,23 @@ def test_made_conversations_as_sql(spark, tmp_path):
     names = [d[0] for d in theirs.description]
     found = queries.QUERIES["op2_quotation_linking"](spark, str(tmp_path))
     assert Counter(tuple(r) for r in found.select(*names).collect()) == Counter(theirs.fetchall())
+
+
+def test_time_grows_with_the_lines_of_a_message(spark):
+    """Two messages, the second of which quotes every line of the first; levels that change with every line."""
+    import time
+
+    def took(n):
+        lines = [f"line number {i}" for i in range(n)]
+        rows = [(1, 0, "user", "\n".join(lines)), (1, 1, "user", "\n".join("> " + x for x in lines) + "\nmine")]
+        rows += [(2, 0, "user", "\n".join("> " * (i % 3) + x for i, x in enumerate(lines)))]
+        frame = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+        began = time.perf_counter()
+        got = {(r.conv_id, r.turn): r for r in quotes.conversations(frame).collect()}
+        assert got[1, 1].replies_to == [0] and got[1, 1].text == "mine"
+        assert got[2, 0].n_quotes == sum(i % 3 > 0 for i in range(n))
+        return time.perf_counter() - began
+
+    took(200)
+    short, long = min(took(20_000) for _ in range(2)), took(40_000)
+    assert long <= 2.5 * short + 2

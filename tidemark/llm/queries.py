@@ -187,23 +187,29 @@ ORACLE: dict[str, str] = {
             select r, passage, level, body from passages where level >= 0
             union all
             select r, -1, 0, own from own
+        ), paragraphs as (
+            select r, passage, level, unnest(regexp_split_to_array(body, '\n\s*\n')) as paragraph from texts
         ), parts as (
-            select r, passage, level, 0 as grain, body as part from texts
+            select r, passage, level, 0 as grain, '' as paragraph, body as part from texts
             union all
-            select r, passage, level, 1, unnest(regexp_split_to_array(body, '\n\s*\n')) from texts
+            select r, passage, level, 1, paragraph, paragraph from paragraphs
             union all
-            select r, passage, level, 2, unnest(string_split(body, chr(10))) from texts
+            select r, passage, level, 2, paragraph, unnest(string_split(paragraph, chr(10))) from paragraphs
         ), units as (
-            select r, passage, level, grain, lower(trim(regexp_replace(part, '\s+', ' ', 'g'))) as unit from parts
+            select r, passage, level, grain, lower(trim(regexp_replace(paragraph, '\s+', ' ', 'g'))) as paragraph,
+                   lower(trim(regexp_replace(part, '\s+', ' ', 'g'))) as unit
+            from parts
         ), originals as (
             select conv_id, unit, min(turn) as original
             from units join m using (r) where level = 0 and unit <> '' group by conv_id, unit
+        ), found as (
+            select r, conv_id, turn, passage, level, grain, original, min(grain) over (partition by r, passage) as best,
+                   min(grain) over (partition by r, passage, grain = 0, paragraph) as best_here
+            from units join m using (r) join originals using (conv_id, unit) where level > 0 and unit <> '' and original < turn
         ), links as (
-            select r, conv_id, turn, passage, level, first(original order by grain, original) as original
-            from units join m using (r) join originals using (conv_id, unit)
-            where level > 0 and unit <> '' and original < turn group by r, conv_id, turn, passage, level
+            select r, conv_id, turn, passage, level, original from found where grain = 0 or best > 0 and grain = best_here
         ), lowest as (
-            select r, min(level) as level, count(*) as n_linked from links group by r
+            select r, min(level) as level, count(distinct passage) as n_linked from links group by r
         ), replies as (
             select r, conv_id, turn, n_linked, list_sort(list_distinct(list(original))) as replies_to
             from links join lowest using (r, level) group by r, conv_id, turn, n_linked

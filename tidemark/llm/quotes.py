@@ -27,6 +27,7 @@ from tidemark.sources.shared import stage
 
 _MARKS = r"^(?:[ \t]*>)*"
 _ANNOUNCES = r"(?i)^.{0,300}\b(?:wrote|writes|said|schrieb|a écrit|escribió)\b.{0,100}:\s*$"
+_MARK = "\u0001"
 WHOLE, PARAGRAPH, LINE = 0, 1, 2
 
 
@@ -60,18 +61,16 @@ def parsed(messages: DataFrame, conv_col: str, turn_col: str, role_col: str, tex
         "lines", lambda line, i: F.struct(F.when(announced(line, i), -1).otherwise(line["level"]).alias("level"), line["body"].alias("body"))
     )
     lines = lines.select("conv", "turn", "role", F.xxhash64("text").alias("key"), levelled.alias("lines"))
-    begins = F.filter(
-        F.sequence(F.lit(0), F.size("lines") - 1),
-        lambda i: (i == 0) | (F.get("lines", i)["level"] != F.get("lines", i - 1)["level"]),
-    )
-    lines = lines.select("*", begins.alias("begins"))
-    end_of = lambda k: F.coalesce(F.get("begins", k + 1), F.size("lines"))
+    # One text with a mark before each run, split at the marks: slices of an array would copy it for every run.
+    # A mark is a character that is doubled with a 0 wherever a line has it.
+    escaped = lambda text: F.replace(text, F.lit(_MARK), F.lit(_MARK + "0"))
+    start = lambda line, i: (i == 0) | (line["level"] != F.get("lines", i - 1)["level"])
+    head = lambda line: F.concat(F.lit(_MARK + "1"), line["level"].cast("string"), F.lit(_MARK + "2"))
+    marked = F.transform("lines", lambda line, i: F.concat(F.when(start(line, i), head(line)).otherwise("\n"), escaped(line["body"])))
+    lines = lines.select("conv", "turn", "role", "key", F.array_join(marked, "").alias("marked"))
+    parts = F.transform(F.slice(F.split("marked", _MARK + "1"), 2, 1 << 30), lambda r: F.split(r, _MARK + "2", 2))
     runs = F.transform(
-        "begins",
-        lambda begin, k: F.struct(
-            F.get("lines", begin)["level"].alias("level"),
-            F.array_join(F.transform(F.slice("lines", begin + 1, end_of(k) - begin), lambda x: x["body"]), "\n").alias("text"),
-        ),
+        parts, lambda r: F.struct(r[0].cast("int").alias("level"), F.replace(r[1], F.lit(_MARK + "0"), F.lit(_MARK)).alias("text"))
     )
     runs = lines.select("conv", "turn", "role", "key", runs.alias("runs"))
     bodies = F.transform(F.filter("runs", lambda r: r["level"] == 0), lambda r: r["text"])
@@ -84,16 +83,26 @@ def _hash(text: Column) -> Column:
 
 
 def _hashes(text: Column) -> Column:
-    """Distinct (grain, paragraph, hash) of a passage, its paragraphs and their lines; the paragraph is known by its hash."""
-    unit = lambda grain, paragraph, part: F.struct(F.lit(grain).alias("grain"), paragraph.alias("paragraph"), part.alias("text"))
-    none = F.lit(None).cast("string")
-    paragraphs = F.split(text, r"\n\s*\n")
-    lines = F.flatten(F.transform(paragraphs, lambda p: F.transform(F.split(p, "\n"), lambda x: unit(LINE, _hash(normal(p)), normal(x)))))
-    units = F.concat(
-        F.array(unit(WHOLE, none, normal(text))), F.transform(paragraphs, lambda p: unit(PARAGRAPH, _hash(normal(p)), normal(p))), lines
-    )
-    full = F.filter(units, lambda u: F.length(u["text"]) > 0)
-    return F.array_distinct(F.transform(full, lambda u: F.struct(u["grain"], u["paragraph"], _hash(u["text"]).alias("hash"))))
+    """Distinct units of a passage, its paragraphs and their lines: grain, hash of the paragraph of a line or paragraph, hash.
+
+    As texts, which Spark tells apart by hashing; structs it would compare one by one."""
+    unit = lambda grain, paragraph, hashed: F.concat(F.lit(str(grain)), paragraph, hashed)
+    # A paragraph is hashed once, not for each of its lines.
+    paragraphs = F.transform(F.split(text, r"\n\s*\n"), lambda p: F.struct(_unit_hash(p).alias("hash"), F.split(p, "\n").alias("lines")))
+    lines = F.flatten(F.transform(paragraphs, lambda p: F.transform(p["lines"], lambda x: unit(LINE, p["hash"], _unit_hash(x)))))
+    whole = F.array(unit(WHOLE, F.lit(""), _unit_hash(text)))
+    units = F.concat(whole, F.transform(paragraphs, lambda p: unit(PARAGRAPH, p["hash"], p["hash"])), lines)
+    return F.array_distinct(F.filter(units, lambda u: u.isNotNull()))
+
+
+def _unit_hash(text: Column) -> Column:
+    """Of the normalised text; null if nothing is left of it."""
+    return _hash(F.nullif(normal(text), F.lit("")))
+
+
+def _unit_parts(unit: Column) -> list[Column]:
+    paragraph = F.when(F.length(unit) > 33, F.substring(unit, 2, 32))
+    return [F.substring(unit, 1, 1).cast("int").alias("grain"), paragraph.alias("paragraph"), F.right(unit, F.lit(32)).alias("hash")]
 
 
 def linked(messages: DataFrame) -> DataFrame:
@@ -103,10 +112,10 @@ def linked(messages: DataFrame) -> DataFrame:
         able.where(F.size("quotes") > 0)
         .select("conv", "turn", "key", F.posexplode("quotes").alias("passage", "quote"))
         .select("conv", "turn", "key", "passage", "quote.level", F.explode(_hashes(F.col("quote.text"))).alias("unit"))
-        .select("conv", "turn", "key", "passage", "level", "unit.*")
+        .select("conv", "turn", "key", "passage", "level", *_unit_parts(F.col("unit")))
     )
     own = F.array_distinct(
-        F.flatten(F.transform(F.array_union(F.array("own"), F.col("bodies")), lambda t: F.transform(_hashes(t), lambda u: u["hash"])))
+        F.flatten(F.transform(F.array_union(F.array("own"), F.col("bodies")), lambda t: F.transform(_hashes(t), lambda u: F.right(u, F.lit(32)))))
     )
     original = able.select("conv", "turn", F.explode(own).alias("hash")).groupBy("conv", "hash").agg(F.min("turn").alias("original"))
     found = quoted.join(original, ["conv", "hash"]).where(F.col("original") < F.col("turn"))
