@@ -8,6 +8,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 BLANK = re.compile(r"[^\x20\x09-\x0D]+")
@@ -193,3 +195,58 @@ def trie(conversations):
         row = (own_members[0], len(node), parent, len(own_members), children[node], leaves[node], saved[node], digest)
         out.append(row)
     return sorted(out, key=str)
+
+
+def toxic_features(text):
+    found = Counter()
+    for word in ALNUM.findall(text.translate(LOWER)):
+        raw = word.encode()
+        found[raw] += 1
+        for size in (5, 6, 7, 8, 9, 10, 12):
+            if len(raw) > size:
+                found[raw[:size] + b"*"] += 1
+    return found
+
+
+def toxicity(docs, toxic, rounds=8000, penalty=3e-4):
+    """(weight of each telling feature, thresholds) from labelled (id, text), by loops over dense rows."""
+    counted = [(toxic[i], toxic_features(t)) for i, t in docs if i in toxic]
+    n1, n0 = sum(t for t, _ in counted), sum(1 - t for t, _ in counted)
+    telling, marked = [], []
+    for f in sorted({f for _, c in counted for f in c}):
+        a, b = sum(f in c for t, c in counted if t), sum(f in c for t, c in counted if not t)
+        share, gap = (a + b) / (n1 + n0), a / n1 - b / n0
+        spread = (share * (1 - share) * (1 / n1 + 1 / n0)) ** 0.5
+        if a + b >= 5 and spread and gap / spread >= 5:
+            telling.append(f)
+            marked.append((a / n1) / (b / n0 + 1 / n0) >= 20)
+    x = np.array([[min(c[f], 5.0) for f in telling] for _, c in counted])
+    amount = x[:, np.array(marked, dtype=bool)].sum(axis=1)
+    is_toxic = np.array([t for t, _ in counted])
+    # Clean texts count as nothing, as in the model.
+    low, high = np.quantile(amount[is_toxic > 0], (1 / 3, 2 / 3))
+    grade = [0 if not t else 1 + (m > low) + (m > high) for t, m in zip(is_toxic, amount, strict=True)]
+    n = len(grade)
+    theta = [np.log(1 / min(max(sum(g > k for g in grade) / n, 1e-4), 1 - 1e-4) - 1) for k in range(3)]
+    theta = np.maximum.accumulate(theta)
+    w = np.zeros(len(telling))
+    distinct = np.array([list(r) for r in {(g, *row) for g, row in zip(is_toxic, x, strict=True)}])[:, 1:]
+    step = 2 / max(1.0, np.quantile((distinct**2).sum(axis=1), 0.99))
+    ahead, ahead_t, momentum = w, theta, 1.0
+    grade = np.array(grade)
+    for _ in range(rounds):
+        edges = np.array([-np.inf, *ahead_t, np.inf])
+        score = x @ ahead
+        a = 1 / (1 + np.exp(-np.clip(score - edges[grade], -35, 35)))
+        b = 1 / (1 + np.exp(-np.clip(score - edges[grade + 1], -35, 35)))
+        a[grade == 0], b[grade == 3] = 1.0, 0.0
+        moved = ahead - step * (x.T @ (a + b - 1)) / n
+        moved = np.sign(moved) * np.maximum(abs(moved) - step * penalty, 0)
+        p = np.maximum(a - b, 1e-9)
+        pull = [(a * (1 - a) / p)[grade == k + 1].sum() / n - (b * (1 - b) / p)[grade == k].sum() / n for k in range(3)]
+        moved_t = np.maximum.accumulate(ahead_t - step * np.clip(pull, -1, 1))
+        after = (1 + (1 + 4 * momentum**2) ** 0.5) / 2
+        ahead = moved + (momentum - 1) / after * (moved - w)
+        ahead_t = np.maximum.accumulate(moved_t + (momentum - 1) / after * (moved_t - theta))
+        w, theta, momentum = moved, moved_t, after
+    return dict(zip(telling, w, strict=True)), theta

@@ -5,6 +5,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
+from tests.llm import brute
 from tidemark.llm import toxicity
 
 SF = "/root/testdata/sf0.1"
@@ -49,3 +50,44 @@ def test_odd_rows(spark):
     for none in (toxicity.fit(docs, labels.limit(0)), toxicity.fit(docs.limit(0), labels), toxicity.fit(docs, labels.where("toxic = 1"))):
         assert toxicity.without_toxic(docs, none).count() == docs.count()
         assert {r.severity for r in toxicity.severities(docs, none).collect()} == {0.0}
+
+
+def made(n=240):
+    pick = random.Random(6)
+    words = [f"word{i}" for i in range(25)] + ["Zürich", "nastily", "nasties"]
+    rows = []
+    for i in range(n):
+        bad = ["nasty"] * pick.choice([1, 2, 7]) + ["vilest"] * pick.choice([0, 1, 3]) if i % 3 == 0 else ["nasty"] * (i % 29 == 1)
+        rows.append((i, " ".join(pick.choices(words, k=pick.choice([3, 12, 30])) + bad)))
+    return rows, [(i, int(i % 3 == 0)) for i in range(n)]
+
+
+def test_weights_as_brute_force(spark):
+    """The same weights, thresholds and severities from loops over dense rows."""
+    rows, labels = made()
+    docs = spark.createDataFrame(rows + [(0, "again " + rows[0][1]), (900, "nasty vilest")], SCHEMA)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    # Of the two texts of document 0 that with the smaller hash is fitted.
+    zero = docs.where("doc_id = 0").orderBy(F.xxhash64(F.col("text").cast("binary"))).first().text
+    weights, thresholds = brute.toxicity([(0, zero), *rows[1:]], dict(labels))
+    assert model.weights.keys() == {f for f, w in weights.items() if abs(w) > 0} and len(model.weights) > 2
+    assert all(abs(model.weights[f] - weights[f]) < 1e-6 for f in model.weights)
+    assert np.allclose(model.thresholds, thresholds, atol=1e-6)
+    for r in toxicity.severities(docs, model).where("doc_id > 0").collect():
+        text = dict(rows).get(r.doc_id, "nasty vilest")
+        score = sum(w * min(n, 5) for f, n in brute.toxic_features(text).items() if (w := weights.get(f)))
+        assert abs(r.severity - sum(1 / (1 + np.exp(t - score)) for t in thresholds)) < 1e-6
+        assert r.toxic == (score >= thresholds[0])
+
+
+def test_the_sample_bounds_what_is_fitted(spark, monkeypatch):
+    """Thousands of rows of one labelled id are one text of the sample."""
+    seen = []
+    real = toxicity.stage
+    monkeypatch.setattr(toxicity, "stage", lambda df, label: seen.append(real(df, label)) or seen[-1])
+    rows, labels = made()
+    docs = spark.createDataFrame(rows, SCHEMA).unionByName(
+        spark.range(5000).select(F.lit(3).cast("long").alias("doc_id"), F.concat(F.lit("nasty "), F.col("id").cast("string")).alias("text"))
+    )
+    toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), sample=100)
+    assert [f.count() for f in seen] == [100]

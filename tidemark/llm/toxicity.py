@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import alnum_words, ready_for_python
+from tidemark.sources.shared import stage
 
 SAMPLE = 20_000
 BEGINNINGS = (5, 6, 7, 8, 9, 10, 12)  # in bytes
@@ -94,7 +95,10 @@ def fit(
     known = known.orderBy(F.xxhash64("id"), "id").limit(sample)
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
     # ``sample`` rows of two numbers.
-    texts = docs.select(F.col(id_col).alias("id"), text).join(F.broadcast(known), "id").select("toxic", "text")
+    texts = docs.select(F.col(id_col).alias("id"), text).join(F.broadcast(known), "id")
+    # One text per id, however many rows repeat it, so that no more than ``sample`` rows are fitted.
+    one = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    texts = stage(texts.groupBy("id").agg(F.max("toxic").alias("toxic"), one).select("toxic", "text"), "labelled")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
