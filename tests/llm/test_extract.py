@@ -77,6 +77,57 @@ def test_short_paragraphs_parted_by_adverts_stay(blocks):
     assert extract.main_text(page) == " ".join(blocks)
 
 
+EMPTY = "<div></div>" * 5
+AROUND = f"<div>Home</div><div>About</div><div>Contact</div>{EMPTY}<p>{LONG}</p><p>{SHORT}</p>{EMPTY}<p>{LONG}</p>{EMPTY}<div>Imprint</div>"
+
+
+def test_surges_and_dives_choose_the_stretches():
+    """What no tag or name tells from text goes by its distance from the main run; without surges it would stay."""
+    assert extract.main_text(AROUND) == f"{LONG} {SHORT} {LONG}"
+    for off in ({"surge": 0}, {"surge": 10**9, "near": 10**9}, {"window": 100}):
+        assert extract.main_text(AROUND, **off).startswith("Home About Contact"), off
+    assert extract.main_text(AROUND.replace(EMPTY, "<div></div>" * 4)).endswith("Imprint")
+    # A run is found wherever it lies, and one short page is all run.
+    assert extract.main_text(f"<div>a</div>{EMPTY * 3}<p>{LONG}</p>") == LONG
+    assert extract.main_text(f"<p>ab</p>{EMPTY}<p>c</p>") == "ab"
+
+
+I = "\u0130" * 24  # grows when lower-cased
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<p>{I}</p><script>var a = 1 < 2;</script><p>{LONG}</p><SCRIPT>b()</Script><p>end</p>", f"{I} {LONG} end"),
+        (f"<p>{LONG}{I}<style>x</style>{I}</p><p>b</p><noscript>{I}</noscript>c", f"{LONG}{I}{I} b c"),
+        (f"<form action=x><nav>m</nav><article><p>{LONG}</p><form>vote</form></article></form>", LONG),
+        (f"<form><p>{LONG}</p><p>{LONG}</p><input><button>go</button></form>", f"{LONG} {LONG}"),
+        (f"<aside><article><p>{LONG}</p></article></aside>", LONG),
+        (f"<dialog open><p>{LONG}</p></dialog><footer>f</footer>", LONG),
+        (f"<header>Site<nav>m</nav></header><article><header><h1>Title</h1></header><p>{LONG}</p></article>", f"Title {LONG}"),
+        (f"<header><main><h1>T</h1><p>{LONG}</p></main></header>", f"T {LONG}"),
+        ("<form>search</form>", ""),
+        ("<header>Site</header><footer>f</footer>", ""),
+        (f"<header>Site</header><p>{LONG}</p><aside>{SHORT}</aside>", LONG),
+    ],
+)
+def test_dotted_capital_i_and_wrapping_elements(page, text):
+    assert extract.main_text(page) == text
+
+
+@pytest.mark.parametrize("piece", ["<div><b>x</i>", "<p><q>x</div>", "<table><td>x</article>", "<nav><article>", "<script>"])
+def test_time_grows_with_unclosed_tags(piece):
+    import time
+
+    def took(n):
+        began = time.perf_counter()
+        extract.main_text(piece * n)
+        return time.perf_counter() - began
+
+    took(500)
+    assert took(32_000) <= 12 * took(8_000) / 2 + 0.3
+
+
 def test_menu_of_links_is_no_text():
     menu = "".join(f"<p><a href=/{i}>Some long link text number {i}</a></p>" for i in range(8))
     assert extract.main_text(f"<body><div>{menu}</div><p>{LONG}</p><p>{LONG}</p></body>") == f"{LONG} {LONG}"

@@ -1,24 +1,30 @@
 """The main text of web pages, by the distribution of text over blocks of lines.
 
 Markup is stripped to lines: every block element and line break ends a line, inline elements do not. A
-line that lies in a menu, header, footer, sidebar, notice, advert, form, comment section, script or style
-sheet, or that is mostly links, counts as empty. Elements named like one of these (class, id or role) are one, unless all articles of the
-page lie in them or most of its text does: those are wrappers. A name counts whole or if all its parts are such names
-(``footer-menu``), so ``has-sidebar`` or ``entry-header`` say nothing. The text lengths of ``WINDOW`` lines at a time are then summed. Where the sums
-surge from nothing to text a stretch begins, where they dive to nothing it ends. The main run
-are the stretches whose peak comes near that of the highest. An article or main element is a hint: if at least half of the text of
-these stretches lies in such elements, the main text goes from the first line in one to the last, and holds what is no boilerplate in between.
-Else, as on a page whose articles are teasers, all stretches are main text, also short ones before, between and after those of the run,
-as a short paragraph may be parted from the others by adverts. Lines are joined in page order; nothing else is dropped.
+line that lies in a menu, footer, notice, advert, script or style sheet, or that is mostly links, counts as
+empty, and so does a block without text. Elements named like a header, sidebar, form, comment section and so on (class,
+id or role), and ``form``, ``aside``, ``dialog`` and ``header`` elements, are boilerplate as well, unless all articles of the page
+lie in them or most of its text does (for these elements, ``SURGE`` characters at least): those are wrappers.
+A ``header`` within an article belongs to the article, with its title. A name counts whole or if all its parts are
+such names (``footer-menu``), so ``has-sidebar`` or ``entry-header`` say nothing.
+
+The text lengths of ``WINDOW`` lines at a time are then summed. Where the sums surge from nothing to text a
+stretch begins, where they dive to nothing it ends. The main run goes from the first to the last stretch in which
+``WINDOW`` lines have ``SURGE`` characters (or as many as any on the page), with all that lies between them, short
+paragraphs too. A shorter stretch before or after it is taken in if at most ``NEAR`` empty lines part them, as adverts do;
+what lies further off goes, however it is marked up. An article or main element is a hint: if at least half of the
+text of the run lies in such elements, the main text goes from the first line in one to the last, wherever these lie.
+Lines are joined in page order; nothing else is dropped.
 
 Null html counts as empty and gives an empty text. Unclosed and misplaced tags, comments and pages cut
-off in the middle are read as far as they go.
+off in the middle are read as far as they go. Time grows in proportion to the page.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,11 +35,15 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import ready_for_python
 
-WINDOW, SURGE, LINKS = 3, 86, 0.6
+WINDOW, SURGE, NEAR, LINKS = 3, 86, 4, 0.6
 
 # Elements whose content is no text of the page.
 _RAW = frozenset("script style noscript template textarea iframe svg math canvas object title select".split())
-_BOILERPLATE = frozenset("nav header footer aside form menu dialog button head".split())
+_UNSEEN = frozenset("script style noscript template".split())  # take no place, so words on both sides may be one
+_BOILERPLATE = frozenset("nav footer menu button head".split())
+# Elements that are boilerplate unless they are wrappers.
+_MAY_WRAP = frozenset("form aside dialog header".split())
+_LOWER = {c: c + 32 for c in range(0x41, 0x5B)}  # keeps places, which str.lower does not
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
@@ -74,6 +84,7 @@ class Mark:
     parent: int  # the mark around it, or -1
     apart: bool  # named like an advert, comments or links to other pages, which are never around the main text
     placed: bool  # in an article or main element
+    tag: bool  # by its tag, not by its name
     text: int = 0  # characters in it
     around: bool = False  # an article or main element lies in it
 
@@ -114,14 +125,17 @@ def _drop_marked(lines: list[Line], marks: list[Mark], in_marks: list[int], free
     placed = sum(n for n, x in zip(texts, lines, strict=True) if x.placed)
     free = any(n and x.placed and i < 0 for n, x, i in zip(texts, lines, in_marks, strict=True))
     dropped: list[bool] = []
+    by_tag: list[bool] = []
     for mark in marks:
         whole = placed if mark.placed else total
         most = mark.text >= whole if mark.apart else 2 * mark.text > whole
+        most = most and not (mark.tag and mark.text < SURGE)
         wraps = (mark.around and not free_place) or (most and (mark.placed or not free))
+        by_tag.append((mark.parent >= 0 and by_tag[mark.parent]) or (mark.tag and not wraps))
         dropped.append((mark.parent >= 0 and dropped[mark.parent]) or not wraps)
     out = [i >= 0 and dropped[i] for i in in_marks]
     if all(gone or not n for gone, n in zip(out, texts, strict=True)):
-        return
+        out = [i >= 0 and by_tag[i] for i in in_marks]  # names must be wrong where they leave nothing
     for line, gone in zip(lines, out, strict=True):
         line.kept = line.kept and not gone
 
@@ -131,7 +145,9 @@ def lines_of(page: str) -> list[Line]:
     lines: list[Line] = []
     run: list[str] = []
     linked = 0
-    open_tags: list[tuple[str, bool, bool]] = []  # name, whether it is boilerplate, whether it is marked
+    open_tags: list[tuple[str, bool, bool, int]] = []  # name, whether it is boilerplate, whether it is marked, lines before it
+    n_open: Counter = Counter()
+    last_close: dict[str, int] = {}
     skipped = links = places = 0  # how many open elements are boilerplate, links, articles
     marks: list[Mark] = []
     in_marks: list[int] = []  # of each line
@@ -154,15 +170,21 @@ def lines_of(page: str) -> list[Line]:
 
     def pop() -> None:
         nonlocal skipped, links, places, mark
-        name, boiler, marked = open_tags.pop()
+        name, boiler, marked, _ = open_tags.pop()
+        n_open[name] -= 1
         if marked:
             mark = marks[mark].parent
         skipped -= boiler
         links -= name == "a"
         places -= name in _PLACE
 
+    def closed_later(name: str, at: int) -> bool:
+        if name not in last_close:
+            last_close[name] = lowered.rfind(f"</{name}")
+        return last_close[name] >= at
+
     at, last = 0, page.rfind(">")
-    lowered = page.lower()
+    lowered = page.translate(_LOWER)
     while at < len(page):
         tag = page.find("<", at)
         if tag < 0:
@@ -192,18 +214,19 @@ def lines_of(page: str) -> list[Line]:
             at = tag + 1
             continue
         name, attributes, at = found[1].lower(), found[2], found.end()
-        if name not in _INLINE:
+        if name not in _INLINE and name not in _UNSEEN:
             end_line()
         if closing:
-            if any(name == n for n, _, _ in open_tags):
-                while True:
-                    was = open_tags[-1][0]
+            if n_open[name]:
+                while open_tags[-1][0] != name:
                     pop()
-                    if was == name:
-                        break
+                if name not in _INLINE and open_tags[-1][3] == len(lines):
+                    lines.append(Line("", 0, False, places > 0))
+                    in_marks.append(mark)
+                pop()
             continue
         if name in _RAW and not attributes.endswith("/"):
-            end = lowered.find(f"</{name}", at)
+            end = lowered.find(f"</{name}", at) if closed_later(name, at) else -1
             close = -1 if end < 0 else page.find(">", end)
             at = len(page) if close < 0 else close + 1
             continue
@@ -211,24 +234,26 @@ def lines_of(page: str) -> list[Line]:
             continue
         if name in _PLACE:
             # Boilerplate that is never closed ends where the article begins.
-            while (skipped or mark >= 0) and open_tags and lowered.find(f"</{open_tags[-1][0]}", at) < 0:
+            while (skipped or mark >= 0) and open_tags and not closed_later(open_tags[-1][0], at):
                 pop()
-        if name not in _INLINE and any(n == "p" for n, _, _ in open_tags[-3:]):
-            while any(n == "p" for n, _, _ in open_tags[-3:]):
+        if name not in _INLINE and any(x[0] == "p" for x in open_tags[-3:]):
+            while any(x[0] == "p" for x in open_tags[-3:]):
                 pop()
         for implied in _CLOSES.get(name, ()):
             if open_tags and open_tags[-1][0] == implied:
                 pop()
         boiler = _is_boilerplate(name, attributes)
         names = _names(attributes) if attributes and name not in _PLACE and name not in ("html", "body") else set()
-        if names:
-            marks.append(Mark(mark, not names.isdisjoint(_OF_PLACE), places > 0))
+        by_tag = name in _MAY_WRAP and not (name == "header" and places)
+        if names or by_tag:
+            marks.append(Mark(mark, not names.isdisjoint(_OF_PLACE), places > 0, by_tag))
             mark = len(marks) - 1
         elif name in _PLACE and not boiler and not skipped:
             if mark >= 0:
                 marks[mark].around = True
             free_place = free_place or mark < 0
-        open_tags.append((name, boiler, bool(names)))
+        open_tags.append((name, boiler, bool(names) or by_tag, len(lines)))
+        n_open[name] += 1
         skipped += boiler
         links += name == "a"
         places += name in _PLACE
@@ -237,7 +262,7 @@ def lines_of(page: str) -> list[Line]:
     return lines
 
 
-def main_text(page: str, window: int = WINDOW, surge: int = SURGE) -> str:
+def main_text(page: str, window: int = WINDOW, surge: int = SURGE, near: int = NEAR) -> str:
     lines = lines_of(page)
     sizes = np.array(
         [len(x.text) if x.kept and (x.placed or x.linked <= LINKS * len(x.text)) else 0 for x in lines], dtype=np.int64
@@ -247,15 +272,24 @@ def main_text(page: str, window: int = WINDOW, surge: int = SURGE) -> str:
     sums = np.convolve(sizes, np.ones(window, dtype=np.int64))[: len(sizes)]  # of a line and those before it
     full = np.concatenate([[False], sums > 0, [False]])
     begins, ends = np.flatnonzero(full[1:] & ~full[:-1]), np.flatnonzero(full[:-1] & ~full[1:])  # surges and dives
-    needed = min(surge, int(sums.max()))
-    run = np.zeros(len(sizes), dtype=bool)
-    for begin, end in zip(begins, ends, strict=True):
-        run[begin:end] = sums[begin:end].max() >= needed
+    peaks = np.array([sums[a:b].max() for a, b in zip(begins, ends, strict=True)])
+    high = np.flatnonzero(peaks >= min(surge, int(peaks.max())))
+    # Stretches from their first to their last line with text.
+    last_text = np.array([a + np.flatnonzero(sizes[a:b])[-1] for a, b in zip(begins, ends, strict=True)])
+    low, up = high[0], high[-1]
     placed = np.array([x.placed for x in lines])
-    first, last = begins[0], ends[-1]
-    if 2 * sizes[run & placed].sum() >= sizes[run].sum():
+    in_run = np.zeros(len(sizes), dtype=bool)
+    for i in high:
+        in_run[begins[i] : ends[i]] = True
+    if 2 * sizes[in_run & placed].sum() >= sizes[in_run].sum():
         held = np.flatnonzero(placed & (sizes > 0))
         first, last = held[0], held[-1] + 1
+    else:
+        while low > 0 and begins[low] - last_text[low - 1] - 1 <= near:
+            low -= 1
+        while up + 1 < len(begins) and begins[up + 1] - last_text[up] - 1 <= near:
+            up += 1
+        first, last = begins[low], last_text[up] + 1
     return " ".join(x.text for x, n in zip(lines[first:last], sizes[first:last], strict=True) if n)
 
 
