@@ -461,3 +461,4 @@ ORACLE["csv_ragged_lines"] = with_views(
            count(*) as n, cast(sum(order_id) as bigint) as sum_of_ids
     from fx_f_orders group by 1, 2"""
 )
+ORACLE["run_log_appended"] = ORACLE["run_log_current"]

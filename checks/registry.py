@@ -38,6 +38,7 @@ from tidemark.operators.scd2 import scd2_parts
 from tidemark.plans import control as ctl
 from tidemark.plans.runlog import latest_run, run_log_current
 from tidemark.sources import (
+    EventLog,
     PartitionedTable,
     own_path,
     read_csv,
@@ -364,6 +365,18 @@ def q_run_log_current(spark, sf_dir):
     return run_log_current(fx.run_log(spark, sf_dir), ["task_name", "job_exec_dtl_id"], ["ts", "event_id"])
 
 
+def q_run_log_appended(spark, sf_dir):
+    """As ``run_log_current``, from a log to which every task appended its events in two parts, and one was put together."""
+    events = stage(fx.run_log(spark, sf_dir), "run-events")
+    log = EventLog(spark, own_path(spark, "run-log"), events.schema)
+    tasks = [r[0] for r in events.select("task_name").distinct().orderBy("task_name").collect()]  # a handful
+    for task in tasks:
+        for odd in (0, 1):
+            log.append(task, events.where((F.col("task_name") == task) & (F.pmod("event_id", F.lit(2)) == odd)))
+    log.compact(tasks[0])
+    return run_log_current(log.read(), ["task_name", "job_exec_dtl_id"], ["ts", "event_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_sales": q_daily_sales,
     "window_either": q_window_either,
@@ -414,6 +427,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_run": q_latest_run,
     "run_log_current": q_run_log_current,
     "csv_landing_extract": q_csv_landing_extract,
+    "run_log_appended": q_run_log_appended,
     "csv_ragged_lines": q_csv_ragged_lines,
     "daily_sales_merged": q_daily_sales_merged,
     "daily_sales_refresh_partitions": q_daily_sales_refresh_partitions,

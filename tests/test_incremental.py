@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import uuid
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from tidemark.operators import (
     upsert,
     within_key_range,
 )
-from tidemark.sources import PartitionedTable, save_bucketed, stage, upsert_bucketed
+from tidemark.sources import EventLog, PartitionedTable, save_bucketed, stage, upsert_bucketed
 from tidemark.sources.bucketed import bucket_count
 
 COLUMNS = "a bigint, b string, v bigint"
@@ -197,3 +198,39 @@ def test_only_touched_folders_are_written(spark, tmp_path, unit):
 def test_units_are_checked(spark, tmp_path):
     with pytest.raises(ValueError, match="unit"):
         PartitionedTable(spark, str(tmp_path), spark.createDataFrame([], DAILY).schema, "d", "week")
+
+
+# Logs
+
+
+def test_runs_append_side_by_side_and_are_put_together(spark, tmp_path):
+    schema = "task string, n bigint"
+    log = EventLog(spark, str(tmp_path / "log"), spark.createDataFrame([], schema).schema)
+    assert log.read().isEmpty() and log.read("none").isEmpty()
+    log.compact("none")
+    runs = ["a/b", "a=b c", "ä%2F", ""]
+    with ThreadPoolExecutor(4) as pool:  # two drivers for every run
+        list(pool.map(lambda i: log.append(runs[i % 4], spark.createDataFrame([(f"t{i}", i)], schema)), range(16)))
+    want = Counter((f"t{i}", i) for i in range(16))
+    assert rows(log.read()) == want
+    for k, run in enumerate(runs):
+        assert rows(log.read(run)) == Counter((f"t{i}", i) for i in range(16) if i % 4 == k)
+    others = {f for r in log.read("a=b c").select(F.input_file_name()).collect() for f in r}
+    log.compact("a/b")
+    log.compact("a/b")
+    assert rows(log.read()) == want
+    assert log.read("a/b").select(F.input_file_name()).distinct().count() == 1
+    assert {f for r in log.read("a=b c").select(F.input_file_name()).collect() for f in r} == others
+    log.append("a/b", spark.createDataFrame([("late", 99)], schema))
+    assert rows(log.read("a/b")) == Counter([("t0", 0), ("t4", 4), ("t8", 8), ("t12", 12), ("late", 99)])
+
+
+def test_an_event_costs_the_same_however_long_the_log_is(spark, tmp_path):
+    schema = "task string, n bigint"
+    log = EventLog(spark, str(tmp_path / "log"), spark.createDataFrame([], schema).schema)
+    written = lambda: {str(p): p.stat().st_mtime_ns for p in (tmp_path / "log").rglob("*.parquet")}
+    for i in range(12):
+        before = written()
+        log.append(f"run {i}", spark.createDataFrame([("t", i)], schema))
+        after = written()
+        assert len(after) == len(before) + 1 and before.items() <= after.items()

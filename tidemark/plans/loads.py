@@ -30,6 +30,7 @@ from tidemark.operators.updates import append_rows, keyed_update
 from tidemark.operators.windows import change_window, in_window, load_bounds
 from tidemark.plans import control as ctl
 from tidemark.plans.runlog import latest_run, run_log_current
+from tidemark.sources.eventlog import EventLog
 from tidemark.sources.files import read_csv, read_snapshot, snapshot_path, write_snapshot
 from tidemark.sources.partitioned import PartitionedTable
 from tidemark.sources.shared import stage
@@ -106,6 +107,11 @@ class Run:
     job_name: str
 
 
+def _log_of(run: Run) -> str:
+    """The part of the task log that a run writes to."""
+    return f"{run.load_id}/{run.job_exec_id}"
+
+
 class Warehouse:
     def __init__(
         self,
@@ -199,6 +205,7 @@ class Warehouse:
         outcome = ctl.run_outcome(self.tables.read(CONTROL), layers).collect()[0]
         mine = (F.col("master_job_id") == run.load_id) & (F.col("job_exec_id") == run.job_exec_id)
         self._end_run(mine, outcome.asDict())
+        self._events().compact(_log_of(run))
         if outcome.exec_status == ctl.FAILED:
             raise LoadError(outcome.status_message)
 
@@ -207,12 +214,18 @@ class Warehouse:
         message = ctl.failure_message(self.tables.read(CONTROL))
         mine = (F.col("master_job_id") == run.load_id) & (F.col("job_name") == run.job_name)
         self._end_run(mine, {"exec_status": ctl.FAILED, "status_message": message})
+        self._events().compact(_log_of(run))
         return message
 
     def task_log(self) -> DataFrame:
         """The current state of every task."""
         keys = ["task_name", "job_exec_dtl_id"]
-        return run_log_current(self.tables.read(TASKS), keys, ["event_dt", "event_seq"]).drop("event_dt", "event_seq")
+        # Logs of earlier versions lie in the table; nothing is added to it any more.
+        events = self.tables.read(TASKS).unionByName(self._events().read())
+        return run_log_current(events, keys, ["event_dt", "event_seq"]).drop("event_dt", "event_seq")
+
+    def _events(self) -> EventLog:
+        return EventLog(self.spark, f"{self.root}/logs/tasks", self.tables.schema(TASKS))
 
     # Layers
 
@@ -485,9 +498,9 @@ class Warehouse:
         return row.source_table_name if layer == "landing" else row.target_table_name
 
     def _log(self, run: Run, layer: str, events: list, started: datetime, ended: datetime | None = None) -> None:
-        self._append_literal(
+        events = self._literals(
             TASKS,
-            *[
+            [
                 dict(
                     master_job_id=run.load_id,
                     job_exec_id=run.job_exec_id,
@@ -506,10 +519,12 @@ class Warehouse:
                 for label, status, message, counts in events
             ],
         )
+        self._events().append(_log_of(run), events)
 
-    def _append_literal(self, name: str, *rows: dict, **row) -> None:
+    def _literals(self, name: str, rows: list[dict]) -> DataFrame:
         schema = self.tables.schema(name)
-        values = [tuple(r.get(f.name) for f in schema.fields) for r in (rows or (row,))]
-        new = self.spark.createDataFrame(values, schema)
-        # Written whole: a directory per event would make the list of files grow for ever.
+        return self.spark.createDataFrame([tuple(r.get(f.name) for f in schema.fields) for r in rows], schema)
+
+    def _append_literal(self, name: str, **row) -> None:
+        new = self._literals(name, [row])
         self.tables.update(name, lambda log: log.unionByName(new))
