@@ -21,6 +21,7 @@ count once; a candidate with the query's id is the query itself. Ties go to the
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -32,6 +33,7 @@ from tidemark.llm.common import ready_for_python
 from tidemark.sources.shared import stage
 
 TREES, BITS, SHARD, SHARE, QUERIES = 96, 48, 16_384, 0.45, 4096
+_AT_ONCE = 256
 _FOUND = "query_id bigint, query_key bigint, vec_id bigint, score double"
 
 
@@ -83,7 +85,9 @@ def nearest(
     forest = Forest(vectors, **options)
     # More than k + 1 per tree: some tree then has k vectors besides the query's own, if there are as many.
     least = max((k + 1) * forest.trees + 1, int(share * len(vectors)))
-    for q, places in enumerate(forest.candidates(queries, least)):
+    # A few queries at a time: the places of their prefixes take bits x trees numbers each.
+    slices = (forest.candidates(queries[a : a + _AT_ONCE], least) for a in range(0, len(queries), _AT_ONCE))
+    for q, places in enumerate(chain.from_iterable(slices)):
         places = places[ids[places] != query_ids[q]]
         gaps = vectors[places] - queries[q]
         far = np.sqrt((gaps * gaps).sum(axis=1))
