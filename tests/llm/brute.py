@@ -103,7 +103,7 @@ def licenses(docs, rules, base):
                 for m in re.finditer(r["pattern"], norm):
                     start = norm[: m.start()].count(" ") - 1
                     found.append((start, start + m[0].count(" ") + 1, r["rank"], r["label"], r["sure"]))
-        kept = [x for x in found if not any(y[0] <= x[0] and y[1] >= x[1] and y[2] < x[2] for y in found)]
+        kept = [x for x in found if x[3] and not any(y[0] <= x[0] and y[1] >= x[1] and y[2] < x[2] for y in found)]
         labels = ",".join(sorted(names | {x[3] for x in kept}))
         score = max((x[4] for x in kept), default=0.0)
         first, last = min(places, default=None), max(places, default=None)

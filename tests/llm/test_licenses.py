@@ -6,7 +6,7 @@ from re import _parser as parser
 from pyspark.sql import functions as F
 
 from tests.llm import brute
-from tidemark.llm import licenses
+from tidemark.llm import licenses, signatures
 
 SCHEMA = "doc_id long, text string"
 NAMES = ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
@@ -51,9 +51,82 @@ def alternatives(pattern):
     return found
 
 
+def ways(pattern):
+    return alternatives(parser.parse(pattern.replace(signatures._NEXT, " the x")))
+
+
 def test_every_alternative_has_its_rules_keyword():
-    lacking = {(r["label"], r["keyword"]) for r in licenses.rules() for x in alternatives(parser.parse(r["pattern"])) if r["keyword"] not in f" {x} "}
+    lacking = {(r["label"], r["keyword"], x) for r in licenses.rules() for x in ways(r["pattern"]) if r["keyword"] not in f" {x} "}
     assert not lacking
+    # And what the first look at a text asks for.
+    looks = lambda x: any(n in x for n in licenses._NEEDED) or any(n in x for n in licenses._SHORT)
+    assert not {(r["label"], x) for r in licenses.rules() if r["label"] for x in ways(r["pattern"]) if not looks(x)}
+
+
+def test_signatures_each_by_a_line_that_has_them_and_one_that_has_not(spark):
+    known = [r for r in licenses.rules() if r["sure"] in (0.96, 0.97)]
+    assert len(known) > 150 and len({r["pattern"] for r in known}) == len(known)
+    lines = {i: ways(r["pattern"])[-1] for i, r in enumerate(known)}
+    docs = [(i, f"Foo. {x.capitalize()}, bar") for i, x in lines.items()] + [(-1 - i, " ".join(reversed(x.split()))) for i, x in lines.items()]
+    docs += [(10_000 + i, f"x {x.replace(r['keyword'].strip().split()[0], 'q')} y") for i, (x, r) in enumerate(zip(lines.values(), known, strict=True))]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(docs, SCHEMA)).collect()}
+    for i, r in enumerate(known):
+        assert any(d.label == r["label"] for d in got[i].detections), (r, lines[i], got[i])
+        assert all(d.sure < 0.96 for d in got[-1 - i].detections), (r, got[-1 - i])
+    want = brute.licenses(docs, licenses.rules(), licenses.BASE)
+    assert sorted((tuple(r[n] for n in NAMES) for r in got.values()), key=str) == want
+
+
+DENIED = {
+    "This file is not licensed under the MIT License": "",
+    "not licensed under the GNU LGPL version 3 but under the Apache License 2.0": "apache-2.0",
+    "Unlike the Eclipse Public License, it is short. Code: MPL 2.0": "mpl-2.0",
+    "no longer released under the Artistic License. See CDDL: common development and distribution license": "cddl",
+    "It is incompatible with the WTFPL": "",
+    "instead of the ISC License": "",
+    "Not a font. Zlib License": "zlib",
+    "licensed under the zlib license, not the wtfpl": "wtfpl,zlib",
+}
+
+
+def test_denials_hide_what_they_cover(spark):
+    docs = list(enumerate(DENIED))
+    rows = licenses.scan(spark.createDataFrame(docs, SCHEMA)).collect()
+    # Base labels stay: they are counted apart.
+    got = {r.doc_id: ",".join(x for x in r.labels.split(",") if x not in r.base_labels.split(",")) for r in rows}
+    assert {text: got[i] for i, text in docs} == DENIED
+    assert brute.rows(licenses.scan(spark.createDataFrame(docs, SCHEMA)), *NAMES) == brute.licenses(docs, licenses.rules(), licenses.BASE)
+
+
+def test_base_columns_as_sql(spark):
+    """Words, places and labels of the base phrases, which denials leave alone, from SQL."""
+    import duckdb
+
+    docs = DOCS + [(20 + i, x) for i, x in enumerate(DENIED)]
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", docs)
+    theirs = con.execute(BASE_SQL).fetchall()
+    names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels"]
+    assert brute.rows(licenses.scan(spark.createDataFrame(docs, SCHEMA)), *names) == sorted(theirs, key=str)
+
+
+BASE_SQL = r"""
+    with w as (
+        select row_number() over () as r, doc_id,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+        from documents
+    ), p as (
+        select string_split(phrase, ' ') as own, label
+        from (values ('gnu general public license', 'gpl'), ('apache license', 'apache'), ('cc by', 'cc-by'), ('mit license', 'mit')) as t(phrase, label)
+    ), places as (
+        select r, i - 1 as word, label
+        from (select r, words, own, label, unnest(range(1, len(words) - len(own) + 2)) as i from w, p)
+        where words[i:i + len(own) - 1] = own
+    )
+    select doc_id, len(words), count(word), min(word), max(word), coalesce(string_agg(distinct label, ',' order by label), '')
+    from w left join places using (r) group by r, doc_id, words"""
 
 
 def test_plain_alternatives_as_ungated_brute_force(spark):

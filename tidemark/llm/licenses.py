@@ -3,7 +3,8 @@
 A text is normalised to its words (letters, digits and all non-ASCII, A-Z lower-cased) with one blank in between.
 Only texts with a word that some rule needs go on. Of the rules, only those whose keyword occurs are tried,
 and each gives the word intervals where its pattern stands. Rules are ordered: an interval that lies within one
-of an earlier rule is suppressed. The labels of the intervals that remain are the text's labels, the
+of an earlier rule is suppressed. Signatures written by hand (``signatures``) come before rules for the names of licences,
+and denials (``not licensed under``, ``unlike``) before all: they have no label and only suppress. The labels of the intervals that remain are the text's labels, the
 highest confidence among them is its score. Nothing is shuffled, as all of this is done within the row.
 
 Suppression sweeps over the intervals by their start and only keeps those that still reach beyond it, and what remains
@@ -22,6 +23,8 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.signatures import WORDS, signatures
+
 # Phrases of the base scan and their labels.
 BASE = {
     "gnu general public license": "gpl",
@@ -91,10 +94,11 @@ _SUFFIXES = {"or-later": " (?:or later|or any later version|or at your option an
 def rules() -> list[dict[str, object]]:
     """All rules, the first in order first: label, keyword, pattern, confidence.
 
-    A tagged identifier comes before a grant of a version, that before the version's mere name, a grant
+    Signatures come first: denials, which have no label, exceptions, and what licences and notices say in their own
+    words. Then names: a tagged identifier comes before a grant of a version, that before the version's mere name, a grant
     without version before a mere name. Within a kind, longer patterns come first.
     """
-    found: list[tuple[int, str, str, str, float]] = []
+    found = signatures()
     for label, keyword, names, versions in FAMILIES:
         name = f"(?:{names})"
         for version, (suffix, words) in product(versions.split(), _SUFFIXES.items()):
@@ -127,7 +131,7 @@ def rules() -> list[dict[str, object]]:
 
 
 # Every rule needs one of these in the lower-cased text as it stands, or one of the short names as a word of its own.
-_NEEDED = ("licen", "permission", "spdx", "creative", "domain", "clause", "wtfpl", "0bsd", "hereby", "redistribution", "reserved", "bsd")
+_NEEDED = ("licen", "permission", "spdx", "creative", "domain", "clause", "wtfpl", "0bsd", "hereby", "reserved", "bsd", *WORDS)
 _SHORT = ("cc", "gpl", "mpl")
 _SHORT_WORDS = r"(?<![0-9a-z\x{80}-\x{10FFFF}])(?:cc[\x00-\x2F\x3A-\x60\x7B-\x7F]+by|cc0|[al]?gpl|mpl)(?![0-9a-z\x{80}-\x{10FFFF}])"
 
@@ -206,6 +210,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     def sweep(state: Column, hit: Column) -> Column:
         within = F.exists(state["reach"], lambda e: (e["back"] <= hit["back"]) & (e["rank"] < hit["rank"]))
         still = F.filter(state["reach"], lambda e: -e["back"] > hit["start"])
+        within = within | (hit["label"] == "")  # a denial hides others and is none itself
         new = ~within & ~F.array_contains(state["labels"], hit["label"])
         full = F.size(state["kept"]) >= _BLOCK
         span = F.struct(hit["start"].alias("start"), (-hit["back"]).alias("end"), hit["label"].alias("label"), hit["sure"].alias("sure"))
