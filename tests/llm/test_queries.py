@@ -39,6 +39,17 @@ def test_query_matches_sql(spark, duck, key):
     assert (got - want, want - got) == (Counter(), Counter())
 
 
+def test_repeated_pages_are_all_judged_as_sql(spark, tmp_path):
+    pages = [(1, "http://net/"), (1, "http://net/"), (1, "http://a.org/fr/x"), (None, None), (None, None)]
+    spark.createDataFrame(pages, "page_id long, url string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    theirs = con.execute(queries.ORACLE["op3_url_filters"])
+    names = [d[0] for d in theirs.description]
+    ours = queries.QUERIES["op3_url_filters"](spark, str(tmp_path)).select(*names).collect()
+    assert Counter(map(tuple, ours)) == Counter(theirs.fetchall()) and len(ours) == 5
+
+
 def test_near_duplicates_of_the_given_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = {r.doc_id: r.component_id for r in queries.QUERIES["op6_minhash_near_dedup"](spark, SF).collect()}

@@ -18,7 +18,7 @@ The steps:
 
 Null text or text without words has the empty set, which is linked with nothing. A row without id keeps
 n_shingles, has no component_id and is kept. Rows that repeat an id are one document: what links one of
-them links all.
+them links all. Ids are whole numbers, or read as such; others stop the run.
 """
 
 from __future__ import annotations

@@ -231,12 +231,13 @@ ORACLE: dict[str, str] = {
         from m join own using (r) left join replies using (r) left join ends on ends.conv_id = m.conv_id and ends.turn = m.turn""",
     "op3_url_filters": rf"""
         with rests as (
-            select page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest
+            select row_number() over () as r, page_id,
+                   case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest
             from pages
         ), hosts as (
-            select page_id, rest, regexp_extract(rest, '^[^/?#]*') as host from rests
+            select r, page_id, rest, regexp_extract(rest, '^[^/?#]*') as host from rests
         ), parts as (
-            select page_id, translate(host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+            select r, page_id, translate(host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
                    regexp_extract(substr(rest, length(host) + 1), '^[^?#]*') as path
             from hosts
         ), rules as (
@@ -246,7 +247,7 @@ ORACLE: dict[str, str] = {
         select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict
         from parts left join rules
           on (host = of_host or ends_with(host, '.' || of_host)) and starts_with(path, of_path)
-        qualify row_number() over (partition by page_id order by length(rule) desc, rule) = 1""",
+        qualify row_number() over (partition by r order by length(rule) desc, rule) = 1""",
     "op9_benchmark_decontamination": rf"""
         with w as (
             select row_number() over () as r, doc_id, {_ALNUM.format(f"coalesce({_LOWER}, '')")} as words from documents

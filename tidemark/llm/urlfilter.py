@@ -12,6 +12,7 @@ follows, up to ``?``, ``#`` or the end. A null URL or one without ``://`` has an
 judged like any other. A rule is a host and a path, written together (``example.net/en/``); it fits the
 host and all its subdomains if the path starts with the rule's, hence is two patterns. In both parts ``*``
 takes any characters and ``?`` one. The longest rule that fits wins; of equally long ones, the first in the alphabet.
+Every row is judged, so rows that repeat a page id, or are alike, all have a row in the result.
 """
 
 from __future__ import annotations
