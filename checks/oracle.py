@@ -462,3 +462,4 @@ ORACLE["csv_ragged_lines"] = with_views(
     from fx_f_orders group by 1, 2"""
 )
 ORACLE["run_log_appended"] = ORACLE["run_log_current"]
+ORACLE["scd2_customers_one_pass"] = ORACLE["scd2_customers"]

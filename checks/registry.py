@@ -212,10 +212,14 @@ def q_upsert_order_items_ranged(spark, sf_dir):
     return plain(upsert(target, changes, keys, fx.LOAD, fx.AT, plan="split", matched=stage(matched, "matched")))
 
 
-def _customers_after(spark, sf_dir):
+def _customers_after(spark, sf_dir, **options):
     source = change_window(fx.d_customers(spark, sf_dir), fx.DIMENSION_WINDOW[0], fx.DIMENSION_WINDOW[2], "both")
     target = fx.customer_versions(spark, sf_dir)
-    return apply_scd2(target, source, ["customer_id"], fx.DIMENSION_WINDOW[2], fx.LOAD, fx.AT)
+    return apply_scd2(target, source, ["customer_id"], fx.DIMENSION_WINDOW[2], fx.LOAD, fx.AT, **options)
+
+
+def q_scd2_one_pass(spark, sf_dir):
+    return _customers_after(spark, sf_dir, one_pass=True)
 
 
 def q_scd2_current(spark, sf_dir):
@@ -406,6 +410,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "insert_absent_products": q_insert_absent_products,
     "insert_absent_repeated": q_insert_absent_repeated,
     "scd2_customers": _customers_after,
+    "scd2_customers_one_pass": q_scd2_one_pass,
     "customer_surrogates": q_customer_surrogates,
     "scd2_current": q_scd2_current,
     "append_customers": q_append_customers,

@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 
 from tests.frames import LOAD_AT, NEW, OLD, UPDATED, VERSIONS, D, rows
 from tidemark.operators import apply_scd2, open_versions
+from tidemark.sources import stage
 
 TARGET = "id bigint, v string, mdfctn_dt timestamp_ntz, " + VERSIONS
 SOURCE = "id bigint, v string, mdfctn_dt timestamp_ntz"
@@ -18,9 +19,10 @@ ADDED = (*NEW, END, None)
 
 
 def applied(spark, target, source):
-    return apply_scd2(
-        spark.createDataFrame(target, TARGET), spark.createDataFrame(source, SOURCE), ["id"], END, "L1", LOAD_AT
-    )
+    frames = spark.createDataFrame(target, TARGET), spark.createDataFrame(source, SOURCE)
+    found = apply_scd2(*frames, ["id"], END, "L1", LOAD_AT)
+    assert rows(apply_scd2(*frames, ["id"], END, "L1", LOAD_AT, one_pass=True)) == rows(found)
+    return found
 
 
 def test_every_kind_of_row(spark):
@@ -106,3 +108,19 @@ def test_the_join_probes_a_small_change_set_and_never_touches_closed_versions(sp
     assert after.count() == 3
     closed_part = after._jdf.queryExecution().optimizedPlan().children().head().toString()
     assert "Join" not in closed_part and "isnotnull(dw_eff_end_dt" in closed_part
+
+
+def test_one_pass_shuffles_either_side_once(spark):
+    target = stage(spark.createDataFrame([(i, "a", T0, *OPEN) for i in range(50)], TARGET), "versions")
+    source = stage(spark.createDataFrame([(i, "b", T1) for i in range(40, 60)], SOURCE), "changes")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [apply_scd2(target, source, ["id"], END, "L1", LOAD_AT, one_pass=x) for x in (True, False)]
+        texts = [p._jdf.queryExecution().executedPlan().toString() for p in plans]
+        found = rows(plans[0])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The union of both is what is shuffled.
+    assert texts[0].count("Exchange hashpartitioning(id") == 1 and "Join" not in texts[0]
+    assert texts[1].count("Exchange hashpartitioning(id") > 2
+    assert sum(found.values()) == 50 + 20

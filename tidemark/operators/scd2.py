@@ -12,12 +12,14 @@ from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import business_columns, insert_stamp, split_on_keys
 from tidemark.functions.literals import ts_literal
 
 _LOW, _HIGH = "__low", "__high"
+_NEW, _CLOSED, _STAYS = "__new", "__closed", "__stays"
 
 
 def open_versions(df: DataFrame) -> DataFrame:
@@ -109,10 +111,57 @@ def apply_scd2(
     load_ts: datetime,
     surrogate: str | None = None,
     modified: str = "mdfctn_dt",
+    one_pass: bool = False,
 ) -> DataFrame:
-    """The whole next state. With ``surrogate``, appended rows carry NULL there until they are numbered."""
+    """The whole next state. With ``surrogate``, appended rows carry NULL there until they are numbered.
+
+    ``one_pass`` shuffles open versions and source once each, together, in place of joining them twice. All
+    rows of a key then meet in one task, so it is for sources that do not repeat a key very many times.
+    The result is the same.
+    """
+    if one_pass:
+        return _in_one_pass(target, source, keys, eff_ts, load_id, load_ts, surrogate, modified)
     parts = scd2_parts(target, source, keys, eff_ts, load_id, load_ts, surrogate, modified)
     return reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=surrogate is not None),
         [parts.closed, parts.was_open, parts.appended],
     )
+
+
+def _in_one_pass(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    eff_ts: datetime,
+    load_id: str,
+    load_ts: datetime,
+    surrogate: str | None,
+    modified: str,
+) -> DataFrame:
+    """Open versions and source rows in one frame, told apart by a mark and judged per key."""
+    types = {f.name: f.dataType for f in target.schema.fields}
+    given = set(business_columns(target, surrogate))
+    stamp = insert_stamp(target, load_id, load_ts, eff_ts)
+    none = {c: F.lit(None).cast(types[c]) for c in target.columns}
+    new = source.select(*[(F.col(c).cast(types[c]) if c in given else stamp.get(c, none[c])).alias(c) for c in target.columns])
+    fresh, unkeyed_new = split_on_keys(new, keys)
+    known, unkeyed_old = split_on_keys(open_versions(target), keys)
+
+    both = known.withColumn(_NEW, F.lit(False)).unionByName(fresh.withColumn(_NEW, F.lit(True)))
+    of_key = W.partitionBy(*keys)
+    seen = F.when(F.col(_NEW), F.col(modified))
+    both = both.withColumns({_LOW: F.min(seen).over(of_key), _HIGH: F.max(seen).over(of_key)})
+    differs = [F.coalesce(F.col(modified) != F.col(c), F.lit(False)) for c in (_LOW, _HIGH)]
+    closed = ~F.col(_NEW) & (differs[0] | differs[1])
+    # Whether the key has a version that stays open; then its source rows add nothing.
+    both = both.withColumn(_CLOSED, closed).withColumn(_STAYS, F.max(~F.col(_NEW) & ~F.col(_CLOSED)).over(of_key))
+    closing = {
+        "dw_eff_end_dt": ts_literal(eff_ts, types["dw_eff_end_dt"]),
+        "dw_mdfctn_dt": ts_literal(load_ts, types["dw_mdfctn_dt"]),
+        "dw_update_id": F.lit(load_id).cast(types["dw_update_id"]),
+    }
+    state = both.where(~(F.col(_NEW) & F.col(_STAYS))).select(
+        *[F.when(F.col(_CLOSED), closing[c]).otherwise(F.col(c)).alias(c) if c in closing else F.col(c) for c in target.columns]
+    )
+    untouched = target.where(F.col("dw_eff_end_dt").isNotNull())
+    return reduce(DataFrame.unionByName, [x for x in (untouched, state, unkeyed_old, unkeyed_new) if x is not None])
