@@ -184,7 +184,9 @@ def lines_of(page: str) -> list[Line]:
         return last_close[name] >= at
 
     at, last = 0, page.rfind(">")
-    lowered = page.translate(_LOWER)
+    lowered = page.lower()
+    if len(lowered) != len(page):  # a dotted capital I becomes two characters
+        lowered = page.translate(_LOWER)
     while at < len(page):
         tag = page.find("<", at)
         if tag < 0:
