@@ -40,7 +40,7 @@ from tidemark.llm.common import Slots, holds, mix, ready_for_python, slots_of
 from tidemark.sources.shared import stage
 
 LONGEST, SUPPORT, SHARD, LEAST = 4, 30, 20 << 20, 1 << 20
-_AT_ONCE = 2 << 20
+_AT_ONCE = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 _TURN = np.uint64(0xC4CEB9FE1A85EC53)
 # Fixed values of the word rule: white space between words, and what ends a piece.
@@ -63,11 +63,18 @@ def _pieces_of(raw: bytes) -> Iterator[bytes]:
 
 
 class Words:
-    """The words of many texts: their hashes, in which piece each lies, and their texts joined by spaces."""
+    """The words of many texts: their hashes, in which piece each lies, and their texts joined by spaces.
+
+    The list of texts is emptied, as they are held once more in one piece."""
 
     def __init__(self, texts: list[bytes], with_text: bool = False):
         hashes, pieces, norms, lengths, piece = [], [], [], [], 0
-        for raw in _pieces_of(b"\n".join([*texts, b""]).translate(_LOWER)):
+        texts.append(b"")
+        whole = b"\n".join(texts)
+        texts.clear()
+        whole = whole.translate(_LOWER)
+        place = np.int32 if len(whole) < 1 << 31 else np.int64
+        for raw in _pieces_of(whole):
             text = np.frombuffer(raw + b"\n", np.uint8)
             kind = _KIND[text]
             inside = kind == 0
@@ -79,7 +86,7 @@ class Words:
             np.cumsum(text * up[: len(text)], out=sums[1:])
             hashes.append(mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64)))
             number = np.cumsum(kind == 2)
-            pieces.append(number[start] + piece)
+            pieces.append((number[start] + piece).astype(place))
             piece += int(number[-1]) + 1
             if with_text:
                 kept = inside.copy()
@@ -87,16 +94,18 @@ class Words:
                 norm = text.copy()
                 norm[end] = 0x20
                 norms.append(norm[kept])
-                lengths.append(end - start + 1)
+                lengths.append((end - start + 1).astype(place))
         self.hash, piece = np.concatenate(hashes), np.concatenate(pieces)
+        del hashes, pieces, whole
         # How many words of the piece are left from each word on, LONGEST at most.
         self.left = np.ones(len(piece), dtype=np.uint8)
         for n in range(1, LONGEST):
             self.left[: len(piece) - n][piece[n:] == piece[: len(piece) - n]] = n + 1
         if with_text:
             self.norm = np.concatenate(norms)
-            self.end = np.cumsum(np.concatenate(lengths))
-            self.start = self.end - np.concatenate(lengths)
+            lengths = np.concatenate(lengths)
+            self.end = np.cumsum(lengths, dtype=place)
+            self.start = self.end - lengths
 
     def grams(self, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(n, hashes by first word, which first words have n words), for n from 1 on."""
@@ -107,7 +116,8 @@ class Words:
             yield n, hashes, self.left[: len(hashes)] >= n
 
     def texts(self, first: np.ndarray, n: int) -> pa.Array:
-        begin, size = self.start[first], self.end[first + n - 1] - 1 - self.start[first]
+        begin = self.start[first].astype(np.int64)
+        size = self.end[first + n - 1] - 1 - begin
         offsets = np.zeros(len(first) + 1, dtype=np.int32)
         np.cumsum(size, out=offsets[1:])
         place = np.arange(offsets[-1]) + np.repeat(begin - offsets[:-1], size)
