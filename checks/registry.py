@@ -100,7 +100,9 @@ def q_fact_sales_merge(spark, sf_dir):
     first, loaded, last = fx.SALES_WINDOW
     target = fx.stored(fact_sales(items, orders), loaded, order_status=F.lit("?"))
     delta = fact_sales_delta(items, orders, first, last)
-    return plain(upsert(target, delta, ["order_item_id"], fx.LOAD, fx.AT))
+    # Both sides come out of a join by order, and all their rows are of these items.
+    ordered = items.where(F.col("order_id").isNotNull())
+    return plain(upsert(target, delta, ["order_item_id"], fx.LOAD, fx.AT, beside="order_id", among=ordered))
 
 
 def q_daily_sales_refresh(spark, sf_dir):

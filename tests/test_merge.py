@@ -5,9 +5,10 @@ from collections import Counter
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.frames import AUDIT, LOAD_AT, NEW, OLD, UPDATED, VERSIONS, D, rows
-from tidemark.operators import duplicate_matches, insert_absent, upsert
+from tidemark.operators import duplicate_matches, insert_absent, merge, upsert
 from tidemark.sources import stage
 
 COLUMNS = "a bigint, b string, v bigint"
@@ -131,6 +132,58 @@ def test_all_plans_agree_with_brute_force(spark, stored, new):
         assert merged(spark, stored, unique, plan=plan) == want
 
 
+def merged_beside(spark, stored, new, among=None):
+    target = spark.createDataFrame([(*r, *OLD) for r in stored], TARGET)
+    source = spark.createDataFrame(new, COLUMNS)
+    among = spark.createDataFrame(among, COLUMNS) if among is not None else None
+    return rows(upsert(target, source, ["a"], "L1", LOAD_AT, plan="outer", beside="b", among=among))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(stored=some_rows, new=some_rows)
+def test_merging_beside_a_column_agrees_with_brute_force(spark, stored, new):
+    """Keys repeat on both sides, move to another value of the column, or have none."""
+    assert merged_beside(spark, stored, new) == row_by_row(stored, new)
+
+
+def test_a_key_that_moved_is_still_a_match(spark):
+    stored, new = [(1, "x", 1), (2, "x", 2), (3, None, 3)], [(1, "y", 4), (2, "x", 5), (3, "z", 6), (4, "z", 7)]
+    want = Counter([(1, "y", 4, *UPDATED), (2, "x", 5, *UPDATED), (3, "z", 6, *UPDATED), (4, "z", 7, *NEW)])
+    assert merged_beside(spark, stored, new) == want
+    more = [(9, "x", 0), (9, "y", 0), (None, "x", 0), (None, "y", 0)]
+    assert merged_beside(spark, stored, new, stored + new + more) == want
+
+
+def test_a_crowded_value_is_merged_apart(spark, monkeypatch):
+    monkeypatch.setattr(merge, "CROWD", 3)
+    stored = [(i, "x", i) for i in range(6)] + [(7, "y", 7), (7, "y", 8)]
+    new = [(i, "x", 10 * i) for i in range(3, 9) if i != 7] + [(7, "y", 70), (9, "y", 9), (9, "y", 10)]
+    assert merged_beside(spark, stored, new) == row_by_row(stored, new)
+
+
+def test_facts_are_merged_where_the_join_by_order_left_them(spark, tmp_path):
+    orders = spark.range(20).selectExpr("id order_id", "id % 7 customer", "'O' status")
+    spark.range(100).selectExpr("id % 20 order_id", "id v").write.parquet(f"{tmp_path}/items")
+    items = spark.read.parquet(f"{tmp_path}/items").selectExpr("concat_ws('-', v, order_id) item", "*")
+    stamp = [F.expr(f"cast('{v}' as {kind}) {c}") for c, kind, v in (
+        ("dw_create_dt", "timestamp_ntz", "2024-01-01"), ("dw_mdfctn_dt", "timestamp_ntz", "2024-01-01"),
+        ("dw_load_id", "string", "L0"), ("dw_update_id", "string", "L0"))]
+    target = items.where("v < 60").withColumn("v", -F.col("v")).join(orders, "order_id").select("*", *stamp)
+    source = items.where("v >= 30").join(orders, "order_id")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        state = upsert(target, source, ["item"], "L1", LOAD_AT, beside="order_id", among=items)
+        plan = state._jdf.queryExecution().executedPlan().toString()
+        shuffles = [line for line in plan.splitlines() if "Exchange " in line]
+        # Items and orders on either side, and the merge needs none.
+        assert len(shuffles) == 4 and all("hashpartitioning(order_id#" in line for line in shuffles)
+        assert rows(state) == rows(upsert(target, source, ["item"], "L1", LOAD_AT, plan="outer"))
+        assert state.where("v >= 30 and dw_load_id = 'L0'").count() == 30 and state.count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 DIMENSION = "id bigint, mdfctn_dt timestamp_ntz, sk bigint, " + VERSIONS
 
 

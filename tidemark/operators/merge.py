@@ -11,6 +11,11 @@ Three plans give the same rows:
   anti join, which adaptive execution can split; stored keys are combined before they are shuffled,
   and the two joins share one shuffle of the change set.
 
+Both sides of ``outer`` may already be laid out by a column that a key all but settles, say items by
+their order after a join with orders. Named as ``beside``, it lets rows be merged where they lie, which
+saves the two widest shuffles. Nothing is taken for granted: keys found under several values of the
+column, and values with very many rows, are merged apart by ``outer`` or ``split``.
+
 Rows with a NULL key never match and take no part in any of the joins.
 """
 
@@ -20,7 +25,7 @@ from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import business_columns, insert_stamp, split_on_keys
@@ -28,9 +33,12 @@ from tidemark.functions.sizes import below_broadcast_threshold, planned_bytes
 
 # A change set this many times smaller than the target is worth looking up.
 SMALL_PART = 4
+# A value of ``beside`` with so many rows, and this share of all, is not left to one task.
+CROWD, CROWD_SHARE = 100_000, 0.01
 
 _NEW = "__new_"
 _STORED = "__stored"
+_MET, _FOUND, _HASH = "__met", "__found", "__hash"
 
 
 def upsert(
@@ -42,6 +50,8 @@ def upsert(
     many_copies: bool = False,
     plan: str = "auto",
     matched: DataFrame | None = None,
+    beside: str | None = None,
+    among: DataFrame | None = None,
 ) -> DataFrame:
     """Slowly changing dimension type 1: overwrite the matches, add the rest, keep all others.
 
@@ -50,6 +60,9 @@ def upsert(
     rows for one target row are an error of the input; ``duplicate_matches`` finds them.
     ``many_copies`` says that the target may hold very many rows of one key; it changes the plan, not
     the result. ``matched`` are the target's keys that occur in the source, if the caller has them already.
+    ``beside`` changes the plan as well: a column by which both sides are laid out and which rows of one key
+    nearly always share. ``among`` holds every pair of key and ``beside`` that target and source have, and may
+    hold more; it is read at once, and by default is made of the two.
     """
     plan = _pick(plan, target, source, many_copies)
     stamp = insert_stamp(target, load_id, load_ts)
@@ -61,7 +74,15 @@ def upsert(
     # The same columns on every branch, so that one shuffle of the source can serve two joins.
     new = fresh.select(*[F.col(c).alias(_NEW + c) for c in fresh.columns])
     on = reduce(lambda a, b: a & b, [F.col(k) == F.col(_NEW + k) for k in keys])
-    if plan == "outer":
+    if beside is not None and plan in ("outer", "split"):
+        if among is None:
+            among = known.select(beside, *keys).unionByName(fresh.select(beside, *keys))
+        among = among.select(*[F.col(c).cast(types[c]).alias(c) for c in dict.fromkeys([beside, *keys])])
+        known, known_apart, fresh, fresh_apart = _told_apart(known, fresh, keys, beside, among)
+        pieces = [_overwritten(_met_in_place(known, fresh, keys, beside), target, keys, stamp)]
+        if known_apart is not None:
+            pieces.append(upsert(known_apart, fresh_apart, keys, load_id, load_ts, plan=plan))
+    elif plan == "outer":
         pieces = [_overwritten(known.withColumn(_STORED, F.lit(True)).join(new, on, "full_outer"), target, keys, stamp)]
     else:
         if matched is not None:
@@ -167,6 +188,53 @@ def _pick(plan: str, target: DataFrame, source: DataFrame, many_copies: bool) ->
     return "split" if many_copies else "outer"
 
 
+def _told_apart(
+    known: DataFrame, fresh: DataFrame, keys: Sequence[str], beside: str, among: DataFrame
+) -> tuple[DataFrame, DataFrame | None, DataFrame, DataFrame | None]:
+    """Of both sides the rows to merge where they lie, and those to merge apart: ``None`` if there are none.
+
+    A key goes one way with all its rows. It goes apart if it occurs with several values of ``beside`` or
+    with none; its hash stands for it, so a few other keys may go along, which changes nothing but the way.
+    """
+    from tidemark.sources.shared import stage  # not above: sources import this module
+
+    key, place = F.xxhash64(*keys), F.col(beside)
+    among, _ = split_on_keys(among, keys)
+    ends = [F.min(place).alias("low"), F.max(place).alias("high"), F.max(place.isNull()).alias("unplaced")]
+    spread = among.select(key.alias(_HASH), place).groupBy(_HASH).agg(*ends)
+    spread = stage(spread.where("low <> high or unplaced").select(_HASH), "spread-keys")
+    often = [v for v in among.freqItems([beside], CROWD_SHARE).first()[0] if v is not None]
+    crowd = among.where(place.isin(often)).groupBy(beside).agg(F.count("*").alias("rows")).where(F.col("rows") > CROWD)
+    crowd = [row[0] for row in crowd.collect()]
+    if not crowd and spread.isEmpty():
+        return known, None, fresh, None
+    crowded = F.coalesce(place.isin(crowd), F.lit(False))
+
+    def ways(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        of_spread = key == F.col(_HASH)
+        roomy = rows.where(~crowded)
+        apart = rows.where(crowded).unionByName(roomy.join(spread, of_spread, "left_semi"))
+        return roomy.join(spread, of_spread, "left_anti"), apart
+
+    return (*ways(known), *ways(fresh))
+
+
+def _met_in_place(known: DataFrame, fresh: DataFrame, keys: Sequence[str], beside: str) -> DataFrame:
+    """The full outer join of ``upsert`` for rows of which those of a key share ``beside``, without a shuffle.
+
+    A union keeps the layout of its sides and so does a window over ``beside`` and the keys. Stored rows
+    take the new ones of their key; new rows go on by themselves only if no row of their key is stored.
+    """
+    both = known.withColumn(_STORED, F.lit(True)).unionByName(fresh, allowMissingColumns=True)
+    of_key = Window.partitionBy(*dict.fromkeys([beside, *keys]))
+    is_stored, own = F.col(_STORED).isNotNull(), F.struct(*fresh.columns)
+    met = both.withColumn(_MET, F.max(_STORED).over(of_key))
+    met = met.withColumn(_FOUND, F.collect_list(F.when(~is_stored & F.col(_MET), own)).over(of_key))
+    met = met.where(is_stored | F.col(_MET).isNull()).withColumn(_NEW, F.explode_outer(_FOUND))
+    new = F.when(is_stored, F.col(_NEW)).otherwise(own)
+    return met.select(*known.columns, _STORED, *[new[c].alias(_NEW + c) for c in fresh.columns])
+
+
 def _overwritten(joined: DataFrame, target: DataFrame, keys: Sequence[str], stamp: dict[str, Column]) -> DataFrame:
     """Per joined row the side that holds: the source where there is one, else the target."""
     # No key is NULL here, so only an absent source row has none.
